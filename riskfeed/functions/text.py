@@ -15,7 +15,7 @@ from riskfeed import constants as C
 # blanks, the information separators 0x1c-0x1f, NEL, NBSP and the Unicode
 # space separators. The same class text is valid in Java regex and RE2.
 WS_CLASS = (
-    r"[\s\x{1c}-\x{1f}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}"
+    r"[\s\x{0b}\x{1c}-\x{1f}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}"
     r"\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
 )
 # ASCII punctuation, stripped from token edges by the sentiment tokenizer.

@@ -171,7 +171,8 @@ def blocked_source_gate(spark, sf):
 @query
 def new_links_only(spark, sf):
     it = items(spark, sf)
-    stored = it.where(F.col("term") == "view")
+    # the store: links of 'view' items collected before 2024-01-05
+    stored = it.where((F.col("term") == "view") & (F.col("published_date") < F.lit("2024-01-05").cast("date")))
     return G.link_gates(it, None, G.existing_links(stored)).select("item_id", "link")
 
 
