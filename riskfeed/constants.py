@@ -103,7 +103,9 @@ DIGEST_DAYS = 28
 
 # Size bounds for data that is shipped whole to every task.
 MAX_INLINE_TERMS = 5000          # term array embedded into the substring test
-MAX_INLINE_LEXICON = 200_000     # lexicon embedded as a map literal
+MAX_INLINE_LEXICON = 200_000     # lexicon embedded as a sorted literal array
+MAX_RULE_WORDS = 2_000           # booster / negation / contrast word lists
+LINEAR_LOOKUP_MAX = 32           # up to this many keys a key scan beats binary search
 MAX_BROADCAST_LIST_ROWS = 1_000_000  # allow / block lists broadcast as hash tables
 
 # Sentiment rule constants (published method; rule set in the survey).

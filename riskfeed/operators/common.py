@@ -50,3 +50,14 @@ def literal_map(df: DataFrame, key: Column, value: Column, bound: int, value_typ
         return F.create_map().cast(f"map<string,{value_type}>")
     return F.map_from_arrays(F.array(*[F.lit(k) for k in pairs]).cast("array<string>"),
                              F.array(*[F.lit(v) for v in pairs.values()]).cast(f"array<{value_type}>"))
+
+
+def spread_for_cpu(df: DataFrame) -> DataFrame:
+    """Before CPU-heavy per-row text work: if the input has fewer partitions
+    than the cluster has task slots (few large row groups), spread the rows
+    round-robin so every core works. Large inputs already have enough splits
+    and are left untouched (no shuffle)."""
+    slots = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < slots:
+        return df.repartition(slots)
+    return df

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from riskfeed import constants as C
 from riskfeed.functions import text as X
 from riskfeed.operators import sentiment as S
+from riskfeed.operators.common import spread_for_cpu
 from riskfeed.operators.score import contains_any
 
 
@@ -26,7 +27,7 @@ def page_features(pages: DataFrame, lex: S.Lexicon, term_arrays: list[Column] |
 
     summary = paragraph text, blanked when shorter than ``min_chars``; the
     compound score and label are computed on that text."""
-    feats = pages.select("link", X.blank_short(X.page_text("html"), min_chars).alias("summary"))
+    feats = spread_for_cpu(pages).select("link", X.blank_short(X.page_text("html"), min_chars).alias("summary"))
     feats = S.score_texts(feats, "summary", "link", lex, out_col="polarity")
     feats = feats.withColumnRenamed("polarity_label", "sentiment")
     if term_arrays is not None:

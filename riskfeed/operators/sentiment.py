@@ -27,15 +27,18 @@ from pyspark.sql import functions as F
 
 from riskfeed import constants as C
 from riskfeed.functions import text as X
-from riskfeed.operators.common import TooLarge, literal_map
+from riskfeed.operators.common import literal_map, spread_for_cpu
 
 _EDGE_PUNCT = rf"^{X.PUNCT_CLASS}+|{X.PUNCT_CLASS}+$"
 
 
 def tokens(text: Column) -> Column:
-    return F.filter(
-        F.transform(X.words(text), lambda w: F.regexp_replace(w, _EDGE_PUNCT, "")),
-        lambda w: w != "")
+    """Whitespace tokens with ASCII punctuation stripped from both edges, empty
+    ones dropped. One split per text: a separator is a run of whitespace with
+    the punctuation touching it, so punctuation-only tokens vanish with it."""
+    p, ws = X.PUNCT_CLASS, X.WS_CLASS
+    trimmed = F.regexp_replace(F.coalesce(text, F.lit("")), rf"^(?:{p}|{ws})+|(?:{p}|{ws})+$", "")
+    return F.filter(F.split(trimmed, rf"{p}*(?:{ws}+{p}*)+"), lambda w: w != "")
 
 
 def _map_of(df: DataFrame, key: str, value: Column, value_type: str,
@@ -54,19 +57,51 @@ class Lexicon:
         self.negations = negations
         self.contrasts = contrasts
 
-    def valence_map(self, bound: int = C.MAX_INLINE_LEXICON) -> Column | None:
-        """Valence map literal, or None when the lexicon exceeds ``bound``."""
-        try:
-            return _map_of(self.valences, "token", F.col("valence").cast("double"), "double", bound)
-        except TooLarge:
+    def valence_lookup(self, bound: int = C.MAX_INLINE_LEXICON):
+        """Function token -> valence (0.0 when absent), or None when the lexicon
+        exceeds ``bound``. Binary search over a sorted literal key array: map
+        lookups scan their keys, a real lexicon has thousands of entries."""
+        rows = (self.valences.select(F.lower("token").alias("k"), F.col("valence").cast("double").alias("v"))
+                .where(F.col("k").isNotNull()).limit(bound + 1).collect())
+        if len(rows) > bound:
             return None
-
-    def rule_maps(self):
-        """Booster, negation and contrast maps (small rule tables)."""
+        table = {}
+        for k, v in rows:
+            table[k] = v
+        keys = sorted(table, key=lambda k: k.encode("utf-8"))  # Spark compares strings bytewise
+        if not keys:
+            return lambda w: F.lit(0.0)
+        if len(keys) <= C.LINEAR_LOOKUP_MAX:
+            m = F.map_from_arrays(F.array(*[F.lit(k) for k in keys]),
+                                  F.array(*[F.lit(float(table[k])) for k in keys]).cast("array<double>"))
+            return lambda w: F.coalesce(F.try_element_at(m, w), F.lit(0.0))
+        karr = F.array(*[F.lit(k) for k in keys])
+        varr = F.array(*[F.lit(float(table[k])) for k in keys]).cast("array<double>")
+        n = len(keys)
+        steps = max(1, n.bit_length())
+
+        def lookup(w: Column) -> Column:
+            init = F.struct(F.lit(1).alias("lo"), F.lit(n).alias("hi"))
+
+            def step(st, _):
+                mid = F.floor((st["lo"] + st["hi"]) / 2).cast("int")
+                go_right = F.get(karr, mid - 1) < w
+                return F.struct(F.when(go_right, mid + 1).otherwise(st["lo"]).alias("lo"),
+                                F.when(go_right, st["hi"]).otherwise(mid).alias("hi"))
+
+            found = F.aggregate(F.array_repeat(F.lit(0), steps), init, step)
+            pos = found["lo"]
+            return F.when(F.get(karr, pos - 1) == w, F.get(varr, pos - 1)).otherwise(F.lit(0.0))
+
+        return lookup
+
+    def rule_maps(self, bound: int = C.MAX_RULE_WORDS):
+        """Booster, negation and contrast maps: small fixed word lists (bounded),
+        looked up by a short key scan."""
         return (
-            _map_of(self.boosters, "token", F.col("weight").cast("double"), "double"),
-            _map_of(self.negations, "token", F.lit(True), "boolean"),
-            _map_of(self.contrasts, "token", F.lit(True), "boolean"),
+            _map_of(self.boosters, "token", F.col("weight").cast("double"), "double", bound),
+            _map_of(self.negations, "token", F.lit(True), "boolean", bound),
+            _map_of(self.contrasts, "token", F.lit(True), "boolean", bound),
         )
 
 
@@ -86,8 +121,8 @@ def _score_stages(df: DataFrame, text_col: str, boost_m: Column, neg_m: Column,
     Neighbour lookups use shifted copies zipped together: linear in text length.
     """
     tok, n = F.col("_tok"), F.size("_tok")
-    st = (df.withColumn("_low", F.transform(tok, lambda w: F.lower(w)))
-          .withColumn("_caps", F.transform(tok, lambda w: w.rlike("^[A-Z]+$"))))
+    st = df if "_low" in df.columns else df.withColumn("_low", F.transform(tok, lambda w: F.lower(w)))
+    st = st.withColumn("_caps", F.transform(tok, lambda w: w.rlike("^[A-Z]+$")))
     low = F.col("_low")
     st = (st.withColumn("_boost", F.transform(low, lambda w: F.coalesce(F.try_element_at(boost_m, w), F.lit(0.0))))
           .withColumn("_neg", F.transform(low, lambda w: F.coalesce(F.try_element_at(neg_m, w), F.lit(False))))
@@ -152,12 +187,12 @@ def score_texts(df: DataFrame, text_col: str, key_col: str, lex: Lexicon,
     per token), regrouped per ``key_col`` in position order and scored with the
     same rules.
     """
-    val_m = lex.valence_map()
+    val_of = lex.valence_lookup()
     boost_m, neg_m, contrast_m = lex.rule_maps()
-    if val_m is not None:
-        staged = df.withColumn("_tok", tokens(F.col(text_col)))
-        staged = staged.withColumn("_base", F.transform(
-            "_tok", lambda w: F.coalesce(F.try_element_at(val_m, F.lower(w)), F.lit(0.0))))
+    if val_of is not None:
+        staged = spread_for_cpu(df).withColumn("_tok", tokens(F.col(text_col)))
+        staged = staged.withColumn("_low", F.transform("_tok", lambda w: F.lower(w)))
+        staged = staged.withColumn("_base", F.transform("_low", val_of))
         return _score_stages(staged, text_col, boost_m, neg_m, contrast_m, out_col)
     exploded = df.select(key_col, F.posexplode(tokens(F.col(text_col))).alias("pos", "tok"))
     val = lex.valences.select(F.lower("token").alias("_lk"), F.col("valence").cast("double").alias("_v"))

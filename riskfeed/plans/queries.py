@@ -19,6 +19,7 @@ from riskfeed.operators import gates as G
 from riskfeed.operators import score as Q
 from riskfeed.operators import sentiment as S
 from riskfeed.operators import store as ST
+from riskfeed.operators.common import spread_for_cpu
 from riskfeed.plans import daily
 from riskfeed.sources import binding as B
 from riskfeed.sources.lists import normalize_list
@@ -46,7 +47,7 @@ def mention_view(spark, sf) -> DataFrame:
 
 def scored_pages(spark, sf) -> DataFrame:
     """Pages as mentions for the quality score: title, paragraph text, domain."""
-    p = read_table(spark, sf, "pages", "page_id", "url", "html")
+    p = spread_for_cpu(read_table(spark, sf, "pages", "page_id", "url", "html"))
     m = p.select("page_id", X.page_title("html").alias("title"),
                  X.blank_short(X.page_text("html")).alias("summary"),
                  X.authority("url").alias("source_url"))
@@ -58,7 +59,7 @@ def scored_pages(spark, sf) -> DataFrame:
 
 @query
 def decode_terms(spark, sf):
-    ev = read_table(spark, sf, "events", "event_id", "event_type", "user_id")
+    ev = spread_for_cpu(read_table(spark, sf, "events", "event_id", "event_type", "user_id"))
     enc = ev.select("event_id", "user_id",
                     F.concat_ws(" ", "event_type", F.col("user_id").cast("string")).alias("_t"))
     enc = enc.select("event_id", T.encode_term("_t").alias("encoded_terms"),
