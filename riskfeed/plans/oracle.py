@@ -544,6 +544,12 @@ def oracle_sql() -> dict[str, str]:
         f"SELECT m.risk_id, m.published_date, coalesce({label('s.polarity')}, 'neutral') AS sentiment, count(*) AS n "
         "FROM mview m LEFT JOIN ps3 s ON s.link = m.link GROUP BY 1, 2, 3")
 
+    s["mentions_scan"] = with_(PAGE_CTES + DOCS_CTES, "SELECT doc_id, link, published_date, summary FROM docs_store")
+    s["feed_items"] = with_(base, "SELECT i.term, i.title, i.link, i.source, i.source_url, i.published_date, "
+                                  "'https://' || " + auth("r.feed_link") + " AS source_site FROM items i "
+                                  "JOIN raw_items r ON r.item_id = i.item_id")
+    s["stream_ingest"] = with_(base, f"SELECT DISTINCT link FROM items g WHERE {gate} AND published_date IS NOT NULL "
+                                     "AND NOT EXISTS (SELECT 1 FROM blk b WHERE b.name = g.source)")
     s["daily_mentions"] = with_(DAILY, "SELECT * FROM r2_cur")
     exp_cols = []
     for c in OUT_COLS:

@@ -395,3 +395,51 @@ def run_audit(spark, sf):
 
 def queries() -> dict[str, Query]:
     return dict(REGISTRY)
+
+
+# ---------------------------------------------------------------- files / streams
+
+def _scratch(spark, name: str) -> str:
+    import uuid
+    from riskfeed.session import scratch_path
+    return scratch_path(spark, f"{name}-{uuid.uuid4().hex[:8]}")
+
+
+@query
+def mentions_scan(spark, sf):
+    """SNK1 + SRC5: write the docs store as a versioned, date-partitioned
+    Parquet store, then scan the live version back."""
+    from riskfeed import sinks
+    root = _scratch(spark, "store")
+    sinks.write_current(B.docs_store(spark, sf), root)
+    back = sinks.read_current(spark, root)
+    return back.select("doc_id", "link", "published_date", "summary")
+
+
+@query
+def feed_items(spark, sf):
+    """SRC3: land the derived items as RSS XML files (term / result page
+    directories), read them back with the XML source and normalise."""
+    from riskfeed.sources.feed import read_feed, write_feed
+    root = _scratch(spark, "feed")
+    write_feed(B.raw_items(spark, sf), root)
+    return G.normalize_items(read_feed(spark, root)).select(
+        "term", "title", "link", "source", "source_url", "published_date", "source_site")
+
+
+@query
+def stream_ingest(spark, sf):
+    """STR1: two feed drops (events before / from 2024-01-15) ingested by two
+    availableNow runs of one streaming query; returns the ingested store."""
+    from riskfeed.sources.feed import write_feed
+    from riskfeed.streaming.ingest import ingest_stream, read_store
+    base = _scratch(spark, "stream")
+    raw = B.raw_items(spark, sf)
+    day = D.parse_pubdate("pub_date_raw")
+    cut = F.lit("2024-01-15").cast("date")
+    drops = [raw.where(day.isNull() | (day < cut)), raw.where(day >= cut)]
+    for i, drop in enumerate(drops):
+        write_feed(drop, f"{base}/landing/drop={i}", mode="overwrite")
+        q = ingest_stream(spark, f"{base}/landing", f"{base}/store", f"{base}/ckpt", B.block_list(spark))
+        q.awaitTermination()
+    return read_store(spark, f"{base}/store").select("link")
