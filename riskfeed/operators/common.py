@@ -6,12 +6,25 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+_MEMO: dict = {}
+
+
+def _memo(df: DataFrame, kind: str, bound: int, compute):
+    """Results of dimension checks / collections, keyed by the plan's semantic
+    hash: the same small dimension rebuilt for several operators of one plan
+    is checked once."""
+    key = (df.semanticHash(), kind, bound)
+    if key not in _MEMO:
+        _MEMO[key] = compute()
+    return _MEMO[key]
+
+
 def bounded_count(df: DataFrame, bound: int) -> int:
     """Exact row count if it does not exceed ``bound``, else ``bound + 1``.
 
     Only ``bound + 1`` rows are ever read, so checking a huge side is cheap.
     """
-    return df.limit(bound + 1).count()
+    return _memo(df, "count", bound, lambda: df.limit(bound + 1).count())
 
 
 def maybe_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
@@ -28,7 +41,8 @@ def literal_array(df: DataFrame, col: Column, bound: int, elem_type: str = "stri
     """Array literal of a small dimension column, for use inside higher-order
     functions (which cannot hold subqueries). The row count is checked against
     ``bound`` first; callers fall back to a join when :class:`TooLarge` is raised."""
-    rows = df.select(col).limit(bound + 1).collect()
+    sel = df.select(col)
+    rows = _memo(sel, "rows", bound, lambda: sel.limit(bound + 1).collect())
     if len(rows) > bound:
         raise TooLarge(f"more than {bound} rows")
     values = [r[0] for r in rows]
@@ -39,7 +53,8 @@ def literal_array(df: DataFrame, col: Column, bound: int, elem_type: str = "stri
 def literal_map(df: DataFrame, key: Column, value: Column, bound: int, value_type: str) -> Column:
     """Map literal of a small (key, value) dimension, size-checked like
     :func:`literal_array`. Duplicate keys keep the last value."""
-    rows = df.select(key, value).limit(bound + 1).collect()
+    sel = df.select(key, value)
+    rows = _memo(sel, "rows", bound, lambda: sel.limit(bound + 1).collect())
     if len(rows) > bound:
         raise TooLarge(f"more than {bound} rows")
     pairs = {}
@@ -53,10 +68,11 @@ def literal_map(df: DataFrame, key: Column, value: Column, bound: int, value_typ
 
 
 def spread_for_cpu(df: DataFrame) -> DataFrame:
-    """Before CPU-heavy per-row text work: if the input has fewer partitions
-    than the cluster has task slots (few large row groups), spread the rows
-    round-robin so every core works. Large inputs already have enough splits
-    and are left untouched (no shuffle)."""
+    """Before CPU-heavy per-row text work on a *table scan*: if the scan has
+    fewer partitions than the cluster has task slots (few large row groups),
+    spread the rows round-robin so every core works. Cluster-sized inputs have
+    enough splits and are left untouched (no shuffle). Only call this on scans:
+    asking a joined plan for its partitions would prepare that whole plan."""
     slots = df.sparkSession.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() < slots:
         return df.repartition(slots)

@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 from riskfeed import constants as C
 from riskfeed.functions import text as X
 from riskfeed.operators import sentiment as S
-from riskfeed.operators.common import spread_for_cpu
 from riskfeed.operators.score import contains_any
 
 
@@ -27,7 +26,7 @@ def page_features(pages: DataFrame, lex: S.Lexicon, term_arrays: list[Column] |
 
     summary = paragraph text, blanked when shorter than ``min_chars``; the
     compound score and label are computed on that text."""
-    feats = spread_for_cpu(pages).select("link", X.blank_short(X.page_text("html"), min_chars).alias("summary"))
+    feats = pages.select("link", X.blank_short(X.page_text("html"), min_chars).alias("summary"))
     feats = S.score_texts(feats, "summary", "link", lex, out_col="polarity")
     feats = feats.withColumnRenamed("polarity_label", "sentiment")
     if term_arrays is not None:
@@ -39,11 +38,14 @@ def page_features(pages: DataFrame, lex: S.Lexicon, term_arrays: list[Column] |
 def enrich(items: DataFrame, features: DataFrame) -> DataFrame:
     """Left join by link; a missing page gives the defaults ('' / [] / neutral / 0.0)."""
     out = items.join(features, "link", "left")
-    out = (out.withColumn("summary", F.coalesce("summary", F.lit("")))
-           .withColumn("keywords", F.array().cast("array<string>"))
-           .withColumn("sentiment", F.coalesce("sentiment", F.lit(C.DEFAULT_SENTIMENT)))
-           .withColumn("polarity", F.coalesce("polarity", F.lit(C.DEFAULT_POLARITY))))
+    cols = {
+        "summary": F.coalesce("summary", F.lit("")),
+        "keywords": F.array().cast("array<string>"),
+        "sentiment": F.coalesce("sentiment", F.lit(C.DEFAULT_SENTIMENT)),
+        "polarity": F.coalesce("polarity", F.lit(C.DEFAULT_POLARITY)),
+    }
     if "summary_match" in features.columns:
-        out = (out.withColumn("summary_match", F.coalesce("summary_match", F.lit(False)))
-               .withColumn("summary_words", F.coalesce("summary_words", F.lit(0))))
+        cols["summary_match"] = F.coalesce("summary_match", F.lit(False))
+        cols["summary_words"] = F.coalesce("summary_words", F.lit(0))
+    out = out.withColumns(cols)
     return out

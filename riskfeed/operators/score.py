@@ -103,15 +103,13 @@ def quality_score(df: DataFrame, terms: DataFrame, allow: DataFrame, block: Data
         "score_length_150": upto(5, l150),
         "score_length_500": upto(5, l500),
     }
-    for k, v in comps.items():
-        out = out.withColumn(k, v)
+    out = out.withColumns(comps)
     parts = [F.coalesce(F.col(k), F.lit(0)) for k in comps]
     total = F.when(st == 5, F.greatest(sum(parts[1:], parts[0]), F.lit(0))).otherwise(F.lit(0))
     out = out.withColumn("score_total_score", total.cast("int"))
     if not has_terms:
         # no valid terms: scoring is skipped, every score column is NULL
-        for k in SCORE_COLUMNS:
-            out = out.withColumn(k, F.lit(None).cast("int"))
+        out = out.withColumns({k: F.lit(None).cast("int") for k in SCORE_COLUMNS})
     out = out.withColumn("quality_score", F.col("score_total_score"))
     return out.drop("_dom", "_in_allow", "_in_block", "_m", "_stage")
 

@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from riskfeed import constants as C
 from riskfeed.functions import text as X
-from riskfeed.operators.common import literal_map, spread_for_cpu
+from riskfeed.operators.common import _memo, literal_map
 
 _EDGE_PUNCT = rf"^{X.PUNCT_CLASS}+|{X.PUNCT_CLASS}+$"
 
@@ -61,8 +61,9 @@ class Lexicon:
         """Function token -> valence (0.0 when absent), or None when the lexicon
         exceeds ``bound``. Binary search over a sorted literal key array: map
         lookups scan their keys, a real lexicon has thousands of entries."""
-        rows = (self.valences.select(F.lower("token").alias("k"), F.col("valence").cast("double").alias("v"))
-                .where(F.col("k").isNotNull()).limit(bound + 1).collect())
+        sel = (self.valences.select(F.lower("token").alias("k"), F.col("valence").cast("double").alias("v"))
+               .where(F.col("k").isNotNull()))
+        rows = _memo(sel, "rows", bound, lambda: sel.limit(bound + 1).collect())
         if len(rows) > bound:
             return None
         table = {}
@@ -122,13 +123,15 @@ def _score_stages(df: DataFrame, text_col: str, boost_m: Column, neg_m: Column,
     """
     tok, n = F.col("_tok"), F.size("_tok")
     st = df if "_low" in df.columns else df.withColumn("_low", F.transform(tok, lambda w: F.lower(w)))
-    st = st.withColumn("_caps", F.transform(tok, lambda w: w.rlike("^[A-Z]+$")))
     low = F.col("_low")
-    st = (st.withColumn("_boost", F.transform(low, lambda w: F.coalesce(F.try_element_at(boost_m, w), F.lit(0.0))))
-          .withColumn("_neg", F.transform(low, lambda w: F.coalesce(F.try_element_at(neg_m, w), F.lit(False))))
-          .withColumn("_fc", F.array_position(F.transform(
-              low, lambda w: F.coalesce(F.try_element_at(contrast_m, w), F.lit(False))), True))
-          .withColumn("_mx", F.exists("_caps", lambda c: c) & F.exists("_caps", lambda c: ~c)))
+    st = st.withColumns({
+        "_caps": F.transform(tok, lambda w: w.rlike("^[A-Z]+$")),
+        "_boost": F.transform(low, lambda w: F.coalesce(F.try_element_at(boost_m, w), F.lit(0.0))),
+        "_neg": F.transform(low, lambda w: F.coalesce(F.try_element_at(neg_m, w), F.lit(False))),
+        "_fc": F.array_position(F.transform(
+            low, lambda w: F.coalesce(F.try_element_at(contrast_m, w), F.lit(False))), True),
+    })
+    st = st.withColumn("_mx", F.exists("_caps", lambda c: c) & F.exists("_caps", lambda c: ~c))
     boost, neg = F.col("_boost"), F.col("_neg")
     st = st.withColumn("_z", F.arrays_zip(
         F.col("_base").alias("v0"), F.col("_caps").alias("cap"),
@@ -190,7 +193,7 @@ def score_texts(df: DataFrame, text_col: str, key_col: str, lex: Lexicon,
     val_of = lex.valence_lookup()
     boost_m, neg_m, contrast_m = lex.rule_maps()
     if val_of is not None:
-        staged = spread_for_cpu(df).withColumn("_tok", tokens(F.col(text_col)))
+        staged = df.withColumn("_tok", tokens(F.col(text_col)))
         staged = staged.withColumn("_low", F.transform("_tok", lambda w: F.lower(w)))
         staged = staged.withColumn("_base", F.transform("_low", val_of))
         return _score_stages(staged, text_col, boost_m, neg_m, contrast_m, out_col)

@@ -129,13 +129,13 @@ def blank_short_text(spark, sf):
 
 @query
 def sentiment_compound(spark, sf):
-    d = read_table(spark, sf, "documents", "doc_id", "text")
+    d = spread_for_cpu(read_table(spark, sf, "documents", "doc_id", "text"))
     return S.score_texts(d, "text", "doc_id", B.lexicon(spark)).select("doc_id", "compound")
 
 
 @query
 def sentiment_label(spark, sf):
-    p = B.pages(spark, sf).select("page_id", X.blank_short(X.page_text("html")).alias("summary"))
+    p = spread_for_cpu(B.pages(spark, sf)).select("page_id", X.blank_short(X.page_text("html")).alias("summary"))
     s = S.score_texts(p, "summary", "page_id", B.lexicon(spark), out_col="polarity")
     return s.select("page_id", "polarity", F.col("polarity_label").alias("sentiment"))
 

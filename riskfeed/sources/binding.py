@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 
 from riskfeed.functions import terms as T
 from riskfeed.functions import text as X
+from riskfeed.operators.common import spread_for_cpu
 from riskfeed.operators.sentiment import Lexicon
 from riskfeed.sources.tables import read_table
 
@@ -119,7 +120,7 @@ def _page_of(spark: SparkSession, sf_dir: str, id_col: str) -> DataFrame:
 
 def raw_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Landed feed items as collected: raw text fields, one row per event."""
-    ev = read_table(spark, sf_dir, "events", "event_id", "ts", "user_id", "event_type", "value")
+    ev = spread_for_cpu(read_table(spark, sf_dir, "events", "event_id", "ts", "user_id", "event_type", "value"))
     ev = ev.withColumn("page_id", _page_of(spark, sf_dir, "event_id"))
     pl = read_table(spark, sf_dir, "pages", "page_id", "url", "html").select(
         "page_id", F.col("url").alias("feed_link"), X.page_title("html").alias("title"))
