@@ -42,6 +42,10 @@ def merge(store: DataFrame, targets: DataFrame, pages: DataFrame, lex: S.Lexicon
     is unchanged. Only the target rows and their pages are processed."""
     tp = targets.select(*key_cols, "link").distinct() if "link" not in key_cols \
         else targets.select(*key_cols)
+    # the <= batch_days of target rows are read twice (page selection, update
+    # join): materialise them once
+    from riskfeed.plans.daily import materialize
+    tp = materialize(tp)
     texts = (pages.join(tp.select("link").distinct(), "link", "left_semi")
              .groupBy("link").agg(F.min_by("html", "page_id").alias("html"))
              .select("link", X.page_text_backfill("html").alias("_new")))

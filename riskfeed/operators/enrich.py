@@ -16,8 +16,14 @@ def pages_for_links(pages: DataFrame, links: DataFrame) -> DataFrame:
     """Pages of the surviving links only (semi join: the planner broadcasts the
     link side when it is small at run time), one page per link (lowest id)."""
     want = links.select("link").distinct()
-    p = pages.join(want, "link", "left_semi")
-    return p.groupBy("link").agg(F.min_by("html", "page_id").alias("html"))
+    return one_page_per_link(pages.join(want, "link", "left_semi"))
+
+
+def one_page_per_link(pages: DataFrame) -> DataFrame:
+    """One page per link (lowest page id wins); partial aggregation combines
+    repeated fetches of a link before the shuffle. Used directly when most
+    pages are needed (no point in a semi join first)."""
+    return pages.groupBy("link").agg(F.min_by("html", "page_id").alias("html"))
 
 
 def page_features(pages: DataFrame, lex: S.Lexicon, term_arrays: list[Column] | None = None,

@@ -37,6 +37,13 @@ class DailyParams:
         return self.as_of[:10]
 
 
+def materialize(df: DataFrame) -> DataFrame:
+    """Cut lineage of a small intermediate that is read more than once."""
+    from riskfeed.session import ensure_checkpoint_dir
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
 def new_mentions(raw_items: DataFrame, dictionary: DataFrame, pages: DataFrame,
                  block: DataFrame, allow: DataFrame, lex: Lexicon,
                  stored: DataFrame | None, p: DailyParams) -> DataFrame:
@@ -47,6 +54,11 @@ def new_mentions(raw_items: DataFrame, dictionary: DataFrame, pages: DataFrame,
     items = G.link_gates(items, block, seen)
     items = G.top_k_per_term(items, p.max_items_per_term)
     items = G.recent(items, p.as_of_date, p.recency_days)
+    # the survivors (<= max_items_per_term per term) feed both the page
+    # selection and the enrichment join: materialise them once (reliable
+    # checkpoint in the cluster's checkpoint folder) instead of re-running the
+    # scans, joins and the top-k window for each use
+    items = materialize(items)
     arrays = Q.term_arrays(terms)
     feats = E.page_features(E.pages_for_links(pages, items), lex, arrays, p.min_article_chars)
     new = E.enrich(items, feats)

@@ -241,7 +241,7 @@ def term_match_any(spark, sf):
 
 def _gated_recent(spark, sf, k=B.TEST_ITEMS_PER_TERM) -> DataFrame:
     it = G.link_gates(items(spark, sf), B.block_list(spark))
-    return G.recent(G.top_k_per_term(it, k), B.AS_OF_DATE)
+    return daily.materialize(G.recent(G.top_k_per_term(it, k), B.AS_OF_DATE))
 
 
 @query
@@ -255,7 +255,7 @@ def enrich_mentions(spark, sf):
 def enrich_defaults(spark, sf):
     it = items(spark, sf)
     landed = B.pages(spark, sf).where(~F.col("link").contains(C.TRANSLATED_MARKER))
-    feats = E.page_features(E.pages_for_links(landed, it), B.lexicon(spark))
+    feats = E.page_features(E.one_page_per_link(spread_for_cpu(landed)), B.lexicon(spark))
     out = E.enrich(it, feats)
     return out.select("item_id", F.length("summary").alias("summary_chars"), "sentiment", "polarity",
                       F.size("keywords").alias("n_keywords"))
@@ -299,7 +299,7 @@ def score_component_stats(spark, sf):
 @query
 def sentiment_mix(spark, sf):
     m = mention_view(spark, sf)
-    feats = E.page_features(E.pages_for_links(B.pages(spark, sf), m), B.lexicon(spark))
+    feats = E.page_features(E.one_page_per_link(spread_for_cpu(B.pages(spark, sf))), B.lexicon(spark))
     e = E.enrich(m, feats)
     return e.groupBy("risk_id", "published_date", "sentiment").agg(F.count(F.lit(1)).alias("n"))
 
@@ -360,6 +360,11 @@ def _daily(spark, sf):
     p1 = daily.DailyParams(as_of=B.EARLIER_AS_OF, max_items_per_term=B.TEST_ITEMS_PER_TERM,
                            window_days=B.TEST_WINDOW_DAYS)
     first, _ = daily.run(raw, dic, pg, blk, alw, lex, None, p1)
+    # day 1 publishes its store; day 2 reads the live version back (the real flow)
+    from riskfeed import sinks
+    root = _scratch(spark, "daily-store")
+    sinks.write_current(first, root)
+    first = sinks.read_current(spark, root)
     p2 = daily.DailyParams(as_of=B.AS_OF, max_items_per_term=B.TEST_ITEMS_PER_TERM,
                            window_days=B.TEST_WINDOW_DAYS)
     return daily.run(raw, dic, pg, blk, alw, lex, first, p2)
