@@ -70,10 +70,17 @@ def new_mentions(raw_items: DataFrame, dictionary: DataFrame, pages: DataFrame,
 
 
 def run(raw_items: DataFrame, dictionary: DataFrame, pages: DataFrame, block: DataFrame,
-        allow: DataFrame, lex: Lexicon, stored: DataFrame | None, p: DailyParams):
+        allow: DataFrame, lex: Lexicon, stored: DataFrame | None, p: DailyParams,
+        observation=None):
     """One daily run. Returns (current, old): the store to write and the rows
-    that left the window (archive)."""
+    that left the window (archive). With a ``pyspark.sql.Observation`` the run
+    audit counts (new rows, their null dates, their mean quality score) are
+    collected as a side effect of the first action, without an extra pass."""
     new = new_mentions(raw_items, dictionary, pages, block, allow, lex, stored, p)
+    if observation is not None:
+        new = new.observe(observation, F.count(F.lit(1)).alias("new_rows"),
+                          F.count_if(F.col("published_date").isNull()).alias("new_null_dates"),
+                          F.avg("quality_score").alias("new_mean_score"))
     if stored is None:
         stored = new.limit(0)
     stored = stored.select(*[c for c in OUTPUT_COLUMNS if c in stored.columns])
