@@ -27,9 +27,14 @@ def last_four_weeks(df: DataFrame, as_of: str, date_col: str | None = None,
     date_col = date_col or pick_column(df.columns, C.DATE_COLUMN_WORDS)
     if date_col is None:
         return df
+    cutoff = F.expr(f"CAST('{as_of}' AS TIMESTAMP_NTZ) - make_interval(0, 0, 0, {int(days)})")
+    dtype = df.schema[date_col].dataType.typeName()
+    if dtype in ("date", "timestamp", "timestamp_ntz"):
+        # a typed column cannot hold an unparsable value: no strict-check pass,
+        # and the filter prunes the store's date partitions
+        return df.where(F.col(date_col).cast("timestamp_ntz") >= cutoff)
     parsed = D.coerce_date(F.col(date_col)).cast("timestamp_ntz")
     bad = df.select(F.count_if(F.col(date_col).isNotNull() & parsed.isNull())).scalar()
-    cutoff = F.expr(f"CAST('{as_of}' AS TIMESTAMP_NTZ) - make_interval(0, 0, 0, {int(days)})")
     return df.where((bad > 0) | (parsed >= cutoff))
 
 

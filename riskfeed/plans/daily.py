@@ -81,10 +81,21 @@ def run(raw_items: DataFrame, dictionary: DataFrame, pages: DataFrame, block: Da
         new = new.observe(observation, F.count(F.lit(1)).alias("new_rows"),
                           F.count_if(F.col("published_date").isNull()).alias("new_null_dates"),
                           F.avg("quality_score").alias("new_mean_score"))
+    # keep-first dedupe on (title, link, published_date), stored rows first.
+    # The store is already duplicate-free, and every new row passed the recency
+    # gate (date >= as_of_date - recency_days), so only that date slice of the
+    # store can collide: dedupe the new rows among themselves, drop those whose
+    # key is in the slice (date-partition pruning on the store), append.
+    new = ST.dedupe_keep_first(new.withColumn("_batch", F.lit(1)), ST.DEDUPE_KEYS, ORDER_COLUMNS)
+    new = new.select(*OUTPUT_COLUMNS)
     if stored is None:
-        stored = new.limit(0)
-    stored = stored.select(*[c for c in OUTPUT_COLUMNS if c in stored.columns])
-    combined = ST.combine(stored, new)
-    deduped = ST.dedupe_keep_first(combined, ST.DEDUPE_KEYS, ORDER_COLUMNS)
-    current, old = ST.window_split(deduped.select(*OUTPUT_COLUMNS), p.as_of, p.window_days)
+        combined = new
+    else:
+        stored = stored.select(*[c for c in OUTPUT_COLUMNS if c in stored.columns])
+        low = F.date_sub(F.lit(p.as_of_date).cast("date"), p.recency_days)
+        keys = list(ST.DEDUPE_KEYS)
+        slice_keys = stored.where(F.col("published_date") >= low).select(*keys).distinct()
+        new = new.join(slice_keys, keys, "left_anti")
+        combined = stored.unionByName(new, allowMissingColumns=True)
+    current, old = ST.window_split(combined.select(*OUTPUT_COLUMNS), p.as_of, p.window_days)
     return current, old
