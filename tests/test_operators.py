@@ -179,3 +179,50 @@ def test_pick_column():
     cols = ["risk_id", "search_term_id", "title", "summary", "published_date", "sentiment"]
     assert DG.pick_column(cols, ("date", "time")) == "published_date"
     assert DG.pick_column(cols, ("title", "summary", "content", "text", "headline")) == "title"
+
+
+def test_sentiment_join_path_equals_inline(spark):
+    from riskfeed import constants as C
+    from riskfeed.operators import sentiment as S
+    from riskfeed.sources import binding as B
+    from tests.conftest import SF_SMALL
+    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet").select("doc_id", "text")
+    lex = B.lexicon(spark)
+    inline = {r["doc_id"]: r["compound"] for r in S.score_texts(docs, "text", "doc_id", lex).collect()}
+    saved = C.MAX_INLINE_LEXICON
+    try:
+        C.MAX_INLINE_LEXICON = 3          # force the explode + join + regroup path
+        S.Lexicon.valence_lookup.__defaults__ = (3,)
+        joined = {r["doc_id"]: r["compound"] for r in S.score_texts(docs, "text", "doc_id", lex).collect()}
+    finally:
+        C.MAX_INLINE_LEXICON = saved
+        S.Lexicon.valence_lookup.__defaults__ = (saved,)
+    assert joined == inline and len(inline) == docs.count()
+
+
+def test_binary_search_lookup_equals_map(spark):
+    from riskfeed import constants as C
+    from riskfeed.operators import sentiment as S
+    from riskfeed.sources import binding as B
+    from tests.conftest import SF_SMALL
+    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet").select("doc_id", "text")
+    lex = B.lexicon(spark)
+    saved = C.LINEAR_LOOKUP_MAX
+    try:
+        C.LINEAR_LOOKUP_MAX = 0
+        bs = {r["doc_id"]: r["compound"] for r in S.score_texts(docs, "text", "doc_id", lex).collect()}
+    finally:
+        C.LINEAR_LOOKUP_MAX = saved
+    lin = {r["doc_id"]: r["compound"] for r in S.score_texts(docs, "text", "doc_id", lex).collect()}
+    assert bs == lin
+
+
+def test_term_arrays_chunked_exact(spark):
+    terms = spark.createDataFrame([(t,) for t in ["alpha", "beta", "gamma", "delta", "eps"]], "search_terms string")
+    one = Q.term_arrays(terms, bound=100)
+    many = Q.term_arrays(terms, bound=2)
+    assert len(one) == 1 and len(many) == 3
+    df = spark.createDataFrame([("x gamma y",), ("nothing",), ("EPS!",)], "t string")
+    a = [r[0] for r in df.select(Q.contains_any(F.col("t"), one)).collect()]
+    b = [r[0] for r in df.select(Q.contains_any(F.col("t"), many)).collect()]
+    assert a == b == [True, False, True]
