@@ -46,9 +46,11 @@ def merge(store: DataFrame, targets: DataFrame, pages: DataFrame, lex: S.Lexicon
     # join): materialise them once
     from riskfeed.plans.daily import materialize
     tp = materialize(tp)
+    # text per page map-side, then one page per link (lowest id): only the
+    # extracted text is shuffled, never the raw HTML
     texts = (pages.join(tp.select("link").distinct(), "link", "left_semi")
-             .groupBy("link").agg(F.min_by("html", "page_id").alias("html"))
-             .select("link", X.page_text_backfill("html").alias("_new")))
+             .select("link", "page_id", X.page_text_backfill("html").alias("_new"))
+             .groupBy("link").agg(F.min_by("_new", "page_id").alias("_new")))
     texts = texts.where(F.length("_new") >= usable_chars)
     texts = S.score_texts(texts, "_new", "link", lex, out_col="_pol")
     upd = tp.join(texts, "link", "inner").select(*key_cols, "_new", "_pol", "_pol_label")

@@ -13,32 +13,31 @@ from riskfeed.operators.score import contains_any
 
 
 def pages_for_links(pages: DataFrame, links: DataFrame) -> DataFrame:
-    """Pages of the surviving links only (semi join: the planner broadcasts the
-    link side when it is small at run time), one page per link (lowest id)."""
-    want = links.select("link").distinct()
-    return one_page_per_link(pages.join(want, "link", "left_semi"))
-
-
-def one_page_per_link(pages: DataFrame) -> DataFrame:
-    """One page per link (lowest page id wins); partial aggregation combines
-    repeated fetches of a link before the shuffle. Used directly when most
-    pages are needed (no point in a semi join first)."""
-    return pages.groupBy("link").agg(F.min_by("html", "page_id").alias("html"))
+    """Pages of the surviving links only: a semi join, which the planner runs as
+    a broadcast (map-side) join when the link set is small at run time."""
+    return pages.join(links.select("link").distinct(), "link", "left_semi")
 
 
 def page_features(pages: DataFrame, lex: S.Lexicon, term_arrays: list[Column] | None = None,
                   min_chars: int = C.MIN_ARTICLE_CHARS) -> DataFrame:
-    """(link, html) -> (link, summary, polarity, sentiment[, summary_match, summary_words]).
+    """(page_id, link, html) -> one row per link: (link, summary, polarity,
+    sentiment[, summary_match, summary_words]).
 
     summary = paragraph text, blanked when shorter than ``min_chars``; the
-    compound score and label are computed on that text."""
-    feats = pages.select("link", X.blank_short(X.page_text("html"), min_chars).alias("summary"))
-    feats = S.score_texts(feats, "summary", "link", lex, out_col="polarity")
+    compound score and label are computed on that text. Everything is computed
+    map-side on the page rows; only the resulting feature rows are shuffled to
+    keep one page per link (lowest page id), never the raw HTML."""
+    feats = pages.select("page_id", "link",
+                         X.blank_short(X.page_text("html"), min_chars).alias("summary"))
+    feats = S.score_texts(feats, "summary", "page_id", lex, out_col="polarity")
     feats = feats.withColumnRenamed("polarity_label", "sentiment")
+    cols = ["summary", "polarity", "sentiment"]
     if term_arrays is not None:
-        feats = (feats.withColumn("summary_match", contains_any(F.col("summary"), term_arrays))
-                 .withColumn("summary_words", X.word_count("summary")))
-    return feats
+        feats = feats.withColumns({"summary_match": contains_any(F.col("summary"), term_arrays),
+                                   "summary_words": X.word_count("summary")})
+        cols += ["summary_match", "summary_words"]
+    one = feats.groupBy("link").agg(F.min_by(F.struct(*cols), "page_id").alias("_f"))
+    return one.select("link", *[F.col("_f")[c].alias(c) for c in cols])
 
 
 def enrich(items: DataFrame, features: DataFrame) -> DataFrame:

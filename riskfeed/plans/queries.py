@@ -255,7 +255,7 @@ def enrich_mentions(spark, sf):
 def enrich_defaults(spark, sf):
     it = items(spark, sf)
     landed = B.pages(spark, sf).where(~F.col("link").contains(C.TRANSLATED_MARKER))
-    feats = E.page_features(E.one_page_per_link(spread_for_cpu(landed)), B.lexicon(spark))
+    feats = E.page_features(spread_for_cpu(landed), B.lexicon(spark))
     out = E.enrich(it, feats)
     return out.select("item_id", F.length("summary").alias("summary_chars"), "sentiment", "polarity",
                       F.size("keywords").alias("n_keywords"))
@@ -299,7 +299,7 @@ def score_component_stats(spark, sf):
 @query
 def sentiment_mix(spark, sf):
     m = mention_view(spark, sf)
-    feats = E.page_features(E.one_page_per_link(spread_for_cpu(B.pages(spark, sf))), B.lexicon(spark))
+    feats = E.page_features(spread_for_cpu(B.pages(spark, sf)), B.lexicon(spark))
     e = E.enrich(m, feats)
     return e.groupBy("risk_id", "published_date", "sentiment").agg(F.count(F.lit(1)).alias("n"))
 
