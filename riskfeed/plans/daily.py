@@ -71,7 +71,7 @@ def new_mentions(raw_items: DataFrame, dictionary: DataFrame, pages: DataFrame,
 
 def run(raw_items: DataFrame, dictionary: DataFrame, pages: DataFrame, block: DataFrame,
         allow: DataFrame, lex: Lexicon, stored: DataFrame | None, p: DailyParams,
-        observation=None):
+        observation=None, with_new: bool = False):
     """One daily run. Returns (current, old): the store to write and the rows
     that left the window (archive). With a ``pyspark.sql.Observation`` the run
     audit counts (new rows, their null dates, their mean quality score) are
@@ -98,4 +98,7 @@ def run(raw_items: DataFrame, dictionary: DataFrame, pages: DataFrame, block: Da
         new = new.join(slice_keys, keys, "left_anti")
         combined = stored.unionByName(new, allowMissingColumns=True)
     current, old = ST.window_split(combined.select(*OUTPUT_COLUMNS), p.as_of, p.window_days)
+    if with_new:
+        # the rows this run adds to the store (for an append-only store)
+        return current, old, new
     return current, old

@@ -36,8 +36,13 @@ class DailyInputs:
 
 
 def daily_job(spark: SparkSession, inp: DailyInputs, p: daily.DailyParams, export_csv: str | None = None,
-              archive_overwrite: bool = False) -> dict:
-    """PIPE1 over files; returns the run audit (observed counts)."""
+              archive_overwrite: bool = False, append_only: bool = False) -> dict:
+    """PIPE1 over files; returns the run audit (observed counts).
+
+    Default: the in-window rows become a new store version and aged rows go to
+    the archive (the reproduced behaviour). ``append_only=True``: only the new
+    rows are written (appended to their date partitions); readers take the
+    window with :func:`sinks.read_window`."""
     from pyspark.sql import Observation
     dictionary = lists.decode_dictionary(lists.read_terms(spark, inp.terms_csv, inp.risk_set))
     block = lists.read_source_list(spark, inp.block_csv) if inp.block_csv else lists.normalize_list(
@@ -45,10 +50,22 @@ def daily_job(spark: SparkSession, inp: DailyInputs, p: daily.DailyParams, expor
     allow = lists.read_source_list(spark, inp.allow_csv) if inp.allow_csv else lists.normalize_list(
         spark.createDataFrame([], "name string"))
     lex = read_lexicon(spark, inp.lexicon) if inp.lexicon else default_lexicon(spark)
-    stored = sinks.read_current(spark, inp.store_root)
+    # append-only: the live store is the window of the appended rows (older
+    # partitions are the archive and are pruned away)
+    stored = (sinks.read_window(spark, inp.store_root, p.as_of, p.window_days)[0] if append_only
+              else sinks.read_current(spark, inp.store_root))
     obs = Observation("daily_run")
-    current, old = daily.run(read_feed(spark, inp.feed_root), dictionary, read_pages(spark, inp.pages),
-                             block, allow, lex, stored, p, obs)
+    current, old, new = daily.run(read_feed(spark, inp.feed_root), dictionary, read_pages(spark, inp.pages),
+                                  block, allow, lex, stored, p, obs, with_new=True)
+    if append_only:
+        new = daily.materialize(new)
+        sinks.append_new(new, inp.store_root)
+        audit = dict(obs.get)
+        cur, _ = sinks.read_window(spark, inp.store_root, p.as_of, p.window_days)
+        audit.update(current_rows=cur.count())
+        if export_csv:
+            sinks.export_csv(cur, export_csv)
+        return audit
     # materialise once: the store version, the archive and the export all read it
     current = daily.materialize(current)
     version = sinks.write_current(current, inp.store_root)
@@ -99,6 +116,7 @@ def main(argv=None) -> None:
     d.add_argument("--max-terms", type=int, default=C.MAX_TERMS)
     d.add_argument("--max-items-per-term", type=int, default=C.MAX_ITEMS_PER_TERM)
     d.add_argument("--window-days", type=int, default=C.WINDOW_DAYS)
+    d.add_argument("--append-only", action="store_true")
     b = sub.add_parser("backfill")
     for a in ("store-root", "pages", "as-of"):
         b.add_argument(f"--{a}", required=True)
@@ -115,7 +133,7 @@ def main(argv=None) -> None:
                           args.block_csv or "", args.allow_csv or "", args.risk_set, args.lexicon)
         p = daily.DailyParams(as_of=args.as_of, max_terms=args.max_terms,
                               max_items_per_term=args.max_items_per_term, window_days=args.window_days)
-        print(daily_job(spark, inp, p, args.export_csv))
+        print(daily_job(spark, inp, p, args.export_csv, append_only=args.append_only))
     elif args.job == "backfill":
         print(backfill_job(spark, args.store_root, args.pages, args.as_of, args.start, args.end, args.lexicon))
     else:

@@ -83,3 +83,32 @@ def write_narratives(digest: DataFrame, root: str, run_ts: str) -> None:
     (stamped.withColumn("run_ts", F.lit(run_ts.replace(" ", "T")))
      .write.mode("append").partitionBy("run_ts").parquet(f"{root.rstrip('/')}/history"))
     stamped.write.mode("overwrite").parquet(f"{root.rstrip('/')}/latest")
+
+
+# ---------------------------------------------------------------- append-only store
+
+def append_new(new_rows: DataFrame, root: str) -> None:
+    """Append-only store: a run writes only its new rows, as new files in their
+    date partitions (one atomic job commit). The rolling window is applied when
+    reading (partition pruning), so nothing old is rewritten. A re-run after a
+    failure is idempotent: its seen-link gate and key anti join drop every row
+    the failed attempt already committed."""
+    (new_rows.repartition("published_date")
+     .sortWithinPartitions(F.col("published_date").desc(), "link", "title")
+     .write.mode("append").partitionBy("published_date").parquet(f"{root.rstrip('/')}/data"))
+
+
+def read_appended(spark: SparkSession, root: str) -> DataFrame | None:
+    try:
+        return spark.read.parquet(f"{root.rstrip('/')}/data")
+    except Exception:  # noqa: BLE001 - empty store
+        return None
+
+
+def read_window(spark: SparkSession, root: str, as_of: str, days: int):
+    """(current, old) of an append-only store at ``as_of``; the date filter
+    prunes partitions, so reading the current window never touches old files."""
+    df = read_appended(spark, root)
+    if df is None:
+        return None, None
+    return ST.window_split(df, as_of, days)

@@ -38,3 +38,16 @@ def test_daily_rerun_adds_nothing_then_backfill_and_digest(spark, tmp_path):
     n = jobs.digest_job(spark, inp.store_root, str(tmp_path / "digest"), B.AS_OF)
     assert n > 0
     assert spark.read.option("header", True).csv(str(tmp_path / "export")).count() == first["current_rows"]
+
+
+def test_append_only_store_matches_versioned(spark, tmp_path):
+    import dataclasses
+    inp = _inputs(spark, tmp_path)
+    p = daily.DailyParams(as_of=B.AS_OF, max_items_per_term=B.TEST_ITEMS_PER_TERM,
+                          window_days=B.TEST_WINDOW_DAYS)
+    versioned = jobs.daily_job(spark, inp, p)
+    app = dataclasses.replace(inp, store_root=str(tmp_path / "append"))
+    a1 = jobs.daily_job(spark, app, p, append_only=True)
+    a2 = jobs.daily_job(spark, app, p, append_only=True)
+    assert a1["current_rows"] == versioned["current_rows"] == a2["current_rows"]
+    assert a2["new_rows"] == 0
