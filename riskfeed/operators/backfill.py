@@ -34,6 +34,12 @@ def batch_targets(store: DataFrame, start: str, end: str, days: int = C.BACKFILL
                        & is_missing(F.col("summary"), min_chars))
 
 
+def batch_first_day(latest, days: int = C.BACKFILL_BATCH_DAYS):
+    """First calendar day of the batch ending on ``latest`` (a date value)."""
+    import datetime as dt
+    return latest - dt.timedelta(days=days - 1)
+
+
 def merge(store: DataFrame, targets: DataFrame, pages: DataFrame, lex: S.Lexicon, as_of: str,
           key_cols=("title", "link", "published_date"),
           usable_chars: int = C.BACKFILL_USABLE_CHARS) -> DataFrame:
@@ -53,8 +59,14 @@ def merge(store: DataFrame, targets: DataFrame, pages: DataFrame, lex: S.Lexicon
              .groupBy("link").agg(F.min_by("_new", "page_id").alias("_new")))
     texts = texts.where(F.length("_new") >= usable_chars)
     texts = S.score_texts(texts, "_new", "link", lex, out_col="_pol")
-    upd = tp.join(texts, "link", "inner").select(*key_cols, "_new", "_pol", "_pol_label")
-    out = store.join(upd, list(key_cols), "left")
+    upd = tp.join(texts, "link", "inner").select(
+        *[F.col(k).alias(f"_k_{k}") for k in key_cols], "_new", "_pol", "_pol_label")
+    # row key match with NULL = NULL (a stored title may be NULL)
+    cond = None
+    for k in key_cols:
+        c = store[k].eqNullSafe(upd[f"_k_{k}"])
+        cond = c if cond is None else cond & c
+    out = store.join(upd, cond, "left").drop(*[f"_k_{k}" for k in key_cols])
     hit = F.col("_new").isNotNull()
     out = (out.withColumn("summary", F.when(hit, F.col("_new")).otherwise(F.col("summary")))
            .withColumn("sentiment", F.when(hit, F.col("_pol_label")).otherwise(F.col("sentiment")))

@@ -80,16 +80,31 @@ def daily_job(spark: SparkSession, inp: DailyInputs, p: daily.DailyParams, expor
 
 def backfill_job(spark: SparkSession, store_root: str, pages: str, as_of: str,
                  start: str = C.BACKFILL_RANGE[0], end: str = C.BACKFILL_RANGE[1],
-                 lexicon: str | None = None) -> str | None:
+                 lexicon: str | None = None, append_only: bool = False) -> str | None:
     """PIPE2: fill missing text of the latest 3-day batch; publish only when a
-    row changed. Returns the new store version or None."""
-    store = sinks.read_current(spark, store_root)
+    row changed. Versioned store: returns the new version or None. Append-only
+    store: only the batch's date partitions are read, merged and overwritten
+    (dynamic partition overwrite); returns "dates:<first>..<last>" or None."""
+    from pyspark.sql import functions as F
+    store = sinks.read_appended(spark, store_root) if append_only else sinks.read_current(spark, store_root)
     if store is None:
         return None
     lex = read_lexicon(spark, lexicon) if lexicon else default_lexicon(spark)
-    targets = BF.batch_targets(store, start, end)
-    merged = BF.merge(store, targets, read_pages(spark, pages), lex, as_of)
-    return sinks.publish_backfill(daily.materialize(merged), store_root)
+    if not append_only:
+        targets = BF.batch_targets(store, start, end)
+        merged = BF.merge(store, targets, read_pages(spark, pages), lex, as_of)
+        return sinks.publish_backfill(daily.materialize(merged), store_root)
+    latest = BF.candidates(store, start, end).select(F.max("published_date")).first()[0]
+    if latest is None:
+        return None
+    first = BF.batch_first_day(latest)
+    touched = store.where(F.col("published_date").between(F.lit(first), F.lit(latest)))  # pruned
+    targets = BF.batch_targets(touched, start, end)
+    merged = daily.materialize(BF.merge(touched, targets, read_pages(spark, pages), lex, as_of))
+    if merged.where(F.col("backfilled")).limit(1).count() == 0:
+        return None
+    sinks.overwrite_dates(merged.drop("backfilled"), store_root)
+    return f"dates:{first}..{latest}"
 
 
 def digest_job(spark: SparkSession, store_root: str, out_root: str, as_of: str) -> int:

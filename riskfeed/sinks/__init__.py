@@ -112,3 +112,19 @@ def read_window(spark: SparkSession, root: str, as_of: str, days: int):
     if df is None:
         return None, None
     return ST.window_split(df, as_of, days)
+
+
+def overwrite_dates(rows: DataFrame, root: str) -> None:
+    """Replace exactly the date partitions present in ``rows`` of an
+    append-only store (dynamic partition overwrite); every other date is left
+    untouched. ``rows`` must not be a lazy read of those same partitions:
+    materialise it first (Spark refuses to overwrite a path it is reading)."""
+    spark = rows.sparkSession
+    prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode", "static")
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    try:
+        (rows.repartition("published_date")
+         .sortWithinPartitions(F.col("published_date").desc(), "link", "title")
+         .write.mode("overwrite").partitionBy("published_date").parquet(f"{root.rstrip('/')}/data"))
+    finally:
+        spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)

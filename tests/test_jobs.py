@@ -51,3 +51,24 @@ def test_append_only_store_matches_versioned(spark, tmp_path):
     a2 = jobs.daily_job(spark, app, p, append_only=True)
     assert a1["current_rows"] == versioned["current_rows"] == a2["current_rows"]
     assert a2["new_rows"] == 0
+
+
+def test_backfill_overwrites_only_batch_dates(spark, tmp_path):
+    import datetime as dt
+    from pyspark.sql import functions as F
+    from riskfeed import sinks
+    store = B.docs_store(spark, SF_SMALL).drop("doc_id").withColumn("risk_id", F.lit(1))
+    root = str(tmp_path / "app")
+    sinks.append_new(store, root)
+    before = {r["published_date"]: r["n"] for r in
+              sinks.read_appended(spark, root).groupBy("published_date").agg(F.count("*").alias("n")).collect()}
+    res = jobs.backfill_job(spark, root, f"{SF_SMALL}/pages.parquet", B.AS_OF,
+                            *B.TEST_BACKFILL_RANGE, append_only=True)
+    assert res is not None and res.startswith("dates:")
+    after_df = sinks.read_appended(spark, root)
+    after = {r["published_date"]: r["n"] for r in
+             after_df.groupBy("published_date").agg(F.count("*").alias("n")).collect()}
+    assert after == before                                  # no row lost or duplicated
+    first, last = (dt.date.fromisoformat(x) for x in res[6:].split(".."))
+    changed = after_df.where(F.col("last_run_timestamp").isNotNull()).select("published_date").distinct()
+    assert all(first <= r[0] <= last for r in changed.collect()) and changed.count() > 0
