@@ -382,6 +382,8 @@ def oracle_sql() -> dict[str, str]:
          f"{encode_sql(ENC_TEXT)} AS encoded_terms FROM events)"],
         f"SELECT event_id, encoded_terms, {decode_sql('encoded_terms')} AS search_terms, "
         f"{decode_sql('uid')} AS decoded_user_id FROM enc")
+    s["term_dictionary"] = ("SELECT DISTINCT CAST(user_id % 10 AS INTEGER) AS risk_id, CAST(user_id AS INTEGER) "
+                            "AS search_term_id, 'user ' || CAST(user_id AS VARCHAR) AS search_terms FROM events")
     s["coerce_risk_id"] = (
         "SELECT event_id, TRY_CAST(trunc(TRY_CAST(CAST(value AS VARCHAR) AS DOUBLE)) AS INTEGER) AS risk_id_from_value, "
         "TRY_CAST(trunc(TRY_CAST(regexp_extract(props, '(\\d+)', 1) AS DOUBLE)) AS INTEGER) AS risk_id_from_k, "

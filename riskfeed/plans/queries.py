@@ -448,3 +448,21 @@ def stream_ingest(spark, sf):
         q = ingest_stream(spark, f"{base}/landing", f"{base}/store", f"{base}/ckpt", B.block_list(spark))
         q.awaitTermination()
     return read_store(spark, f"{base}/store").select("link")
+
+
+@query
+def term_dictionary(spark, sf):
+    """SRC1 + FN1 + FN2: a dictionary CSV in the shipped format (header
+    ENTERPRISE_RISK_ID, SEARCH_TERM_ID, ENCODED_TERMS), derived from events
+    (one term per distinct user), written by Spark, read back and decoded."""
+    from riskfeed.sources.lists import decode_dictionary, read_terms
+    users = read_table(spark, sf, "events", "user_id").distinct()
+    rows = users.select(
+        (F.col("user_id") % 10).cast("string").alias("ENTERPRISE_RISK_ID"),
+        F.col("user_id").cast("string").alias("SEARCH_TERM_ID"),
+        F.concat(F.lit("user "), F.col("user_id").cast("string")).alias("_t"))
+    rows = rows.select("ENTERPRISE_RISK_ID", "SEARCH_TERM_ID", T.encode_term("_t").alias("ENCODED_TERMS"))
+    path = _scratch(spark, "terms-csv")
+    rows.write.mode("overwrite").option("header", True).csv(path)
+    d = decode_dictionary(read_terms(spark, path, "enterprise"))
+    return d.select("risk_id", "search_term_id", "search_terms")
