@@ -9,6 +9,13 @@ from pyspark.sql import functions as F
 _MEMO: dict = {}
 
 
+def clear_memo() -> None:
+    """Forget memoised dimension checks (call at the start of a job run: a
+    dimension file may have changed on disk since the last run in a
+    long-lived session, while its plan hash has not)."""
+    _MEMO.clear()
+
+
 def _memo(df: DataFrame, kind: str, bound: int, compute):
     """Results of dimension checks / collections, keyed by the plan's semantic
     hash: the same small dimension rebuilt for several operators of one plan

@@ -16,6 +16,7 @@ from riskfeed import constants as C
 from riskfeed import sinks
 from riskfeed.operators import backfill as BF
 from riskfeed.operators import digest as DG
+from riskfeed.operators.common import clear_memo
 from riskfeed.plans import daily
 from riskfeed.sources import lists
 from riskfeed.sources.feed import read_feed, read_pages
@@ -44,6 +45,7 @@ def daily_job(spark: SparkSession, inp: DailyInputs, p: daily.DailyParams, expor
     rows are written (appended to their date partitions); readers take the
     window with :func:`sinks.read_window`."""
     from pyspark.sql import Observation
+    clear_memo()
     dictionary = lists.decode_dictionary(lists.read_terms(spark, inp.terms_csv, inp.risk_set))
     block = lists.read_source_list(spark, inp.block_csv) if inp.block_csv else lists.normalize_list(
         spark.createDataFrame([], "name string"))
@@ -86,6 +88,7 @@ def backfill_job(spark: SparkSession, store_root: str, pages: str, as_of: str,
     store: only the batch's date partitions are read, merged and overwritten
     (dynamic partition overwrite); returns "dates:<first>..<last>" or None."""
     from pyspark.sql import functions as F
+    clear_memo()
     store = sinks.read_appended(spark, store_root) if append_only else sinks.read_current(spark, store_root)
     if store is None:
         return None
@@ -109,6 +112,7 @@ def backfill_job(spark: SparkSession, store_root: str, pages: str, as_of: str,
 
 def digest_job(spark: SparkSession, store_root: str, out_root: str, as_of: str) -> int:
     """PIPE3: per-risk digest and prompt rows of the last 4 weeks."""
+    clear_memo()
     store = sinks.read_current(spark, store_root)
     if store is None:
         return 0

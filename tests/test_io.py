@@ -96,3 +96,19 @@ def test_daily_run_observed_metrics(spark):
     n = cur.count()
     m = obs.get
     assert m["new_rows"] >= n > 0 and m["new_null_dates"] == 0
+
+
+def test_changed_dictionary_file_is_reread(spark, tmp_path):
+    from riskfeed.operators import gates as G
+    from riskfeed.operators import score as Q
+    from riskfeed.operators.common import clear_memo
+    p = tmp_path / "t.csv"
+
+    def terms_of(word):
+        p.write_text(f"ENTERPRISE_RISK_ID,SEARCH_TERM_ID,ENCODED_TERMS\n1,1,{int.from_bytes(word.encode(), 'little')}\n")
+        clear_memo()
+        arrs = Q.term_arrays(G.valid_terms(lists.decode_dictionary(lists.read_terms(spark, str(p)))))
+        return spark.range(1).select(Q.contains_any(F.lit("a malware note"), arrs)).first()[0]
+
+    assert terms_of("malware") is True
+    assert terms_of("botnet") is False
