@@ -552,7 +552,8 @@ def oracle_sql() -> dict[str, str]:
                                   "JOIN raw_items r ON r.item_id = i.item_id")
     s["stream_ingest"] = with_(base, f"SELECT DISTINCT link FROM items g WHERE {gate} AND published_date IS NOT NULL "
                                      "AND NOT EXISTS (SELECT 1 FROM blk b WHERE b.name = g.source)")
-    s["daily_mentions"] = with_(DAILY, "SELECT * FROM r2_cur")
+    s["daily_mentions"] = with_(DAILY, "SELECT * EXCLUDE (keywords), CAST(len(keywords) AS INTEGER) AS n_keywords "
+                                       "FROM r2_cur")
     exp_cols = []
     for c in OUT_COLS:
         if c == "keywords":
