@@ -53,6 +53,8 @@ def literal_array(df: DataFrame, col: Column, bound: int, elem_type: str = "stri
     if len(rows) > bound:
         raise TooLarge(f"more than {bound} rows")
     values = [r[0] for r in rows]
+    if elem_type == "string":
+        return string_array_literal(values)
     return F.array(*[F.lit(v) for v in values]).cast(f"array<{elem_type}>") if values \
         else F.array().cast(f"array<{elem_type}>")
 
@@ -81,6 +83,29 @@ def spread_for_cpu(df: DataFrame) -> DataFrame:
     enough splits and are left untouched (no shuffle). Only call this on scans:
     asking a joined plan for its partitions would prepare that whole plan."""
     slots = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < slots:
+    n = df.rdd.getNumPartitions()
+    if n < slots and n <= SPREAD_MAX_SCAN_PARTITIONS:
         return df.repartition(slots)
     return df
+
+
+# a scan with at most this many splits is small (<= a few GB): spreading it
+# costs little; larger scans already provide their own parallelism
+SPREAD_MAX_SCAN_PARTITIONS = 16
+_SEP = "\u0001"
+
+
+def string_array_literal(values: list[str]) -> Column:
+    """Array literal of strings built from one joined string split at plan time
+    (constant-folded), instead of one expression per element."""
+    if not values:
+        return F.array().cast("array<string>")
+    if any(v is None or _SEP in v for v in values):
+        return F.array(*[F.lit(v) for v in values]).cast("array<string>")
+    return F.split(F.lit(_SEP.join(values)), _SEP, -1)
+
+
+def double_array_literal(values: list[float]) -> Column:
+    if not values:
+        return F.array().cast("array<double>")
+    return F.split(F.lit(",".join(repr(float(v)) for v in values)), ",", -1).cast("array<double>")

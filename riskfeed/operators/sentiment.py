@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from riskfeed import constants as C
 from riskfeed.functions import text as X
-from riskfeed.operators.common import _memo, literal_map
+from riskfeed.operators.common import _memo, double_array_literal, literal_map, string_array_literal
 
 _EDGE_PUNCT = rf"^{X.PUNCT_CLASS}+|{X.PUNCT_CLASS}+$"
 
@@ -72,12 +72,11 @@ class Lexicon:
         keys = sorted(table, key=lambda k: k.encode("utf-8"))  # Spark compares strings bytewise
         if not keys:
             return lambda w: F.lit(0.0)
+        karr = string_array_literal(keys)
+        varr = double_array_literal([table[k] for k in keys])
         if len(keys) <= C.LINEAR_LOOKUP_MAX:
-            m = F.map_from_arrays(F.array(*[F.lit(k) for k in keys]),
-                                  F.array(*[F.lit(float(table[k])) for k in keys]).cast("array<double>"))
+            m = F.map_from_arrays(karr, varr)
             return lambda w: F.coalesce(F.try_element_at(m, w), F.lit(0.0))
-        karr = F.array(*[F.lit(k) for k in keys])
-        varr = F.array(*[F.lit(float(table[k])) for k in keys]).cast("array<double>")
         n = len(keys)
         steps = max(1, n.bit_length())
 
