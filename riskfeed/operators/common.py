@@ -20,7 +20,10 @@ def _memo(df: DataFrame, kind: str, bound: int, compute):
     """Results of dimension checks / collections, keyed by the plan's semantic
     hash: the same small dimension rebuilt for several operators of one plan
     is checked once."""
-    key = (df.semanticHash(), kind, bound)
+    try:
+        key = (df.semanticHash(), kind, bound)
+    except Exception:  # noqa: BLE001 - no plan hash available (e.g. remote session): no memo
+        return compute()
     if key not in _MEMO:
         _MEMO[key] = compute()
     return _MEMO[key]
@@ -82,8 +85,11 @@ def spread_for_cpu(df: DataFrame) -> DataFrame:
     spread the rows round-robin so every core works. Cluster-sized inputs have
     enough splits and are left untouched (no shuffle). Only call this on scans:
     asking a joined plan for its partitions would prepare that whole plan."""
-    slots = df.sparkSession.sparkContext.defaultParallelism
-    n = df.rdd.getNumPartitions()
+    try:
+        slots = df.sparkSession.sparkContext.defaultParallelism
+        n = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 - remote session: leave the plan as is
+        return df
     if n < slots and n <= SPREAD_MAX_SCAN_PARTITIONS:
         return df.repartition(slots)
     return df

@@ -40,13 +40,14 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     it is unset (local tests) a private scratch folder is created and set.
     """
     current = spark.conf.get("spark.checkpoint.dir", None)
-    if current:
+    if not current:
+        current = tempfile.mkdtemp(prefix="riskfeed-ckpt-", dir=os.environ.get("RISKFEED_SCRATCH", "/tmp"))
+        spark.conf.set("spark.checkpoint.dir", current)
+    try:
         spark.sparkContext.setCheckpointDir(current)
-        return current
-    scratch = tempfile.mkdtemp(prefix="riskfeed-ckpt-", dir=os.environ.get("RISKFEED_SCRATCH", "/tmp"))
-    spark.conf.set("spark.checkpoint.dir", scratch)
-    spark.sparkContext.setCheckpointDir(scratch)
-    return scratch
+    except Exception:  # noqa: BLE001 - remote session: the conf above is what it reads
+        pass
+    return current
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
