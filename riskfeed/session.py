@@ -39,17 +39,25 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     On a cluster the setting names shared storage and is used as is. Only when
     it is unset (local tests) a private scratch folder is created and set.
     """
-    current = spark.conf.get("spark.checkpoint.dir", None)
+    global _LOCAL_DIR
+    current = spark.conf.get("spark.checkpoint.dir", None) or _LOCAL_DIR
     if not current:
         current = tempfile.mkdtemp(prefix="riskfeed-ckpt-", dir=os.environ.get("RISKFEED_SCRATCH", "/tmp"))
-        spark.conf.set("spark.checkpoint.dir", current)
+        _LOCAL_DIR = current
+        try:
+            spark.conf.set("spark.checkpoint.dir", current)
+        except Exception:  # noqa: BLE001 - a core setting: not modifiable at run time
+            pass
     try:
         spark.sparkContext.setCheckpointDir(current)
-    except Exception:  # noqa: BLE001 - remote session: the conf above is what it reads
+    except Exception:  # noqa: BLE001 - remote session: the setting is what it reads
         pass
     return current
 
 
+_LOCAL_DIR: str | None = None
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A path below the shared checkpoint folder for intermediate tables."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
