@@ -91,6 +91,7 @@ def recent(items: DataFrame, as_of_date: str, days: int = C.RECENCY_DAYS) -> Dat
 
 def restrict_to_terms(items: DataFrame, terms: DataFrame) -> DataFrame:
     """Items were collected per search term: keep items of the capped terms and
-    attach the term's first dictionary position (broadcast: terms are capped)."""
-    t = F.broadcast(terms.select(F.col("search_terms").alias("term"), "term_pos"))
+    attach the term's first dictionary position (the capped term list is
+    broadcast after its size check)."""
+    t = maybe_broadcast(terms.select(F.col("search_terms").alias("term"), "term_pos"), C.MAX_INLINE_TERMS)
     return items.join(t, "term", "inner")

@@ -19,7 +19,7 @@ from riskfeed.operators import gates as G
 from riskfeed.operators import score as Q
 from riskfeed.operators import sentiment as S
 from riskfeed.operators import store as ST
-from riskfeed.operators.common import spread_for_cpu
+from riskfeed.operators.common import maybe_broadcast, spread_for_cpu
 from riskfeed.plans import daily
 from riskfeed.sources import binding as B
 from riskfeed.sources.lists import normalize_list
@@ -165,7 +165,7 @@ def url_gates(spark, sf):
 @query
 def blocked_source_gate(spark, sf):
     it = items(spark, sf)
-    blk = F.broadcast(B.block_list(spark).select(F.col("name").alias("_b")))
+    blk = maybe_broadcast(B.block_list(spark).select(F.col("name").alias("_b")), C.MAX_BROADCAST_LIST_ROWS)
     return it.join(blk, it["source"] == blk["_b"], "left_anti").select("item_id", "source")
 
 
@@ -390,7 +390,8 @@ def run_audit(spark, sf):
     dictionary counts from scalar subqueries over the tiny dictionary."""
     dic = B.dictionary(spark)
     it = items(spark, sf)
-    blk = F.broadcast(B.block_list(spark).select(F.col("name").alias("_b"), F.lit(True).alias("_blocked")))
+    blk = maybe_broadcast(B.block_list(spark).select(F.col("name").alias("_b"), F.lit(True).alias("_blocked")),
+                          C.MAX_BROADCAST_LIST_ROWS)
     marked = it.join(blk, it["source"] == blk["_b"], "left")
     dom = F.lower(X.authority(F.col("link")))
     passes = (F.col("link").isNotNull() & X.ends_with_any(dom, C.LINK_TLDS)
