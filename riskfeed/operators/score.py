@@ -76,7 +76,7 @@ def quality_score(df: DataFrame, terms: DataFrame, allow: DataFrame, block: Data
     bl = F.when(exit1, F.lit(C.BLACKLIST_PENALTY)).otherwise(F.lit(0))
     m = F.when(match, F.lit(1)).otherwise(F.lit(0))
     allowed = F.col("_in_allow")
-    exit2 = (m == 0) & ~allowed
+    exit2 = (F.col("_m") == 0) & ~allowed
     dp = F.when(dom.rlike("[-0-9]"), F.lit(-1)).otherwise(F.lit(0))
     exit3 = (dp < 0) & ~allowed
     us = F.when(X.ends_with_any(dom, C.SCORE_TLDS), F.lit(1)).otherwise(F.lit(0))
@@ -87,7 +87,8 @@ def quality_score(df: DataFrame, terms: DataFrame, allow: DataFrame, block: Data
     l500 = F.when(wc > C.LENGTH_BONUS_WORDS[1], F.lit(1)).otherwise(F.lit(0))
 
     stage = (F.when(exit1, 1).when(exit2, 2).when(exit3, 3).when(exit4, 4).otherwise(5))
-    out = flagged.withColumn("_m", m).withColumn("_stage", stage)
+    # the substring test runs only for rows past the block / TLD step
+    out = flagged.withColumn("_m", F.when(~exit1, m)).withColumn("_stage", stage)
     st = F.col("_stage")
 
     def upto(level: int, value: Column) -> Column:
