@@ -72,3 +72,9 @@ def test_backfill_overwrites_only_batch_dates(spark, tmp_path):
     first, last = (dt.date.fromisoformat(x) for x in res[6:].split(".."))
     changed = after_df.where(F.col("last_run_timestamp").isNotNull()).select("published_date").distinct()
     assert all(first <= r[0] <= last for r in changed.collect()) and changed.count() > 0
+
+
+def test_cli_digest_on_empty_store(spark, tmp_path, capsys):
+    jobs.main(["digest", "--store-root", str(tmp_path / "none"), "--out-root", str(tmp_path / "out"),
+               "--as-of", B.AS_OF])
+    assert capsys.readouterr().out.strip().endswith("0")
