@@ -36,11 +36,14 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the cluster's shared checkpoint folder (``spark.checkpoint.dir``).
 
-    On a cluster the setting names shared storage and is used as is. Only when
-    it is unset (local tests) a private scratch folder is created and set.
+    On a cluster the setting names shared storage and is used as is; without it a
+    job stops, as executors would write to folders that others cannot see. Only a
+    single-JVM session (``local[n]``, tests) gets a private scratch folder.
     """
     global _LOCAL_DIR
     current = spark.conf.get("spark.checkpoint.dir", None) or _LOCAL_DIR
+    if not current and not spark.conf.get("spark.master", "local").startswith("local["):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
     if not current:
         current = tempfile.mkdtemp(prefix="riskfeed-ckpt-", dir=os.environ.get("RISKFEED_SCRATCH", "/tmp"))
         _LOCAL_DIR = current
