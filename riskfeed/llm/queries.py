@@ -6,9 +6,13 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from riskfeed.llm import exact_dedup as op1
+from riskfeed.llm import language_id as op4
 from riskfeed.llm import mix_sources as op5
+from riskfeed.llm import token_counts as op8
+from riskfeed.llm import token_output as op6
 from riskfeed.sources.tables import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -36,6 +40,14 @@ FROM d WINDOW g AS (PARTITION BY text_sha256)
 """
 
 
+@query
+def op4_language_id(spark, sf):
+    d = read_table(spark, sf, "documents", "doc_id", "text", "lang")
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 3 == 1, F.lit(False))
+    model = op4.fit(d.where(~held_out))
+    return op4.predict(d, model).select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
 @query
 def op5_mix_sources(spark, sf):
     mixed = op5.mix_sources(read_table(spark, sf, "documents", "doc_id", "source", "text"))
@@ -79,6 +91,22 @@ FROM p JOIN t ON p.source IS NOT DISTINCT FROM t.source
 """
 
 
+def _tokenizer(name: str) -> str:
+    import public_tokenizers
+    return public_tokenizers.path(name)
+
+
+@query
+def op6_token_output(spark, sf):
+    return op6.token_output(read_table(spark, sf, "documents", "doc_id", "text"), _tokenizer("word_bpe_49k.json"))
+
+
+@query
+def op8_token_counts(spark, sf):
+    vocabulary = op8.sentencepiece_vocabulary(_tokenizer("piece_bpe_32k.model"))
+    return op8.token_counts(read_table(spark, sf, "documents", "doc_id", "text"), vocabulary)
+
+
 def queries() -> dict[str, Query]:
     return dict(REGISTRY)
 
