@@ -51,6 +51,9 @@ _LOWER[ord("A"):ord("Z") + 1] += 32
 _BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
 
 
+_STEP = np.arange(1, 257, dtype=np.uint64) * _BASE
+
+
 def mix64(x: np.ndarray) -> np.ndarray:
     """Finaliser of a 64-bit hash (wrap-around arithmetic)."""
     x = x.astype(np.uint64, copy=True)
@@ -84,17 +87,21 @@ def word_hashes(raw: bytes, lower: bool = True) -> tuple[np.ndarray, np.ndarray,
     return mix64(total + length.astype(np.uint64)), start, end
 
 
-_POW = np.ones(1, dtype=np.uint64)
-
-
 def _powers(n: int) -> np.ndarray:
+    """Weights of the first ``n`` places in a word."""
     global _POW
     if len(_POW) < n:
-        m = max(n, 1024)
-        _POW = mix64(np.arange(1, m + 1, dtype=np.uint64) * _BASE) | np.uint64(1)
+        _POW = _make_powers(n)
     return _POW
 
 
+def _make_powers(n: int) -> np.ndarray:
+    return mix64(np.arange(1, n + 1, dtype=np.uint64) * _BASE) | np.uint64(1)
+
+
+_POW = _make_powers(1024)
+
+
 def shingle_hashes(words: np.ndarray, n: int) -> np.ndarray:
     """Hashes of the ``n``-word shingles, in text order; fewer words make one shingle
     of the whole sequence; no words make none."""
@@ -104,5 +111,14 @@ def shingle_hashes(words: np.ndarray, n: int) -> np.ndarray:
     m = len(words) - n + 1
     acc = np.zeros(m, dtype=np.uint64)
     for i in range(n):
-        acc = mix64(acc + words[i:i + m] + np.uint64(i + 1) * _BASE)
+        acc = mix64(acc + words[i:i + m] + _STEP[i])
     return acc
+
+
+# ASCII punctuation and controls become spaces; bytes of other scripts stay in their words
+_PLAIN_WORDS = bytes(c if c >= 0x80 or chr(c).isalnum() else 0x20 for c in range(256))
+
+
+def plain_words(text: str | None) -> bytes:
+    """Lower-cased text without ASCII punctuation, as UTF-8: the words that overlap tests compare."""
+    return (text or "").lower().encode("utf-8", "replace").translate(_PLAIN_WORDS)

@@ -8,9 +8,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from riskfeed.llm import decontaminate as op2
 from riskfeed.llm import exact_dedup as op1
 from riskfeed.llm import language_id as op4
 from riskfeed.llm import mix_sources as op5
+from riskfeed.llm import quality as op3
 from riskfeed.llm import token_counts as op8
 from riskfeed.llm import token_output as op6
 from riskfeed.sources.tables import read_table
@@ -40,6 +42,17 @@ FROM d WINDOW g AS (PARTITION BY text_sha256)
 """
 
 
+@query
+def op2_decontaminate(spark, sf):
+    return op2.find_leaks(read_table(spark, sf, "documents", "doc_id", "text"), read_table(spark, sf, "benchmark"))
+
+
+@query
+def op3_quality(spark, sf):
+    d = read_table(spark, sf, "documents", "doc_id", "text")
+    return op3.classify(d, op3.fit(d, read_table(spark, sf, "labels")))
+
+
 @query
 def op4_language_id(spark, sf):
     d = read_table(spark, sf, "documents", "doc_id", "text", "lang")
