@@ -28,13 +28,24 @@ def shared_path(spark: SparkSession, name: str) -> str:
     return path
 
 
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: cuts lineage, computes the
     rows once and survives the loss of executors. The schema is passed on, so an
-    empty table reads back as well."""
+    empty table reads back as well. The write's own shuffle files go when it ends."""
     spark = df.sparkSession
     path = shared_path(spark, name)
-    df.write.option("compression", "zstd").parquet(path)
+    before = spark.conf.get(_CLEANUP, None)
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        df.write.option("compression", "zstd").parquet(path)
+    finally:
+        if before is None:
+            spark.conf.unset(_CLEANUP)
+        else:
+            spark.conf.set(_CLEANUP, before)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from riskfeed.llm import decontaminate as op2
 from riskfeed.llm import exact_dedup as op1
+from riskfeed.llm import jaccard_join as op9
 from riskfeed.llm import language_id as op4
 from riskfeed.llm import mix_sources as op5
 from riskfeed.llm import quality as op3
@@ -120,6 +121,12 @@ def op8_token_counts(spark, sf):
     return op8.token_counts(read_table(spark, sf, "documents", "doc_id", "text"), vocabulary)
 
 
+@query
+def op9_jaccard_join(spark, sf):
+    found = op9.jaccard_classes(read_table(spark, sf, "documents", "doc_id", "text"))
+    return found.select("doc_id", "n_shingles", "component_id")
+
+
 def queries() -> dict[str, Query]:
     return dict(REGISTRY)
 
