@@ -14,6 +14,7 @@ from riskfeed.llm import jaccard_join as op9
 from riskfeed.llm import language_id as op4
 from riskfeed.llm import mix_sources as op5
 from riskfeed.llm import quality as op3
+from riskfeed.llm import suffix_dedup as op10
 from riskfeed.llm import token_counts as op8
 from riskfeed.llm import token_output as op6
 from riskfeed.sources.tables import read_table
@@ -127,6 +128,11 @@ def op9_jaccard_join(spark, sf):
     return found.select("doc_id", "n_shingles", "component_id")
 
 
+@query
+def op10_suffix_dedup(spark, sf):
+    return op10.suffix_dedup(read_table(spark, sf, "documents", "doc_id", "text"))
+
+
 def queries() -> dict[str, Query]:
     return dict(REGISTRY)
 
