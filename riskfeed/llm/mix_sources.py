@@ -108,3 +108,12 @@ def mix_sources(docs: DataFrame, id_col: str = "doc_id", source_col: str = "sour
     return out.select("doc_id", "source", "size", "source_size", "target", "copies",
                       (F.col("copies") * F.col("size")).alias("taken"),
                       *[F.col(f"_c{i}").alias(c) for i, c in enumerate(carry)])
+
+
+def emit_copies(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", text_col: str = "text",
+                **options) -> DataFrame:
+    """The rows of ``docs`` with all their columns, each once per boundary that its stretch crosses."""
+    row = F.struct(*[F.col(c) for c in docs.columns])
+    mixed = mix_sources(docs.withColumn("_row", row), id_col, source_col, text_col, carry=("_row",), **options)
+    return mixed.where("copies > 0") \
+                .select(F.explode(F.array_repeat("_row", F.col("copies").cast("int"))).alias("_row")).select("_row.*")

@@ -14,6 +14,7 @@ from riskfeed.llm import jaccard_join as op9
 from riskfeed.llm import language_id as op4
 from riskfeed.llm import mix_sources as op5
 from riskfeed.llm import quality as op3
+from riskfeed.llm import substring_dedup as op7
 from riskfeed.llm import suffix_dedup as op10
 from riskfeed.llm import token_counts as op8
 from riskfeed.llm import token_output as op6
@@ -106,19 +107,24 @@ FROM p JOIN t ON p.source IS NOT DISTINCT FROM t.source
 """
 
 
-def _tokenizer(name: str) -> str:
+def tokenizer_path(name: str) -> str:
     import public_tokenizers
     return public_tokenizers.path(name)
 
 
 @query
 def op6_token_output(spark, sf):
-    return op6.token_output(read_table(spark, sf, "documents", "doc_id", "text"), _tokenizer("word_bpe_49k.json"))
+    return op6.token_output(read_table(spark, sf, "documents", "doc_id", "text"), tokenizer_path("word_bpe_49k.json"))
+
+
+@query
+def op7_substring_dedup(spark, sf):
+    return op7.substring_dedup(read_table(spark, sf, "documents", "doc_id", "text"))
 
 
 @query
 def op8_token_counts(spark, sf):
-    vocabulary = op8.sentencepiece_vocabulary(_tokenizer("piece_bpe_32k.model"))
+    vocabulary = op8.sentencepiece_vocabulary(tokenizer_path("piece_bpe_32k.model"))
     return op8.token_counts(read_table(spark, sf, "documents", "doc_id", "text"), vocabulary)
 
 
