@@ -49,48 +49,34 @@ TEXT_COLUMN_WORDS = ("title", "summary", "content", "text", "headline")
 # Enrichment defaults when a page is missing or unusable.
 DEFAULT_SENTIMENT = "neutral"
 DEFAULT_POLARITY = 0.0
-# HTML entities decoded in page text; "&amp;" is decoded last.
-HTML_ENTITIES = (
-    ("&lt;", "<"),
-    ("&gt;", ">"),
-    ("&quot;", '"'),
-    ("&#39;", "'"),
-    ("&nbsp;", "\u00a0"),
-    ("&copy;", "©"),
-    ("&middot;", "·"),
-    ("&amp;", "&"),
-)
-# Narrative prompt: these lines, each indented by eight spaces, between a
-# leading newline and a trailing eight-space line. Slots: risk id, mention
-# count, sample lines (printf-style, filled by format_string).
-RISK_PROMPT_LINES = (
-    "You are an expert risk analyst. Analyze the following emerging risk data from the last 4 weeks and create a comprehensive narrative summary.",
-    "",
-    "EMERGING RISK ID: %s",
-    "NUMBER OF ARTICLES/MENTIONS: %s",
-    "TIME PERIOD: Last 4 weeks",
-    "",
-    "SAMPLE CONTENT:",
-    "%s",
-    "",
-    "Please provide:",
-    "1. **Executive Summary** (2-3 sentences about what this emerging risk represents)",
-    "2. **Recent Developments** (What has happened in the last 4 weeks?)",
-    "3. **Key Themes** (What are the main topics/concerns?)",
-    "4. **Risk Level Assessment** (Low/Medium/High and why)",
-    "5. **Potential Impact** (What could happen if this risk materializes?)",
-    "6. **Recommended Actions** (What should be monitored or done?)",
-    "",
-    "Keep the narrative concise but comprehensive (300-500 words). Focus on actionable insights.",
-)
-PROMPT_INDENT = " " * 8
-RISK_PROMPT_TEMPLATE = "\n" + "".join(PROMPT_INDENT + line + "\n" for line in RISK_PROMPT_LINES) + PROMPT_INDENT
+# Narrative prompt. Slots: risk id, mention count, sample lines (printf-style, filled by
+# format_string).
+RISK_PROMPT_TEMPLATE = """
+        You are an expert risk analyst. Analyze the following emerging risk data from the last 4 weeks and create a comprehensive narrative summary.
+        
+        EMERGING RISK ID: %s
+        NUMBER OF ARTICLES/MENTIONS: %s
+        TIME PERIOD: Last 4 weeks
+        
+        SAMPLE CONTENT:
+        %s
+        
+        Please provide:
+        1. **Executive Summary** (2-3 sentences about what this emerging risk represents)
+        2. **Recent Developments** (What has happened in the last 4 weeks?)
+        3. **Key Themes** (What are the main topics/concerns?)
+        4. **Risk Level Assessment** (Low/Medium/High and why)
+        5. **Potential Impact** (What could happen if this risk materializes?)
+        6. **Recommended Actions** (What should be monitored or done?)
+        
+        Keep the narrative concise but comprehensive (300-500 words). Focus on actionable insights.
+        """
 
 # --------------------------------------------------------------------------
 # Defaults (parameters)
 # --------------------------------------------------------------------------
 
-MAX_TERMS = 100
+MAX_TERMS = 100                  # caps of the reproduced jobs, applied only where asked for
 MAX_ITEMS_PER_TERM = 20
 MIN_ARTICLE_CHARS = 100          # live text shorter than this is blanked
 BACKFILL_MISSING_CHARS = 40      # summaries shorter than this are "missing"
@@ -104,9 +90,8 @@ DIGEST_DAYS = 28
 # Size bounds for data that is shipped whole to every task.
 MAX_INLINE_TERMS = 5000          # term array embedded into the substring test
 MAX_INLINE_LEXICON = 200_000     # lexicon embedded as a sorted literal array
-MAX_RULE_WORDS = 2_000           # booster / negation / contrast word lists
 LINEAR_LOOKUP_MAX = 32           # up to this many keys a key scan beats binary search
-MAX_BROADCAST_LIST_ROWS = 1_000_000  # allow / block lists broadcast as hash tables
+MAX_BROADCAST_BYTES = 32 << 20   # allow / block lists and dictionaries broadcast as hash tables
 
 # Sentiment rule constants (published method; rule set in the survey).
 SENT_CAPS_INCREMENT = 0.733

@@ -5,10 +5,12 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# "01 Sep 2025" inside an RFC-822 style feed date: taking the calendar date as
-# written gives the date in the feed's own zone.
-_RFC_DATE_RE = r"(\d{1,2} [A-Za-z]{3} \d{4})"
-_ISO_DATE_RE = r"^\s*(\d{4}-\d{2}-\d{2})"
+# A feed date's calendar day as written is the date in the feed's own zone. Forms: "10 Sep 2025"
+# (also with a full month name, hyphens or a two-digit year), "Sep 10, 2025", "2025-09-10", "2025/9/10".
+DAY_FIRST_RE = r"(\d{1,2})[ -]([A-Za-z]{3})[A-Za-z]*\.?[ -](\d{4}|\d{2})\b"
+MONTH_FIRST_RE = r"\b([A-Za-z]{3})[A-Za-z]*\.? (\d{1,2}),? (\d{4})\b"
+YEAR_FIRST_RE = r"^\s*(\d{4})[-/](\d{1,2})[-/](\d{1,2})"
+CENTURY_FROM = 69  # two-digit years from here on are of the last century
 
 
 def _c(col) -> Column:
@@ -18,11 +20,20 @@ def _c(col) -> Column:
 def parse_pubdate(col) -> Column:
     """Lenient feed-date parse -> DATE in the feed's zone; unparsable -> NULL."""
     s = _c(col)
-    rfc = F.regexp_extract(s, _RFC_DATE_RE, 1)
-    iso = F.regexp_extract(s, _ISO_DATE_RE, 1)
+
+    def part(pattern: str, i: int) -> Column:
+        return F.regexp_extract(s, pattern, i)
+
+    def date(text: Column, form: str) -> Column:
+        return F.to_date(F.try_to_timestamp(text, F.lit(form)))
+
+    year = part(DAY_FIRST_RE, 3)
+    year = F.when(F.length(year) != 2, year) \
+            .when(year >= str(CENTURY_FROM), F.concat(F.lit("19"), year)).otherwise(F.concat(F.lit("20"), year))
     return F.coalesce(
-        F.to_date(F.try_to_timestamp(F.when(rfc != "", rfc), F.lit("d MMM yyyy"))),
-        F.to_date(F.try_to_timestamp(F.when(iso != "", iso), F.lit("yyyy-MM-dd"))),
+        date(F.concat_ws(" ", part(DAY_FIRST_RE, 1), part(DAY_FIRST_RE, 2), year), "d MMM yyyy"),
+        date(F.concat_ws(" ", part(MONTH_FIRST_RE, 2), part(MONTH_FIRST_RE, 1), part(MONTH_FIRST_RE, 3)), "d MMM yyyy"),
+        date(F.concat_ws("-", *[part(YEAR_FIRST_RE, i) for i in (1, 2, 3)]), "yyyy-M-d"),
     )
 
 
@@ -31,7 +42,3 @@ def coerce_date(col) -> Column:
     strings parsed as ISO date (time part ignored), anything else NULL."""
     return parse_pubdate(_c(col).cast("string"))
 
-
-def as_timestamp(value: str) -> Column:
-    """A zone-free timestamp literal (the run clock)."""
-    return F.lit(value).cast("timestamp_ntz")

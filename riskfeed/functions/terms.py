@@ -1,9 +1,9 @@
 """Search-term codec: a term is stored as the decimal form of the integer whose
 little-endian bytes are the term's UTF-8 encoding.
 
-Both directions are base conversions done with nested ``aggregate`` over
-digit / byte arrays, so they run as native expressions on the executors
-and handle numbers far beyond DECIMAL(38).
+Both directions are base conversions done with nested ``aggregate`` over limbs of six
+decimal digits and three bytes (products stay within BIGINT), so they run as native
+expressions on the executors and handle numbers far beyond DECIMAL(38).
 """
 
 from __future__ import annotations
@@ -11,40 +11,43 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# decimal digits -> little-endian base-256 digits
+# groups of six decimal digits -> little-endian limbs of three bytes -> bytes without leading zeros
 _DECODE_SQL = """
 CASE WHEN {c} RLIKE '^[0-9]+$' THEN
-  try_validate_utf8(CAST(try_to_binary(array_join(transform(
+  try_validate_utf8(CAST(try_to_binary(regexp_replace(array_join(transform(
     aggregate(
-      transform(filter(split({c}, ''), x -> x <> ''), d -> CAST(d AS INT)),
-      CAST(array() AS ARRAY<INT>),
+      transform(sequence(0, (length({c}) - 1) DIV 6),
+                i -> CAST(substr(lpad({c}, ((length({c}) + 5) DIV 6) * 6, '0'), CAST(i * 6 + 1 AS INT), 6) AS BIGINT)),
+      CAST(array() AS ARRAY<BIGINT>),
       (acc, d) -> aggregate(acc,
-        named_struct('o', CAST(array() AS ARRAY<INT>), 'c', d),
-        (st, b) -> named_struct('o', array_append(st.o, (b * 10 + st.c) % 256),
-                                'c', CAST((b * 10 + st.c) DIV 256 AS INT)),
+        named_struct('o', CAST(array() AS ARRAY<BIGINT>), 'c', d),
+        (st, b) -> named_struct('o', array_append(st.o, (b * 1000000 + st.c) % 16777216),
+                                'c', (b * 1000000 + st.c) DIV 16777216),
         st -> if(st.c > 0, array_append(st.o, st.c), st.o))),
-    b -> lpad(hex(b), 2, '0')), ''), 'hex') AS STRING))
+    b -> concat(lpad(hex(b % 256), 2, '0'), lpad(hex((b DIV 256) % 256), 2, '0'), lpad(hex(b DIV 65536), 2, '0'))),
+  ''), '(00)+$', ''), 'hex') AS STRING))
 END
 """
 
-# UTF-8 bytes (little-endian digits, base 256) -> decimal digits (most significant first)
+# the text's bytes from the last to the first, in groups of three -> little-endian limbs of six decimal digits
+_HEX = "array_join(reverse(filter(split(hex(encode({c}, 'UTF-8')), '(?<=\\\\G..)'), x -> x <> '')), '')"
 _ENCODE_SQL = """
 CASE WHEN {c} IS NOT NULL THEN
-  coalesce(nullif(array_join(reverse(transform(
+  coalesce(nullif(trim(LEADING '0' FROM array_join(reverse(transform(
     aggregate(
-      reverse(transform(filter(split(hex(encode({c}, 'UTF-8')), '(?<=\\\\G..)'), x -> x <> ''),
-                        h -> CAST(conv(h, 16, 10) AS INT))),
-      CAST(array() AS ARRAY<INT>),
-      (acc, byte) -> aggregate(acc,
-        named_struct('o', CAST(array() AS ARRAY<INT>), 'c', byte),
-        (st, q) -> named_struct('o', array_append(st.o, (q * 256 + st.c) % 10),
-                                'c', CAST((q * 256 + st.c) DIV 10 AS INT)),
-        st -> aggregate(sequence(1, 4), st,
+      transform(sequence(0, greatest(length({hex}) - 1, 0) DIV 6),
+                i -> CAST(conv(substr(lpad({hex}, greatest((length({hex}) + 5) DIV 6, 1) * 6, '0'),
+                                      CAST(i * 6 + 1 AS INT), 6), 16, 10) AS BIGINT)),
+      CAST(array() AS ARRAY<BIGINT>),
+      (acc, limb) -> aggregate(acc,
+        named_struct('o', CAST(array() AS ARRAY<BIGINT>), 'c', limb),
+        (st, q) -> named_struct('o', array_append(st.o, (q * 16777216 + st.c) % 1000000),
+                                'c', (q * 16777216 + st.c) DIV 1000000),
+        st -> aggregate(sequence(1, 2), st,
                 (s2, i) -> if(s2.c > 0,
-                              named_struct('o', array_append(s2.o, s2.c % 10),
-                                           'c', CAST(s2.c DIV 10 AS INT)),
+                              named_struct('o', array_append(s2.o, s2.c % 1000000), 'c', s2.c DIV 1000000),
                               s2)).o)),
-    d -> CAST(d AS STRING))), ''), ''), '0')
+    d -> lpad(CAST(d AS STRING), 6, '0'))), '')), ''), '0')
 END
 """
 
@@ -57,9 +60,9 @@ def decode_term(col: str) -> Column:
 
 def encode_term(col: str) -> Column:
     """Inverse of :func:`decode_term` for any text (used to build dictionaries)."""
-    return F.expr(_ENCODE_SQL.format(c=f"`{col}`"))
+    return F.expr(_ENCODE_SQL.format(c=f"`{col}`", hex=_HEX.format(c=f"`{col}`")))
 
 
 def to_int_or_null(col: str) -> Column:
     """Numeric coercion of an id column: anything non-numeric becomes NULL."""
-    return F.expr(f"CAST(try_cast(try_cast(`{col}` AS DOUBLE) AS BIGINT) AS INT)")
+    return F.expr(f"try_cast(try_cast(try_cast(`{col}` AS DOUBLE) AS BIGINT) AS INT)")

@@ -10,6 +10,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from riskfeed import constants as C
+from riskfeed.functions.literals import string_array_literal
 
 # Characters treated as whitespace by str.split() / str.strip(): the ASCII
 # blanks, the information separators 0x1c-0x1f, NEL, NBSP and the Unicode
@@ -22,7 +23,7 @@ WS_CLASS = (
 PUNCT_CLASS = r"[!-/:-@\[-`{-~]"
 
 _AUTHORITY_RE = r"^(?:[A-Za-z][A-Za-z0-9+.-]*:)?//([^/?#]*)"
-_SOURCE_SITE_RE = r"(?U)https?:[\w:#@%;$()~_?+\-./0-9:;<=\\.&,]*"
+_SOURCE_SITE_RE = r"(?U)https?:[\w#@%;$()~?+\-./:<=\\&,]*"
 _STRIP_RE = rf"^{WS_CLASS}+|{WS_CLASS}+$"
 _SCRIPT_STYLE_COMMENT_RE = r"(?is)<script\b.*?</script>|<style\b.*?</style>|<!--.*?-->"
 _P_OPEN_RE = r"(?i)<p(?:\s[^>]*)?>"
@@ -65,11 +66,40 @@ def source_site(col) -> Column:
     return F.when(hit == "", F.lit(None).cast("string")).otherwise(hit)
 
 
+ENTITY_RE = r"^(#\d{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]{1,31});"
+
+
+def named_entities() -> dict[str, str]:
+    """Named character references (closed by a semicolon) of the HTML standard, from Python's table."""
+    from html.entities import html5
+    return {k[:-1]: v for k, v in sorted(html5.items()) if k.endswith(";")}
+
+
+def _entity_map() -> Column:
+    table = named_entities()
+    return F.map_from_arrays(string_array_literal(list(table)), string_array_literal(list(table.values())))
+
+
 def decode_entities(col) -> Column:
-    out = _c(col)
-    for ent, ch in C.HTML_ENTITIES:
-        out = F.replace(out, F.lit(ent), F.lit(ch))
-    return out
+    """Named and numeric character references decoded once, from left to right; what is no
+    known reference stays as it is."""
+    names = _entity_map()
+
+    def decode(piece: Column) -> Column:
+        ref = F.regexp_extract(piece, ENTITY_RE, 1)
+        code = F.when(F.lower(F.substring(ref, 1, 2)) == "#x", F.conv(F.substring(ref, 3, 8), 16, 10)) \
+                .when(F.substring(ref, 1, 1) == "#", F.substring(ref, 2, 8)).try_cast("int")
+        known = code.between(1, 0xD7FF) | code.between(0xE000, 0x10FFFF)
+        char = F.when(ref == "", F.lit(None)).when(F.substring(ref, 1, 1) != "#", F.try_element_at(names, ref)) \
+                .when(known, F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32"))
+        rest = F.substring(piece, F.length(ref) + 2, F.length(piece))
+        return F.coalesce(F.concat(char, rest), F.concat(F.lit("&"), piece))
+
+    text = _c(col)
+    pieces = F.split(text, "&", -1)
+    head, tail = F.get(pieces, F.lit(0)), F.slice(pieces, 2, F.greatest(F.size(pieces) - 1, F.lit(0)))
+    return F.when(~F.contains(text, F.lit("&")), text) \
+            .otherwise(F.concat(head, F.array_join(F.transform(tail, decode), "")))
 
 
 def page_title(html) -> Column:

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from riskfeed import constants as C
 from riskfeed.functions import text as X
 from riskfeed.operators import sentiment as S
+from riskfeed.operators.enrich import one_per_link
 
 
 def is_missing(summary: Column, min_chars: int = C.BACKFILL_MISSING_CHARS) -> Column:
@@ -55,8 +56,8 @@ def merge(store: DataFrame, targets: DataFrame, pages: DataFrame, lex: S.Lexicon
     # text per page map-side, then one page per link (lowest id): only the
     # extracted text is shuffled, never the raw HTML
     texts = (pages.join(tp.select("link").distinct(), "link", "left_semi")
-             .select("link", "page_id", X.page_text_backfill("html").alias("_new"))
-             .groupBy("link").agg(F.min_by("_new", "page_id").alias("_new")))
+             .select("link", "page_id", X.page_text_backfill("html").alias("_new")))
+    texts = one_per_link(texts.withColumn("_tie", F.xxhash64("_new")), "page_id", "_tie").select("link", "_new")
     texts = texts.where(F.length("_new") >= usable_chars)
     texts = S.score_texts(texts, "_new", "link", lex, out_col="_pol")
     upd = tp.join(texts, "link", "inner").select(

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from riskfeed.functions.literals import double_array_literal, string_array_literal  # noqa: F401
+
 
 _MEMO: dict = {}
 
@@ -24,9 +26,13 @@ def _memo(df: DataFrame, kind: str, bound: int, compute):
         key = (df.semanticHash(), kind, bound)
     except Exception:  # noqa: BLE001 - no plan hash available (e.g. remote session): no memo
         return compute()
-    if key not in _MEMO:
-        _MEMO[key] = compute()
-    return _MEMO[key]
+    # the hash has 32 bits: frames that share it are told apart by comparing their plans
+    for known, value in _MEMO.setdefault(key, []):
+        if known.sameSemantics(df):
+            return value
+    value = compute()
+    _MEMO[key].append((df, value))
+    return value
 
 
 def bounded_count(df: DataFrame, bound: int) -> int:
@@ -37,10 +43,24 @@ def bounded_count(df: DataFrame, bound: int) -> int:
     return _memo(df, "count", bound, lambda: df.limit(bound + 1).count())
 
 
-def maybe_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
-    """Broadcast ``df`` only when its row count is proven to be <= ``max_rows``;
+ROW_BYTES = 64  # counted for each row beside its strings
+
+
+def bounded_bytes(df: DataFrame, bound: int) -> int:
+    """Size of ``df`` in bytes (strings and binaries by length, ``ROW_BYTES`` a row), or more
+    than ``bound``. At most ``bound / ROW_BYTES + 1`` rows are read."""
+    long = [F.coalesce(F.octet_length(c), F.lit(0)) for c, t in df.dtypes if t in ("string", "binary")]
+    size = sum(long, F.lit(ROW_BYTES)).cast("long")
+
+    def measure():
+        return df.limit(bound // ROW_BYTES + 1).agg(F.sum(size)).first()[0] or 0
+    return _memo(df, "bytes", bound, measure)
+
+
+def maybe_broadcast(df: DataFrame, max_bytes: int) -> DataFrame:
+    """Broadcast ``df`` only when its size is proven to be <= ``max_bytes``;
     beyond that the join is left to the planner (sort-merge / AQE)."""
-    return F.broadcast(df) if bounded_count(df, max_rows) <= max_rows else df
+    return F.broadcast(df) if bounded_bytes(df, max_bytes) <= max_bytes else df
 
 
 class TooLarge(Exception):
@@ -98,20 +118,3 @@ def spread_for_cpu(df: DataFrame) -> DataFrame:
 # a scan with at most this many splits is small (<= a few GB): spreading it
 # costs little; larger scans already provide their own parallelism
 SPREAD_MAX_SCAN_PARTITIONS = 16
-_SEP = "\u0001"
-
-
-def string_array_literal(values: list[str]) -> Column:
-    """Array literal of strings built from one joined string split at plan time
-    (constant-folded), instead of one expression per element."""
-    if not values:
-        return F.array().cast("array<string>")
-    if any(v is None or _SEP in v for v in values):
-        return F.array(*[F.lit(v) for v in values]).cast("array<string>")
-    return F.split(F.lit(_SEP.join(values)), _SEP, -1)
-
-
-def double_array_literal(values: list[float]) -> Column:
-    if not values:
-        return F.array().cast("array<double>")
-    return F.split(F.lit(",".join(repr(float(v)) for v in values)), ",", -1).cast("array<double>")

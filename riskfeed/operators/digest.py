@@ -68,5 +68,5 @@ def risk_digest(df: DataFrame, risk_col: str = "risk_id", text_col: str | None =
 def risk_prompt(digest: DataFrame, risk_col: str = "risk_id") -> DataFrame:
     """FN19: fill the narrative prompt template for every digest row."""
     return digest.withColumn("prompt", F.format_string(
-        C.RISK_PROMPT_TEMPLATE.replace("%s", "%s"),
+        C.RISK_PROMPT_TEMPLATE,
         F.col(risk_col).cast("string"), F.col("article_count").cast("string"), F.col("sample_content")))

@@ -12,12 +12,14 @@ from riskfeed.functions import text as X
 from riskfeed.operators.common import maybe_broadcast
 
 
-def valid_terms(dictionary: DataFrame, max_terms: int = C.MAX_TERMS) -> DataFrame:
-    """FLT1 + LM1: decodable terms, first ``max_terms`` in dictionary (id) order,
-    one row per distinct term with its first position ``term_pos``."""
+def valid_terms(dictionary: DataFrame, max_terms: int | None = None) -> DataFrame:
+    """FLT1 (+ LM1 with ``max_terms``): decodable terms, only the first ``max_terms`` in
+    dictionary (id) order where a cap is asked for, one row per distinct term with its first
+    position ``term_pos``."""
     ok = dictionary.where(F.col("search_terms").isNotNull())
-    capped = ok.orderBy(F.col("search_term_id").asc_nulls_last()).limit(max_terms)
-    return (capped.groupBy("search_terms")
+    if max_terms is not None:
+        ok = ok.orderBy(F.col("search_term_id").asc_nulls_last()).limit(max_terms)
+    return (ok.groupBy("search_terms")
             .agg(F.min("search_term_id").alias("term_pos")))
 
 
@@ -58,7 +60,7 @@ def link_gates(items: DataFrame, block_list: DataFrame | None = None,
                       & ~F.col("link").contains(C.TRANSLATED_MARKER))
     if block_list is not None:
         blk = maybe_broadcast(block_list.select(F.col("name").alias("_blk")).distinct(),
-                              C.MAX_BROADCAST_LIST_ROWS)
+                              C.MAX_BROADCAST_BYTES)
         out = out.join(blk, out["source"] == blk["_blk"], "left_anti")
     if existing_links is not None:
         seen = existing_links.select(F.col("link").alias("_seen")).distinct()
@@ -91,7 +93,7 @@ def recent(items: DataFrame, as_of_date: str, days: int = C.RECENCY_DAYS) -> Dat
 
 def restrict_to_terms(items: DataFrame, terms: DataFrame) -> DataFrame:
     """Items were collected per search term: keep items of the capped terms and
-    attach the term's first dictionary position (the capped term list is
-    broadcast after its size check)."""
-    t = maybe_broadcast(terms.select(F.col("search_terms").alias("term"), "term_pos"), C.MAX_INLINE_TERMS)
+    attach the term's first dictionary position (the term list is broadcast
+    after its size check)."""
+    t = maybe_broadcast(terms.select(F.col("search_terms").alias("term"), "term_pos"), C.MAX_BROADCAST_BYTES)
     return items.join(t, "term", "inner")

@@ -3,7 +3,7 @@ its statistics."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riskfeed import constants as C
@@ -13,40 +13,69 @@ from riskfeed.operators.common import TooLarge, literal_array, maybe_broadcast
 SCORE_COLUMNS = [f"score_{c}" for c in C.SCORE_COMPONENTS]
 
 
-def term_arrays(terms: DataFrame, bound: int = C.MAX_INLINE_TERMS) -> list[Column]:
-    """Lower-cased search terms as literal arrays of at most ``bound`` terms each.
+GRAM = 4  # characters of the prefilter key
 
-    The capped term list (<= max_terms) fits one array. A longer list is split
-    into several arrays (exact: every term is still tested) instead of being
-    turned into a nested-loop join."""
-    low = terms.select(F.lower(F.col("search_terms")).alias("t")).where(F.col("t").isNotNull())
-    try:
-        return [literal_array(low, F.col("t"), bound)]
-    except TooLarge:
-        n = low.count()
-        ordered = low.withColumn("_i", F.row_number().over(Window.orderBy("t")))
-        return [literal_array(ordered.where((F.col("_i") > a) & (F.col("_i") <= a + bound)),
-                              F.col("t"), bound) for a in range(0, n, bound)]
 
+def _lower_terms(terms: DataFrame) -> DataFrame:
+    return terms.select(F.lower(F.col("search_terms")).alias("t")).where(F.col("t").isNotNull()).distinct()
 
-def contains_any(text: Column, arrays: list[Column]) -> Column:
-    """JN5: lower(text) contains at least one term (substring, no word boundary)."""
+
+def contains_any(text: Column, terms: Column) -> Column:
+    """JN5: lower(text) contains at least one term of the array (substring, no word boundary)."""
     low = F.lower(F.coalesce(text, F.lit("")))
-    cond = F.lit(False)
-    for arr in arrays:
-        cond = cond | F.exists(arr, lambda t: F.contains(low, t))
-    return cond
+    return F.exists(terms, lambda t: F.contains(low, t))
+
+
+def term_flag(df: DataFrame, text_cols: list[str], terms: DataFrame, out: str,
+              bound: int = C.MAX_INLINE_TERMS) -> DataFrame:
+    """Adds ``out``: any of the texts contains a search term. Up to ``bound`` terms are tested
+    as a literal array, without a shuffle; a larger dictionary is joined on the terms' first
+    characters, which gives the same answer."""
+    low = _lower_terms(terms)
+    try:
+        array = literal_array(low, F.col("t"), bound)
+    except TooLarge:
+        return _flag_by_join(df, text_cols, low, out)
+    flag = F.lit(False)
+    for c in text_cols:
+        flag = flag | contains_any(F.col(c), array)
+    return df.withColumn(out, flag)
+
+
+def _flag_by_join(df: DataFrame, text_cols: list[str], low: DataFrame, out: str) -> DataFrame:
+    """Equi-join of the texts' distinct character grams with the terms' first ``GRAM``
+    characters (the whole of shorter terms), then the exact test. Neither side is collected;
+    the rows are written once, so that their numbers hold on both sides of the join back."""
+    from riskfeed.plans.daily import materialize
+    rows = materialize(df.withColumn("_row", F.monotonically_increasing_id()))
+    keyed = low.withColumn("key", F.substring("t", 1, GRAM))
+
+    def grams_of(n: int) -> Column:
+        starts = F.sequence(F.lit(1), F.greatest(F.length("x") - n + 1, F.lit(1)))
+        return F.transform(starts, lambda i: F.substring("x", i, F.lit(n)))
+
+    hits = None
+    for c in text_cols:
+        text = rows.select("_row", F.lower(F.coalesce(c, F.lit(""))).alias("x"))
+        grams = F.flatten(F.array(*[grams_of(n) for n in range(1, GRAM + 1)]))
+        met = text.select("_row", "x", F.explode(F.array_distinct(grams)).alias("key")).join(keyed, "key")
+        found = met.where(F.contains("x", "t")).select("_row").distinct()
+        hits = found if hits is None else hits.union(found)
+    hits = hits.distinct().withColumn("_hit", F.lit(True))
+    empty = low.where("t = ''").select(F.count(F.lit(1)) > 0).scalar()  # the empty term is in every text
+    return (rows.join(hits, "_row", "left")
+            .withColumn(out, F.coalesce("_hit", F.lit(False)) | empty).drop("_row", "_hit"))
 
 
 def membership_flags(df: DataFrame, key: Column, allow: DataFrame, block: DataFrame,
-                     max_rows: int = C.MAX_BROADCAST_LIST_ROWS) -> DataFrame:
+                     max_bytes: int = C.MAX_BROADCAST_BYTES) -> DataFrame:
     """JN4: ``_in_allow`` / ``_in_block`` flags by exact equality of ``key`` with
     the list entries (mark joins against distinct lists, broadcast when the
     lists are proven small)."""
     out = df.withColumn("_dom", key)
     for name, lst in (("_in_allow", allow), ("_in_block", block)):
         side = maybe_broadcast(lst.select(F.col("name").alias(name + "_k")).distinct()
-                               .withColumn(name, F.lit(True)), max_rows)
+                               .withColumn(name, F.lit(True)), max_bytes)
         out = (out.join(side, out["_dom"] == side[name + "_k"], "left")
                .drop(name + "_k")
                .withColumn(name, F.coalesce(F.col(name), F.lit(False))))
@@ -64,12 +93,10 @@ def quality_score(df: DataFrame, terms: DataFrame, allow: DataFrame, block: Data
     flagged = membership_flags(df, X.score_domain(source_url_col), allow, block)
     dom = F.col("_dom")
     if match_col is None:
-        arrays = term_arrays(terms)
-        match = contains_any(F.col(title_col), arrays) | contains_any(F.col(summary_col), arrays)
-    else:
-        match = F.col(match_col)
+        flagged = term_flag(flagged, [title_col, summary_col], terms, "_term_match")
+        match_col = "_term_match"
+    match = F.col(match_col)
     wc = F.col(words_col) if words_col else X.word_count(summary_col)
-    has_terms = terms.limit(1).count() > 0
 
     wl = F.when(F.col("_in_allow"), F.lit(C.WHITELIST_BONUS)).otherwise(F.lit(0))
     exit1 = F.col("_in_block") | ~X.ends_with_any(dom, C.SCORE_TLDS)
@@ -108,11 +135,11 @@ def quality_score(df: DataFrame, terms: DataFrame, allow: DataFrame, block: Data
     parts = [F.coalesce(F.col(k), F.lit(0)) for k in comps]
     total = F.when(st == 5, F.greatest(sum(parts[1:], parts[0]), F.lit(0))).otherwise(F.lit(0))
     out = out.withColumn("score_total_score", total.cast("int"))
-    if not has_terms:
-        # no valid terms: scoring is skipped, every score column is NULL
-        out = out.withColumns({k: F.lit(None).cast("int") for k in SCORE_COLUMNS})
+    # no valid terms: scoring is skipped, every score column is NULL
+    has_terms = terms.select(F.count(F.lit(1)) > 0).scalar()
+    out = out.withColumns({k: F.when(has_terms, F.col(k)) for k in SCORE_COLUMNS})
     out = out.withColumn("quality_score", F.col("score_total_score"))
-    return out.drop("_dom", "_in_allow", "_in_block", "_m", "_stage")
+    return out.drop("_dom", "_in_allow", "_in_block", "_m", "_stage", "_term_match")
 
 
 # --------------------------------------------------------------------------

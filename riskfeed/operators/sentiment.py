@@ -2,9 +2,10 @@
 
 Each text is tokenised and scored with higher-order functions inside the JVM
 (no Python, no shuffle). The lexicon, booster, negation and contrast tables
-are shipped to the tasks as map literals, after a check of their size
+are first brought to one row per lower-cased token (the strongest value, of equally strong ones
+the positive), then shipped to the tasks as literals, after a check of their size
 (higher-order functions cannot hold subqueries); a lexicon beyond that bound is joined to the exploded tokens
-instead (shuffle on the token, then the tokens are regrouped per text).
+instead (shuffle on the token, then the tokens are regrouped per text), with the same scores.
 
 Rules (published rule + lexicon method; constants in ``constants``):
  1. tokens = whitespace split, ASCII punctuation stripped from both edges,
@@ -41,9 +42,16 @@ def tokens(text: Column) -> Column:
     return F.filter(F.split(trimmed, rf"{p}*(?:{ws}+{p}*)+"), lambda w: w != "")
 
 
-def _map_of(df: DataFrame, key: str, value: Column, value_type: str,
-            bound: int = C.MAX_INLINE_LEXICON) -> Column:
-    return literal_map(df, F.lower(F.col(key)), value, bound, value_type)
+def one_per_token(df: DataFrame, value: str | None = None) -> DataFrame:
+    """(k, v): a row per lower-cased token; of several values the strongest, then the positive one."""
+    v = F.col(value).cast("double") if value else F.lit(1.0)
+    rows = df.select(F.lower("token").alias("k"), v.alias("v")).where(F.col("k").isNotNull() & F.col("v").isNotNull())
+    return rows.groupBy("k").agg(F.max(F.struct(F.abs("v").alias("a"), "v"))["v"].alias("v"))
+
+
+def _map_of(df: DataFrame, value: str | None, value_type: str, bound: int = C.MAX_INLINE_LEXICON) -> Column:
+    one = one_per_token(df, value)
+    return literal_map(one, F.col("k"), F.col("v") if value else F.lit(True), bound, value_type)
 
 
 class Lexicon:
@@ -61,8 +69,7 @@ class Lexicon:
         """Function token -> valence (0.0 when absent), or None when the lexicon
         exceeds ``bound``. Binary search over a sorted literal key array: map
         lookups scan their keys, a real lexicon has thousands of entries."""
-        sel = (self.valences.select(F.lower("token").alias("k"), F.col("valence").cast("double").alias("v"))
-               .where(F.col("k").isNotNull()))
+        sel = one_per_token(self.valences, "valence")
         rows = _memo(sel, "rows", bound, lambda: sel.limit(bound + 1).collect())
         if len(rows) > bound:
             return None
@@ -95,13 +102,12 @@ class Lexicon:
 
         return lookup
 
-    def rule_maps(self, bound: int = C.MAX_RULE_WORDS):
-        """Booster, negation and contrast maps: small fixed word lists (bounded),
-        looked up by a short key scan."""
+    def rule_maps(self, bound: int = C.MAX_INLINE_LEXICON):
+        """Booster, negation and contrast maps: word lists of the language's rules."""
         return (
-            _map_of(self.boosters, "token", F.col("weight").cast("double"), "double", bound),
-            _map_of(self.negations, "token", F.lit(True), "boolean", bound),
-            _map_of(self.contrasts, "token", F.lit(True), "boolean", bound),
+            _map_of(self.boosters, "weight", "double", bound),
+            _map_of(self.negations, None, "boolean", bound),
+            _map_of(self.contrasts, None, "boolean", bound),
         )
 
 
@@ -181,28 +187,31 @@ def label(comp: Column) -> Column:
 
 
 def score_texts(df: DataFrame, text_col: str, key_col: str, lex: Lexicon,
-                out_col: str = "compound") -> DataFrame:
+                out_col: str = "compound", bound: int = C.MAX_INLINE_LEXICON) -> DataFrame:
     """Add ``out_col`` (compound) and ``<out_col>_label`` to ``df``.
 
     Inline path when the lexicon is within its size bound; otherwise tokens are
     exploded, joined to the lexicon (shuffle on token; the lexicon side is unique
-    per token), regrouped per ``key_col`` in position order and scored with the
-    same rules.
+    per token), regrouped per row in position order and scored with the
+    same rules. ``key_col`` need not be unique: the rows are numbered and written once, so
+    their numbers hold on both sides of the join back.
     """
-    val_of = lex.valence_lookup()
+    val_of = lex.valence_lookup(bound)
     boost_m, neg_m, contrast_m = lex.rule_maps()
     if val_of is not None:
         staged = df.withColumn("_tok", tokens(F.col(text_col)))
         staged = staged.withColumn("_low", F.transform("_tok", lambda w: F.lower(w)))
         staged = staged.withColumn("_base", F.transform("_low", val_of))
         return _score_stages(staged, text_col, boost_m, neg_m, contrast_m, out_col)
-    exploded = df.select(key_col, F.posexplode(tokens(F.col(text_col))).alias("pos", "tok"))
-    val = lex.valences.select(F.lower("token").alias("_lk"), F.col("valence").cast("double").alias("_v"))
+    from riskfeed.plans.daily import materialize
+    df = materialize(df.withColumn("_row", F.monotonically_increasing_id()))
+    exploded = df.select("_row", F.posexplode(tokens(F.col(text_col))).alias("pos", "tok"))
+    val = one_per_token(lex.valences, "valence").select(F.col("k").alias("_lk"), F.col("v").alias("_v"))
     joined = exploded.join(val, F.lower(exploded["tok"]) == val["_lk"], "left")
-    regrouped = joined.groupBy(key_col).agg(
+    regrouped = joined.groupBy("_row").agg(
         F.sort_array(F.collect_list(F.struct("pos", "tok", F.coalesce("_v", F.lit(0.0)).alias("v")))).alias("_t"))
-    staged = (df.join(regrouped, key_col, "left")
+    staged = (df.join(regrouped, "_row", "left")
               .withColumn("_tok", F.coalesce(F.transform("_t", lambda e: e["tok"]), F.array().cast("array<string>")))
               .withColumn("_base", F.coalesce(F.transform("_t", lambda e: e["v"]), F.array().cast("array<double>")))
-              .drop("_t"))
+              .drop("_t", "_row"))
     return _score_stages(staged, text_col, boost_m, neg_m, contrast_m, out_col)

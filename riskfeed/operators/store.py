@@ -3,7 +3,7 @@ dedupe, rolling-window split, newest-first order, export projection."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskfeed import constants as C
@@ -17,13 +17,13 @@ DEDUPE_KEYS = ("title", "link", "published_date")
 
 
 def attach_risk_ids(items: DataFrame, dictionary: DataFrame, term_col: str = "term",
-                    max_rows: int = C.MAX_BROADCAST_LIST_ROWS) -> DataFrame:
+                    max_bytes: int = C.MAX_BROADCAST_BYTES) -> DataFrame:
     """JN1: left equi join on the exact term text against *all* dictionary rows
     (a term listed under several risks fans out; unknown terms keep NULL ids).
     ``dict_pos`` keeps the dictionary order for the keep-first dedupe."""
     d = dictionary.select(F.col("search_terms").alias("_jt"), "risk_id", "search_term_id",
                           F.col("search_term_id").alias("dict_pos"))
-    d = maybe_broadcast(d, max_rows)
+    d = maybe_broadcast(d, max_bytes)
     return items.join(d, items[term_col] == d["_jt"], "left").drop("_jt")
 
 
@@ -36,15 +36,16 @@ def combine(stored: DataFrame, new: DataFrame) -> DataFrame:
 def dedupe_keep_first(df: DataFrame, keys=DEDUPE_KEYS, order: list[str] | None = None) -> DataFrame:
     """WN2: one row per key (NULLs equal), the first in ``order`` wins.
 
-    Implemented as an aggregation (``min_by`` over an order struct) so duplicates
-    are combined map-side before the shuffle: a key holding a large share of the
-    rows never lands whole in one task.
+    ``order`` must tell the rows of a key apart as far as it matters which stays; of rows
+    equal in ``order`` the remaining columns decide, in their order. The row number needed
+    is 1, so Spark keeps one row per key and task before the shuffle (window group limit):
+    a key holding a large share of the rows never lands whole in one task, and the payload
+    travels once, not inside an aggregation key.
     """
     order = order or ["_batch"]
-    payload = [c for c in df.columns if c not in keys]
-    ordkey = F.struct(*[F.col(c) for c in order], *[F.col(c) for c in payload if c not in order])
-    agg = df.groupBy(*keys).agg(F.min_by(F.struct(*payload), ordkey).alias("_r"))
-    return agg.select(*keys, "_r.*").select(*df.columns)
+    rest = [c for c in df.columns if c not in keys and c not in order]
+    w = Window.partitionBy(*keys).orderBy(*order, *rest)
+    return df.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn")
 
 
 def _window_cutoff(as_of: str, days: int) -> Column:
@@ -72,6 +73,20 @@ def newest_first(df: DataFrame) -> DataFrame:
     return df.orderBy(F.col("published_date").desc_nulls_last(), "link", "title")
 
 
+def polarity_text(col: str = "polarity") -> Column:
+    """FN14: up to four decimals, at least one, never an exponent (0.0005, 0.5, 0.0)."""
+    return F.regexp_replace(F.col(col).cast("decimal(20,4)").cast("string"), r"(\.\d+?)0+$", "$1")
+
+
+def published_columns(df: DataFrame, risk_set: str = "enterprise") -> DataFrame:
+    """FN16: the column names of the published file: upper case, the risk id by risk set."""
+    return df.select(*[F.col(c).alias(published_name(c, risk_set)) for c in df.columns])
+
+
+def published_name(column: str, risk_set: str) -> str:
+    return f"{risk_set.upper()}_RISK_ID" if column == "risk_id" else column.upper()
+
+
 def export_projection(df: DataFrame) -> DataFrame:
     """FN14-16: CSV-facing projection (keywords joined, polarity as text,
     run stamp formatted)."""
@@ -79,7 +94,7 @@ def export_projection(df: DataFrame) -> DataFrame:
         "risk_id", "search_term_id", "title", "summary",
         F.array_join("keywords", ",").alias("keywords"),
         "published_date", "link", "source", "source_url", "sentiment",
-        F.col("polarity").cast("string").alias("polarity"),
+        polarity_text().alias("polarity"),
         F.date_format("last_run_timestamp", "yyyy-MM-dd HH:mm:ss").alias("last_run_timestamp"),
         *[c for c in df.columns if c.startswith("score_")],
         *(["quality_score"] if "quality_score" in df.columns else []),

@@ -26,8 +26,9 @@ OUTPUT_COLUMNS = ST.MENTION_COLUMNS + Q.SCORE_COLUMNS + ["quality_score"]
 @dataclass
 class DailyParams:
     as_of: str                       # run clock, 'YYYY-MM-DD HH:MM:SS'
-    max_terms: int = C.MAX_TERMS
-    max_items_per_term: int = C.MAX_ITEMS_PER_TERM
+    max_terms: int | None = None            # the reproduced jobs cap at C.MAX_TERMS
+    max_items_per_term: int | None = None   # and at C.MAX_ITEMS_PER_TERM
+    score_domain_from: str = "source_url"   # or "link" / "source_site"
     recency_days: int = C.RECENCY_DAYS
     window_days: int = C.WINDOW_DAYS
     min_article_chars: int = C.MIN_ARTICLE_CHARS
@@ -52,53 +53,69 @@ def new_mentions(raw_items: DataFrame, dictionary: DataFrame, pages: DataFrame,
     items = G.restrict_to_terms(G.normalize_items(raw_items), terms)
     seen = G.existing_links(stored) if stored is not None else None
     items = G.link_gates(items, block, seen)
-    items = G.top_k_per_term(items, p.max_items_per_term)
+    if p.max_items_per_term is not None:
+        items = G.top_k_per_term(items, p.max_items_per_term)
     items = G.recent(items, p.as_of_date, p.recency_days)
-    # the survivors (<= max_items_per_term per term) feed both the page
+    # the survivors (the items of the last days) feed both the page
     # selection and the enrichment join: materialise them once (reliable
     # checkpoint in the cluster's checkpoint folder) instead of re-running the
     # scans, joins and the top-k window for each use
     items = materialize(items)
-    arrays = Q.term_arrays(terms)
-    feats = E.page_features(E.pages_for_links(pages, items), lex, arrays, p.min_article_chars)
+    feats = E.page_features(E.pages_for_links(pages, items), lex, terms, p.min_article_chars)
     new = E.enrich(items, feats)
     new = ST.attach_risk_ids(new, dictionary, "term")
-    new = new.withColumn("_match", Q.contains_any(F.col("title"), arrays) | F.col("summary_match"))
-    new = Q.quality_score(new, terms, allow, block, match_col="_match", words_col="summary_words")
+    new = Q.term_flag(new, ["title"], terms, "_title_match")
+    new = new.withColumn("_match", F.col("_title_match") | F.col("summary_match"))
+    new = Q.quality_score(new, terms, allow, block, match_col="_match", words_col="summary_words",
+                          source_url_col=p.score_domain_from)
     new = new.withColumn("last_run_timestamp", F.lit(p.as_of).cast("timestamp_ntz"))
     return new.select(*OUTPUT_COLUMNS, *[c for c in ORDER_COLUMNS if c != "_batch"])
 
 
-def run(raw_items: DataFrame, dictionary: DataFrame, pages: DataFrame, block: DataFrame,
-        allow: DataFrame, lex: Lexicon, stored: DataFrame | None, p: DailyParams,
-        observation=None, with_new: bool = False):
-    """One daily run. Returns (current, old): the store to write and the rows
-    that left the window (archive). With a ``pyspark.sql.Observation`` the run
+def new_rows(raw_items: DataFrame, dictionary: DataFrame, pages: DataFrame, block: DataFrame,
+             allow: DataFrame, lex: Lexicon, stored: DataFrame | None, p: DailyParams,
+             observation=None) -> DataFrame:
+    """The rows that one run adds to the store. With a ``pyspark.sql.Observation`` the run
     audit counts (new rows, their null dates, their mean quality score) are
     collected as a side effect of the first action, without an extra pass."""
     new = new_mentions(raw_items, dictionary, pages, block, allow, lex, stored, p)
-    if observation is not None:
-        new = new.observe(observation, F.count(F.lit(1)).alias("new_rows"),
-                          F.count_if(F.col("published_date").isNull()).alias("new_null_dates"),
-                          F.avg("quality_score").alias("new_mean_score"))
     # keep-first dedupe on (title, link, published_date), stored rows first.
     # The store is already duplicate-free, and every new row passed the recency
     # gate (date >= as_of_date - recency_days), so only that date slice of the
     # store can collide: dedupe the new rows among themselves, drop those whose
-    # key is in the slice (date-partition pruning on the store), append.
+    # key is in the slice (date-partition pruning on the store).
     new = ST.dedupe_keep_first(new.withColumn("_batch", F.lit(1)), ST.DEDUPE_KEYS, ORDER_COLUMNS)
     new = new.select(*OUTPUT_COLUMNS)
-    if stored is None:
-        combined = new
-    else:
-        stored = stored.select(*[c for c in OUTPUT_COLUMNS if c in stored.columns])
+    if stored is not None:
         low = F.date_sub(F.lit(p.as_of_date).cast("date"), p.recency_days)
         keys = list(ST.DEDUPE_KEYS)
         slice_keys = stored.where(F.col("published_date") >= low).select(*keys).distinct()
         new = new.join(slice_keys, keys, "left_anti")
-        combined = stored.unionByName(new, allowMissingColumns=True)
-    current, old = ST.window_split(combined.select(*OUTPUT_COLUMNS), p.as_of, p.window_days)
-    if with_new:
-        # the rows this run adds to the store (for an append-only store)
-        return current, old, new
-    return current, old
+    if observation is not None:
+        new = new.observe(observation, F.count(F.lit(1)).alias("new_rows"),
+                          F.count_if(F.col("published_date").isNull()).alias("new_null_dates"),
+                          F.avg("quality_score").alias("new_mean_score"))
+    return new.select(*OUTPUT_COLUMNS)
+
+
+def with_store(stored: DataFrame | None, new: DataFrame, p: DailyParams) -> tuple[DataFrame, DataFrame]:
+    """(current, old): the store to write and the rows that left the window.
+
+    Rows age on the stored side only (new rows are recent), so the archive never runs the
+    enrichment; a window shorter than the recency gate is the one exception."""
+    current, aged = ST.window_split(new, p.as_of, p.window_days)
+    if stored is None:
+        return current, aged
+    stored = stored.select(*[c for c in OUTPUT_COLUMNS if c in stored.columns])
+    kept, old = ST.window_split(stored, p.as_of, p.window_days)
+    if p.window_days <= p.recency_days:
+        old = old.unionByName(aged, allowMissingColumns=True)
+    return kept.unionByName(current, allowMissingColumns=True).select(*OUTPUT_COLUMNS), old
+
+
+def run(raw_items: DataFrame, dictionary: DataFrame, pages: DataFrame, block: DataFrame,
+        allow: DataFrame, lex: Lexicon, stored: DataFrame | None, p: DailyParams,
+        observation=None) -> tuple[DataFrame, DataFrame]:
+    """One daily run as one plan: (current, old)."""
+    new = new_rows(raw_items, dictionary, pages, block, allow, lex, stored, p, observation)
+    return with_store(stored, new, p)

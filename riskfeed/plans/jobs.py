@@ -11,6 +11,7 @@ import argparse
 from dataclasses import dataclass
 
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 
 from riskfeed import constants as C
 from riskfeed import sinks
@@ -34,16 +35,16 @@ class DailyInputs:
     allow_csv: str = ""
     risk_set: str = "enterprise"
     lexicon: str | None = None
+    resolved: str = ""
 
 
 def daily_job(spark: SparkSession, inp: DailyInputs, p: daily.DailyParams, export_csv: str | None = None,
-              archive_overwrite: bool = False, append_only: bool = False) -> dict:
-    """PIPE1 over files; returns the run audit (observed counts).
+              append_only: bool = True) -> dict:
+    """PIPE1 over files; returns the run audit.
 
-    Default: the in-window rows become a new store version and aged rows go to
-    the archive (the reproduced behaviour). ``append_only=True``: only the new
-    rows are written (appended to their date partitions); readers take the
-    window with :func:`sinks.read_window`."""
+    Default: only the new rows are written (appended to their date partitions); readers take
+    the window with :func:`sinks.read_window`. ``append_only=False``: the in-window rows become
+    a new store version and aged rows go to the archive first (the reproduced behaviour)."""
     from pyspark.sql import Observation
     clear_memo()
     dictionary = lists.decode_dictionary(lists.read_terms(spark, inp.terms_csv, inp.risk_set))
@@ -57,37 +58,36 @@ def daily_job(spark: SparkSession, inp: DailyInputs, p: daily.DailyParams, expor
     stored = (sinks.read_window(spark, inp.store_root, p.as_of, p.window_days)[0] if append_only
               else sinks.read_current(spark, inp.store_root))
     obs = Observation("daily_run")
-    current, old, new = daily.run(read_feed(spark, inp.feed_root), dictionary, read_pages(spark, inp.pages),
-                                  block, allow, lex, stored, p, obs, with_new=True)
+    resolved = spark.read.parquet(inp.resolved) if inp.resolved else None
+    new = daily.new_rows(read_feed(spark, inp.feed_root, resolved), dictionary, read_pages(spark, inp.pages),
+                         block, allow, lex, stored, p, obs)
+    new = daily.materialize(new)   # once: the store, the audit and the archive read it
+    audit = dict(obs.get)
+    before = stored.select(F.count(F.lit(1)), F.count_distinct("link")).first() if stored is not None else (0, 0)
+    audit.update(stored_rows=before[0], existing_links=before[1], combined_rows=before[0] + audit["new_rows"])
     if append_only:
-        new = daily.materialize(new)
         sinks.append_new(new, inp.store_root)
-        audit = dict(obs.get)
         cur, _ = sinks.read_window(spark, inp.store_root, p.as_of, p.window_days)
-        audit.update(current_rows=cur.count())
-        if export_csv:
-            sinks.export_csv(cur, export_csv)
-        return audit
-    # materialise once: the store version, the archive and the export all read it
-    current = daily.materialize(current)
-    version = sinks.write_current(current, inp.store_root)
-    if old.limit(1).count() > 0:
-        sinks.write_archive(old, inp.archive, overwrite=archive_overwrite)
-    if export_csv:
-        sinks.export_csv(current, export_csv)
-    audit = dict(obs.get)
-    audit.update(store_version=version, current_rows=current.count())
+    else:
+        current, old = daily.with_store(stored, new, p)
+        archived = old.count()
+        if archived:  # before the publish: until then the aged rows are in the live version
+            sinks.write_archive(old, inp.archive, p.as_of)
+        audit.update(store_version=sinks.write_current(current, inp.store_root), archived_rows=archived)
+        cur = sinks.read_current(spark, inp.store_root)
+    if export_csv and cur is not None:
+        sinks.export_csv(cur, export_csv, inp.risk_set)
+    audit.update(current_rows=cur.count() if cur is not None else 0)
     return audit
 
 
 def backfill_job(spark: SparkSession, store_root: str, pages: str, as_of: str,
                  start: str = C.BACKFILL_RANGE[0], end: str = C.BACKFILL_RANGE[1],
-                 lexicon: str | None = None, append_only: bool = False) -> str | None:
+                 lexicon: str | None = None, append_only: bool = True) -> str | None:
     """PIPE2: fill missing text of the latest 3-day batch; publish only when a
     row changed. Versioned store: returns the new version or None. Append-only
     store: only the batch's date partitions are read, merged and overwritten
     (dynamic partition overwrite); returns "dates:<first>..<last>" or None."""
-    from pyspark.sql import functions as F
     clear_memo()
     store = sinks.read_appended(spark, store_root) if append_only else sinks.read_current(spark, store_root)
     if store is None:
@@ -110,10 +110,11 @@ def backfill_job(spark: SparkSession, store_root: str, pages: str, as_of: str,
     return f"dates:{first}..{latest}"
 
 
-def digest_job(spark: SparkSession, store_root: str, out_root: str, as_of: str) -> int:
-    """PIPE3: per-risk digest and prompt rows of the last 4 weeks."""
+def digest_job(spark: SparkSession, store_root: str, out_root: str, as_of: str,
+               append_only: bool = True) -> int:
+    """PIPE3: per-risk digest and prompt rows of the last 4 weeks of either kind of store."""
     clear_memo()
-    store = sinks.read_current(spark, store_root)
+    store = sinks.read_appended(spark, store_root) if append_only else sinks.read_current(spark, store_root)
     if store is None:
         return 0
     dig = DG.risk_prompt(DG.risk_digest(DG.last_four_weeks(store, as_of)))
@@ -128,14 +129,15 @@ def main(argv=None) -> None:
     d = sub.add_parser("daily")
     for a in ("terms-csv", "feed-root", "pages", "store-root", "archive"):
         d.add_argument(f"--{a}", required=True)
-    for a in ("block-csv", "allow-csv", "lexicon", "export-csv"):
+    for a in ("block-csv", "allow-csv", "lexicon", "export-csv", "resolved"):
         d.add_argument(f"--{a}", default=None)
     d.add_argument("--risk-set", default="enterprise", choices=["enterprise", "emerging"])
     d.add_argument("--as-of", required=True)
-    d.add_argument("--max-terms", type=int, default=C.MAX_TERMS)
-    d.add_argument("--max-items-per-term", type=int, default=C.MAX_ITEMS_PER_TERM)
+    d.add_argument("--max-terms", type=int, default=None, help=f"the reproduced jobs take {C.MAX_TERMS}")
+    d.add_argument("--max-items-per-term", type=int, default=None,
+                   help=f"the reproduced jobs take {C.MAX_ITEMS_PER_TERM}")
+    d.add_argument("--score-domain-from", default="source_url", choices=["source_url", "link", "source_site"])
     d.add_argument("--window-days", type=int, default=C.WINDOW_DAYS)
-    d.add_argument("--append-only", action="store_true")
     b = sub.add_parser("backfill")
     for a in ("store-root", "pages", "as-of"):
         b.add_argument(f"--{a}", required=True)
@@ -145,18 +147,23 @@ def main(argv=None) -> None:
     g = sub.add_parser("digest")
     for a in ("store-root", "out-root", "as-of"):
         g.add_argument(f"--{a}", required=True)
+    for job in (d, b, g):
+        job.add_argument("--versioned", action="store_true",
+                         help="the store is rewritten as a new version each run instead of appended to")
     args = ap.parse_args(argv)
     spark = SparkSession.builder.appName(f"riskfeed-{args.job}").getOrCreate()
     if args.job == "daily":
         inp = DailyInputs(args.terms_csv, args.feed_root, args.pages, args.store_root, args.archive,
-                          args.block_csv or "", args.allow_csv or "", args.risk_set, args.lexicon)
+                          args.block_csv or "", args.allow_csv or "", args.risk_set, args.lexicon, args.resolved or "")
         p = daily.DailyParams(as_of=args.as_of, max_terms=args.max_terms,
-                              max_items_per_term=args.max_items_per_term, window_days=args.window_days)
-        print(daily_job(spark, inp, p, args.export_csv, append_only=args.append_only))
+                              max_items_per_term=args.max_items_per_term, window_days=args.window_days,
+                              score_domain_from=args.score_domain_from)
+        print(daily_job(spark, inp, p, args.export_csv, append_only=not args.versioned))
     elif args.job == "backfill":
-        print(backfill_job(spark, args.store_root, args.pages, args.as_of, args.start, args.end, args.lexicon))
+        print(backfill_job(spark, args.store_root, args.pages, args.as_of, args.start, args.end, args.lexicon,
+                           append_only=not args.versioned))
     else:
-        print(digest_job(spark, args.store_root, args.out_root, args.as_of))
+        print(digest_job(spark, args.store_root, args.out_root, args.as_of, append_only=not args.versioned))
 
 
 if __name__ == "__main__":

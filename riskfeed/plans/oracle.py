@@ -39,11 +39,28 @@ def score_dom(x: str) -> str:
     return f"lower({auth(ws)})"
 
 
+ENT_RE = r"^(#\d{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]{1,31});"
+
+
+def _entity_map() -> str:
+    from html.entities import html5
+    table = {k[:-1]: v for k, v in sorted(html5.items()) if k.endswith(";")}
+    return (f"MAP([{', '.join(q(k) for k in table)}], [{', '.join(q(v) for v in table.values())}])")
+
+
 def ent(x: str) -> str:
-    out = x
-    for e, ch in C.HTML_ENTITIES:
-        out = f"replace({out}, {q(e)}, {q(ch)})"
-    return out
+    """Character references decoded once: the text is cut at each ampersand."""
+    ref = f"regexp_extract(e1, {q(ENT_RE)}, 1)"
+    code = (f"TRY_CAST(CASE WHEN lower(substr({ref}, 1, 2)) = '#x' THEN '0x' || substr({ref}, 3) "
+            f"WHEN substr({ref}, 1, 1) = '#' THEN substr({ref}, 2) END AS INTEGER)")
+    char = (f"CASE WHEN {ref} = '' THEN NULL WHEN substr({ref}, 1, 1) <> '#' THEN map_extract({ENTITY_MAP}, {ref})[1] "
+            f"WHEN {code} BETWEEN 1 AND 55295 OR {code} BETWEEN 57344 AND 1114111 THEN chr({code}) END")
+    piece = f"coalesce(({char}) || substr(e1, length({ref}) + 2), '&' || e1)"
+    return (f"CASE WHEN NOT contains({x}, '&') THEN {x} ELSE string_split({x}, '&')[1] || "
+            f"array_to_string(list_transform(string_split({x}, '&')[2:], lambda e1: {piece}), '') END")
+
+
+ENTITY_MAP = _entity_map()
 
 
 def title(html: str) -> str:
@@ -79,10 +96,17 @@ def words(x: str) -> str:
 
 
 def parse_date(x: str) -> str:
-    rfc = f"nullif(regexp_extract({x}, {q(r'(\d{1,2} [A-Za-z]{3} \d{4})')}, 1), '')"
-    iso = f"nullif(regexp_extract({x}, {q(r'^\s*(\d{4}-\d{2}-\d{2})')}, 1), '')"
-    return (f"coalesce(CAST(try_strptime({rfc}, '%d %b %Y') AS DATE), "
-            f"CAST(try_strptime({iso}, '%Y-%m-%d') AS DATE))")
+    day = r"(\d{1,2})[ -]([A-Za-z]{3})[A-Za-z]*\.?[ -](\d{4}|\d{2})\b"
+    mon = r"\b([A-Za-z]{3})[A-Za-z]*\.? (\d{1,2}),? (\d{4})\b"
+    iso = r"^\s*(\d{4})[-/](\d{1,2})[-/](\d{1,2})"
+
+    def g(p: str, i: int) -> str:
+        return f"regexp_extract({x}, {q(p)}, {i})"
+    year = f"(CASE WHEN length({g(day, 3)}) <> 2 THEN {g(day, 3)} WHEN {g(day, 3)} >= '69' THEN '19' ELSE '20' END || " \
+           f"CASE WHEN length({g(day, 3)}) = 2 THEN {g(day, 3)} ELSE '' END)"
+    return (f"coalesce(CAST(try_strptime({g(day, 1)} || ' ' || {g(day, 2)} || ' ' || {year}, '%d %b %Y') AS DATE), "
+            f"CAST(try_strptime({g(mon, 2)} || ' ' || {g(mon, 1)} || ' ' || {g(mon, 3)}, '%d %b %Y') AS DATE), "
+            f"CAST(try_strptime({g(iso, 1)} || '-' || {g(iso, 2)} || '-' || {g(iso, 3)}, '%Y-%m-%d') AS DATE))")
 
 
 def ends_any(x: str, suffixes) -> str:
@@ -124,8 +148,8 @@ def _dict_rows():
 
 DIM_CTES = [
     f"dict AS (SELECT * FROM {values(_dict_rows(), ['risk_id', 'search_term_id', 'search_terms'])})",
-    f"vterms AS (SELECT search_terms, min(search_term_id) AS term_pos FROM (SELECT * FROM dict "
-    f"WHERE search_terms IS NOT NULL ORDER BY search_term_id LIMIT {C.MAX_TERMS}) GROUP BY search_terms)",
+    "vterms AS (SELECT search_terms, min(search_term_id) AS term_pos FROM dict "
+    "WHERE search_terms IS NOT NULL GROUP BY search_terms)",
     f"blk AS (SELECT DISTINCT {norm('name')} AS name FROM {values([(v,) for v in B.TEST_BLOCK_LIST], ['name'])} "
     f"WHERE name IS NOT NULL)",
     f"alw AS (SELECT DISTINCT {norm('name')} AS name FROM {values([(v,) for v in B.TEST_ALLOW_LIST], ['name'])} "
@@ -135,7 +159,7 @@ DIM_CTES = [
 SRC_NAME = "(' Src' || CAST(e.user_id % 20 AS VARCHAR) || ' ')"
 ITEM_CTES = [
     f"pl AS (SELECT page_id, url AS feed_link, {title('html')} AS title FROM pages)",
-    "raw_items AS (SELECT e.event_type AS term, 1 AS result_page, (e.event_id * 7919) % 10007 AS feed_pos, "
+    "raw_items AS (SELECT e.event_type AS term, CAST(((e.event_id * 7919) % 10007) // 1000 + 1 AS INTEGER) AS result_page, (e.event_id * 7919) % 10007 AS feed_pos, "
     "e.event_id AS item_id, pl.title, pl.feed_link, pl.feed_link AS resolved_link, "
     f"{SRC_NAME} AS source_name, "
     "CASE WHEN e.value < 1 THEN 'not a date' "
@@ -274,7 +298,7 @@ OUT_COLS = ["risk_id", "search_term_id", "title", "summary", "keywords", "publis
 ORD = ["term_pos", "result_page", "feed_pos", "item_id", "dict_pos"]
 
 
-def daily_ctes(p: str, as_of: str, stored: str | None, k: int, window_days: int):
+def daily_ctes(p: str, as_of: str, stored: str | None, window_days: int):
     as_of_date = as_of[:10]
     seen = (f" AND NOT EXISTS (SELECT 1 FROM {stored} s WHERE {norm('s.link')} = g.link)" if stored else "")
     ctes = [
@@ -282,9 +306,7 @@ def daily_ctes(p: str, as_of: str, stored: str | None, k: int, window_days: int)
         f"{p}_g AS (SELECT * FROM {p}_it g WHERE link IS NOT NULL AND {ends_any(f'lower({auth('link')})', C.LINK_TLDS)} "
         f"AND NOT contains(link, {q(C.TRANSLATED_MARKER)}) AND NOT EXISTS (SELECT 1 FROM blk b WHERE b.name = g.source)"
         f"{seen})",
-        f"{p}_k AS (SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY term ORDER BY result_page, "
-        f"feed_pos, item_id) AS rn FROM {p}_g) WHERE rn <= {k})",
-        f"{p}_r AS (SELECT * FROM {p}_k WHERE published_date IS NOT NULL AND "
+        f"{p}_r AS (SELECT * FROM {p}_g WHERE published_date IS NOT NULL AND "
         f"published_date >= DATE '{as_of_date}' - INTERVAL {C.RECENCY_DAYS} DAY)",
         f"{p}_pg AS (SELECT link, arg_min(html, page_id) AS html FROM pages_n WHERE link IN (SELECT link FROM {p}_r) "
         f"GROUP BY link)",
@@ -303,10 +325,6 @@ def daily_ctes(p: str, as_of: str, stored: str | None, k: int, window_days: int)
         f"{p}_jf AS (SELECT *, {flags('source_url')} FROM {p}_j)",
     ]
     ctes += score_ctes(f"{p}_jf", f"{p}_s", f"{term_match('title')} OR summary_match", "summary_words")
-    out_sel = ", ".join(OUT_COLS).replace("keywords", "CAST([] AS VARCHAR[]) AS keywords").replace(
-        "last_run_timestamp", f"TIMESTAMP '{as_of}' AS last_run_timestamp").replace(
-        "quality_score", "score_total_score AS quality_score").replace(
-        "score_total_score AS quality_score_total_score", "score_total_score")
     cols_new = []
     for c in OUT_COLS:
         if c == "keywords":
@@ -317,7 +335,6 @@ def daily_ctes(p: str, as_of: str, stored: str | None, k: int, window_days: int)
             cols_new.append("score_total_score AS quality_score")
         else:
             cols_new.append(c)
-    del out_sel
     ctes.append(f"{p}_new AS (SELECT {', '.join(cols_new)}, {', '.join(ORD)}, 1 AS batch FROM {p}_s)")
     if stored:
         nulls = ", ".join(f"NULL AS {c}" for c in ORD)
@@ -335,8 +352,8 @@ def daily_ctes(p: str, as_of: str, stored: str | None, k: int, window_days: int)
 
 
 DAILY = (DIM_CTES + ITEM_CTES + PAGE_CTES
-         + daily_ctes("r1", B.EARLIER_AS_OF, None, B.TEST_ITEMS_PER_TERM, B.TEST_WINDOW_DAYS)
-         + daily_ctes("r2", B.AS_OF, "r1_cur", B.TEST_ITEMS_PER_TERM, B.TEST_WINDOW_DAYS))
+         + daily_ctes("r1", B.EARLIER_AS_OF, None, B.TEST_WINDOW_DAYS)
+         + daily_ctes("r2", B.AS_OF, "r1_cur", B.TEST_WINDOW_DAYS))
 
 
 # ------------------------------------------------------------------ queries
@@ -374,6 +391,9 @@ def decode_sql(e: str) -> str:
 ENC_TEXT = "event_type || ' ' || CAST(user_id AS VARCHAR)"
 
 
+POLARITY_TEXT = ("regexp_replace(CAST(CAST(polarity AS DECIMAL(20, 4)) AS VARCHAR), '(\\.\\d+?)0+$', '\\1') AS polarity")
+
+
 def oracle_sql() -> dict[str, str]:
     s: dict[str, str] = {}
 
@@ -520,9 +540,7 @@ def oracle_sql() -> dict[str, str]:
     s["enrich_mentions"] = with_(
         base + PAGE_CTES + [
             f"g1 AS (SELECT * FROM items g WHERE {gate} AND NOT EXISTS (SELECT 1 FROM blk b WHERE b.name = g.source))",
-            f"k1 AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY term ORDER BY result_page, feed_pos, "
-            f"item_id) AS rn FROM g1) WHERE rn <= {B.TEST_ITEMS_PER_TERM})",
-            f"r1 AS (SELECT * FROM k1 WHERE published_date IS NOT NULL AND published_date >= DATE '{B.AS_OF_DATE}' "
+            f"r1 AS (SELECT * FROM g1 WHERE published_date IS NOT NULL AND published_date >= DATE '{B.AS_OF_DATE}' "
             f"- INTERVAL {C.RECENCY_DAYS} DAY)",
             f"pg1 AS ({ej.format(src='r1')})",
             f"pt1 AS (SELECT link, {blank(page_text('html'))} AS summary FROM pg1)"]
@@ -547,11 +565,43 @@ def oracle_sql() -> dict[str, str]:
         "FROM mview m LEFT JOIN ps3 s ON s.link = m.link GROUP BY 1, 2, 3")
 
     s["mentions_scan"] = with_(PAGE_CTES + DOCS_CTES, "SELECT doc_id, link, published_date, summary FROM docs_store")
-    s["feed_items"] = with_(base, "SELECT i.term, i.title, i.link, i.source, i.source_url, i.published_date, "
-                                  "'https://' || " + auth("r.feed_link") + " AS source_site FROM items i "
-                                  "JOIN raw_items r ON r.item_id = i.item_id")
-    s["stream_ingest"] = with_(base, f"SELECT DISTINCT link FROM items g WHERE {gate} AND published_date IS NOT NULL "
-                                     "AND NOT EXISTS (SELECT 1 FROM blk b WHERE b.name = g.source)")
+    s["feed_items"] = with_(base, "SELECT i.term, i.result_page, row_number() OVER (PARTITION BY i.term, i.result_page "
+                                  "ORDER BY i.feed_pos, i.item_id) - 1 AS feed_pos, i.title, "
+                                  "CASE WHEN length(r.feed_link) % 7 <> 0 THEN i.link END AS link, i.source, "
+                                  f"{q(B.FEED_HOST.removeprefix('https://'))} AS source_url, i.published_date, "
+                                  f"{q(B.FEED_HOST)} AS source_site FROM items i JOIN raw_items r ON r.item_id = i.item_id")
+    s["stream_ingest"] = with_(
+        base, "SELECT title, link, published_date, term, source FROM (SELECT *, row_number() OVER (PARTITION BY link "
+              f"ORDER BY published_date, term, title, source) AS rn FROM items g WHERE {gate} AND published_date IS NOT NULL "
+              "AND NOT EXISTS (SELECT 1 FROM blk b WHERE b.name = g.source)) WHERE rn = 1")
+    s["csv_store"] = with_(
+        base, "SELECT CAST(item_id AS INTEGER) AS item_id, risk_id, search_term_id, title, "
+              "'said \"' || title || '\",' || chr(10) || 'then more' AS summary, "
+              "CASE WHEN item_id % 11 <> 0 THEN published_date END AS published_date, link, source, "
+              "CAST(item_id % 21 - 10 AS DOUBLE) / 10000 AS polarity, "
+              f"{POLARITY_TEXT.replace('polarity AS DECIMAL', 'CAST(item_id % 21 - 10 AS DOUBLE) / 10000 AS DECIMAL')}_text, "
+              f"TIMESTAMP '{B.AS_OF}' AS last_run_timestamp FROM mview")
+    s["archive_rows"] = with_(
+        PAGE_CTES + DOCS_CTES, "SELECT doc_id, link, published_date, summary FROM docs_store WHERE "
+        f"CAST(published_date AS TIMESTAMP) < TIMESTAMP '{B.AS_OF}' - INTERVAL {B.TEST_WINDOW_DAYS} DAY")
+    s["backfill_publish"] = f"SELECT * EXCLUDE (backfilled) FROM ({s['backfill_merge']})"
+    s["narrative_history"] = (f"SELECT risk_id, article_count, prompt, generated_at FROM ({s['risk_prompt']}), "
+                              f"(VALUES (TIMESTAMP '{B.EARLIER_AS_OF}'), (TIMESTAMP '{B.AS_OF}')) AS r(generated_at)")
+    s["term_match_dictionary"] = (
+        f"WITH words AS (SELECT DISTINCT unnest(string_split({title('html')}, ' ')) AS w FROM pages) "
+        "SELECT doc_id, EXISTS (SELECT 1 FROM words WHERE w <> '' AND contains(lower(coalesce(text, '')), lower(w))) "
+        "AS term_match FROM documents")
+    mark = "(ascii(substr(w, 1, 1)) * 7 + ascii(substr(w, 3, 1)) * 5 + ascii(substr(w, 4, 1)))"
+    plain = sentiment_ctes("dsrc", "doc_id", "text", "dsent", "compound")
+    own = case_map("w", [(k.lower(), v) for k, v in B.TEST_VALENCES], dbl(0.0))
+    assert own in plain[2]
+    # the words of the lexicon are exactly those that occur in the table, so the pattern decides
+    rule = (f"CASE WHEN list_contains((SELECT list(token) FROM dlex), w) THEN CAST({mark} % 9 - 4 AS DOUBLE) / 2 "
+            "ELSE 0.0::DOUBLE END")
+    plain[2] = plain[2].replace(own, rule)
+    s["sentiment_derived_lexicon"] = with_(
+        ["dlex AS (SELECT DISTINCT unnest(regexp_extract_all(text, '\\b([a-z]{4})\\b', 1)) AS token FROM documents)",
+         "dsrc AS (SELECT doc_id, text FROM documents)"] + plain, "SELECT doc_id, compound FROM dsent")
     s["daily_mentions"] = with_(DAILY, "SELECT * EXCLUDE (keywords), CAST(len(keywords) AS INTEGER) AS n_keywords "
                                        "FROM r2_cur")
     exp_cols = []
@@ -559,16 +609,26 @@ def oracle_sql() -> dict[str, str]:
         if c == "keywords":
             exp_cols.append("array_to_string(keywords, ',') AS keywords")
         elif c == "polarity":
-            exp_cols.append("CAST(polarity AS VARCHAR) AS polarity")
+            exp_cols.append(POLARITY_TEXT)
         elif c == "last_run_timestamp":
             exp_cols.append("strftime(last_run_timestamp, '%Y-%m-%d %H:%M:%S') AS last_run_timestamp")
         else:
             exp_cols.append(c)
     s["export_projection"] = with_(DAILY, f"SELECT {', '.join(exp_cols)} FROM r2_cur")
     s["run_audit"] = with_(
-        base + [f"gated AS (SELECT * FROM items g WHERE {gate} AND NOT EXISTS (SELECT 1 FROM blk b WHERE b.name = g.source))"],
+        base + PAGE_CTES + DOCS_CTES
+        + [f"gated AS (SELECT * FROM items g WHERE {gate} AND NOT EXISTS (SELECT 1 FROM blk b WHERE b.name = g.source))",
+           f"fresh AS (SELECT * FROM gated g WHERE NOT EXISTS (SELECT 1 FROM docs_store s WHERE {norm('s.link')} = g.link))"],
         "SELECT (SELECT count(*) FROM dict) AS loaded_terms, (SELECT count(*) FROM dict WHERE search_terms IS NOT NULL) "
-        "AS valid_terms, (SELECT count(*) FROM items) AS items_found, (SELECT count(*) FROM gated) AS items_after_gates, "
+        "AS valid_terms, (SELECT count(*) FROM raw_items) AS items_landed, "
+        "(SELECT count(*) FROM raw_items) - (SELECT count(*) FROM items) AS items_dropped, "
+        "(SELECT count(*) FROM docs_store) AS stored_rows, (SELECT count(DISTINCT link) FROM docs_store) AS existing_links, "
+        "(SELECT count(*) FROM docs_store WHERE CAST(published_date AS TIMESTAMP) >= "
+        f"TIMESTAMP '{B.AS_OF}' - INTERVAL {B.TEST_WINDOW_DAYS} DAY) AS stored_current_rows, "
+        "(SELECT count(*) FROM docs_store) + (SELECT count(*) FROM fresh) AS combined_rows, "
+        f"(SELECT count(*) FROM ({s['backfill_merge']}) WHERE backfilled) AS updated_rows, "
+        "(SELECT count(*) FROM fresh) AS new_rows, "
+        "(SELECT count(*) FROM items) AS items_found, (SELECT count(*) FROM gated) AS items_after_gates, "
         "(SELECT count(*) FROM items WHERE published_date IS NULL) AS null_dates, "
         "(SELECT count(DISTINCT link) FROM items) AS distinct_links")
     return s

@@ -133,6 +133,13 @@ def sentiment_compound(spark, sf):
     return S.score_texts(d, "text", "doc_id", B.lexicon(spark)).select("doc_id", "compound")
 
 
+@query
+def sentiment_derived_lexicon(spark, sf):
+    """SEN1 with a lexicon of over a thousand words, derived from the documents."""
+    d = spread_for_cpu(read_table(spark, sf, "documents", "doc_id", "text"))
+    return S.score_texts(d, "text", "doc_id", B.derived_lexicon(spark, sf)).select("doc_id", "compound")
+
+
 @query
 def sentiment_label(spark, sf):
     p = spread_for_cpu(B.pages(spark, sf)).select("page_id", X.blank_short(X.page_text("html")).alias("summary"))
@@ -165,7 +172,7 @@ def url_gates(spark, sf):
 @query
 def blocked_source_gate(spark, sf):
     it = items(spark, sf)
-    blk = maybe_broadcast(B.block_list(spark).select(F.col("name").alias("_b")), C.MAX_BROADCAST_LIST_ROWS)
+    blk = maybe_broadcast(B.block_list(spark).select(F.col("name").alias("_b")), C.MAX_BROADCAST_BYTES)
     return it.join(blk, it["source"] == blk["_b"], "left_anti").select("item_id", "source")
 
 
@@ -235,13 +242,19 @@ def source_flags(spark, sf):
 @query
 def term_match_any(spark, sf):
     d = read_table(spark, sf, "documents", "doc_id", "text")
-    arrays = Q.term_arrays(G.valid_terms(B.dictionary(spark)))
-    return d.select("doc_id", Q.contains_any(F.col("text"), arrays).alias("term_match"))
+    return Q.term_flag(d, ["text"], G.valid_terms(B.dictionary(spark)), "term_match").select("doc_id", "term_match")
+
+
+@query
+def term_match_dictionary(spark, sf):
+    """JN5 with a dictionary of distinct page words, on the path of large dictionaries."""
+    d = read_table(spark, sf, "documents", "doc_id", "text")
+    return Q.term_flag(d, ["text"], B.title_words(spark, sf), "term_match", bound=0).select("doc_id", "term_match")
 
 
-def _gated_recent(spark, sf, k=B.TEST_ITEMS_PER_TERM) -> DataFrame:
+def _gated_recent(spark, sf) -> DataFrame:
     it = G.link_gates(items(spark, sf), B.block_list(spark))
-    return daily.materialize(G.recent(G.top_k_per_term(it, k), B.AS_OF_DATE))
+    return daily.materialize(G.recent(it, B.AS_OF_DATE))
 
 
 @query
@@ -357,16 +370,14 @@ def mentions_newest_first(spark, sf):
 def _daily(spark, sf):
     raw, dic, pg = B.raw_items(spark, sf), B.dictionary(spark), B.pages(spark, sf)
     blk, alw, lex = B.block_list(spark), B.allow_list(spark), B.lexicon(spark)
-    p1 = daily.DailyParams(as_of=B.EARLIER_AS_OF, max_items_per_term=B.TEST_ITEMS_PER_TERM,
-                           window_days=B.TEST_WINDOW_DAYS)
+    p1 = daily.DailyParams(as_of=B.EARLIER_AS_OF, window_days=B.TEST_WINDOW_DAYS)
     first, _ = daily.run(raw, dic, pg, blk, alw, lex, None, p1)
     # day 1 publishes its store; day 2 reads the live version back (the real flow)
     from riskfeed import sinks
     root = _scratch(spark, "daily-store")
     sinks.write_current(first, root)
     first = sinks.read_current(spark, root)
-    p2 = daily.DailyParams(as_of=B.AS_OF, max_items_per_term=B.TEST_ITEMS_PER_TERM,
-                           window_days=B.TEST_WINDOW_DAYS)
+    p2 = daily.DailyParams(as_of=B.AS_OF, window_days=B.TEST_WINDOW_DAYS)
     return daily.run(raw, dic, pg, blk, alw, lex, first, p2)
 
 
@@ -385,14 +396,22 @@ def export_projection(spark, sf):
 
 @query
 def run_audit(spark, sf):
-    """AG8 + AG9: run audit counts. All item-level counts come from one
-    aggregation pass (the block list is a broadcast mark join), the two
-    dictionary counts from scalar subqueries over the tiny dictionary."""
+    """AG8 + AG9: run audit counts, with the documents as the store. All item-level counts
+    come from one aggregation pass (the block list is a broadcast mark join), the store's
+    from one over the store; new rows are gated items whose link the store lacks."""
     dic = B.dictionary(spark)
     it = items(spark, sf)
     blk = maybe_broadcast(B.block_list(spark).select(F.col("name").alias("_b"), F.lit(True).alias("_blocked")),
-                          C.MAX_BROADCAST_LIST_ROWS)
-    marked = it.join(blk, it["source"] == blk["_b"], "left")
+                          C.MAX_BROADCAST_BYTES)
+    store = B.docs_store(spark, sf)
+    seen = G.existing_links(store).select(F.col("link").alias("_l"), F.lit(True).alias("_seen"))
+    marked = it.join(blk, it["source"] == blk["_b"], "left").join(seen, it["link"] == seen["_l"], "left")
+    in_window = ST.window_flag(store, B.AS_OF, B.TEST_WINDOW_DAYS)
+    stored = in_window.agg(F.count(F.lit(1)).alias("stored_rows"), F.count_distinct("link").alias("existing_links"),
+                           F.count_if(F.col("window") == "current").alias("stored_current_rows"))
+    upd = BF.merge(store, BF.batch_targets(store, *B.TEST_BACKFILL_RANGE), B.pages(spark, sf), B.lexicon(spark),
+                   B.AS_OF, key_cols=("doc_id",)).agg(F.count_if("backfilled").alias("updated_rows"))
+    landed = B.raw_items(spark, sf).agg(F.count(F.lit(1)).alias("n"))
     dom = F.lower(X.authority(F.col("link")))
     passes = (F.col("link").isNotNull() & X.ends_with_any(dom, C.LINK_TLDS)
               & ~F.col("link").contains(C.TRANSLATED_MARKER) & F.col("_blocked").isNull())
@@ -401,7 +420,13 @@ def run_audit(spark, sf):
         F.count_if(passes).alias("items_after_gates"),
         F.count_if(F.col("published_date").isNull()).alias("null_dates"),
         F.count_distinct("link").alias("distinct_links"),
+        F.count_if(passes & F.col("_seen").isNull()).alias("new_rows"),
     ).select(
+        landed.scalar().alias("items_landed"),
+        (landed.scalar() - F.col("items_found")).alias("items_dropped"),
+        *[stored.select(c).scalar().alias(c) for c in ("stored_rows", "existing_links", "stored_current_rows")],
+        (stored.select("stored_rows").scalar() + F.col("new_rows")).alias("combined_rows"),
+        upd.scalar().alias("updated_rows"), "new_rows",
         dic.select(F.count(F.lit(1))).scalar().alias("loaded_terms"),
         dic.where(F.col("search_terms").isNotNull()).select(F.count(F.lit(1))).scalar().alias("valid_terms"),
         "items_found", "items_after_gates", "null_dates", "distinct_links")
@@ -433,12 +458,73 @@ def mentions_scan(spark, sf):
 @query
 def feed_items(spark, sf):
     """SRC3: land the derived items as RSS XML files (term / result page
-    directories), read them back with the XML source and normalise."""
+    directories) whose links lead through the feed's own host, read them back with the
+    table of what each link led to, and normalise."""
     from riskfeed.sources.feed import read_feed, write_feed
     root = _scratch(spark, "feed")
-    write_feed(B.raw_items(spark, sf), root)
-    return G.normalize_items(read_feed(spark, root)).select(
-        "term", "title", "link", "source", "source_url", "published_date", "source_site")
+    raw = B.raw_items(spark, sf).withColumn("_url", F.col("feed_link"))
+    raw = raw.withColumn("feed_link", F.concat(F.lit(B.FEED_HOST + "/r/"), F.md5("_url")))
+    led = raw.select("feed_link", F.col("_url").alias("resolved_link"),
+                     F.when(F.length("_url") % 7 == 0, 404).otherwise(200).alias("status")).distinct()
+    write_feed(raw, root)
+    return G.normalize_items(read_feed(spark, root, led)).select(
+        "term", "result_page", "feed_pos", "title", "link", "source", "source_url", "published_date", "source_site")
+
+
+@query
+def csv_store(spark, sf):
+    """SRC5 + FN14 + FN16 + FN17: items as mentions with small polarities and unreadable dates,
+    written as the published CSV file and read back."""
+    from riskfeed.sources.feed import read_mentions
+    path = _scratch(spark, "csv-store")
+    m = mention_view(spark, sf).select(
+        "risk_id", "search_term_id", "title", F.concat(F.lit('said "'), "title", F.lit('",\nthen more')).alias("summary"),
+        F.array().cast("array<string>").alias("keywords"),
+        F.when(F.col("item_id") % 11 == 0, F.lit("soon")).otherwise(F.col("published_date").cast("string")).alias("published_date"),
+        "link", "source", "source_url", F.lit("neutral").alias("sentiment"),
+        ((F.col("item_id") % 21 - 10) / 10000).alias("polarity"),
+        F.lit(B.AS_OF).cast("timestamp_ntz").alias("last_run_timestamp"), F.col("item_id").cast("int").alias("quality_score"))
+    (ST.published_columns(ST.export_projection(m), "emerging")
+     .write.option("header", True).option("quote", '"').option("escape", '"').csv(path))
+    back = read_mentions(spark, path, "csv", "emerging")
+    return back.select(F.col("quality_score").alias("item_id"), "risk_id", "search_term_id", "title", "summary",
+                       "published_date", "link", "source", "polarity", ST.polarity_text().alias("polarity_text"),
+                       "last_run_timestamp")
+
+
+@query
+def archive_rows(spark, sf):
+    """SNK2: documents that left the window, archived twice under one run, read back."""
+    from riskfeed import sinks
+    root = _scratch(spark, "archive")
+    _, old = ST.window_split(B.docs_store(spark, sf), B.AS_OF, B.TEST_WINDOW_DAYS)
+    for _ in range(2):  # a run that is repeated replaces its rows
+        sinks.write_archive(old, root, B.AS_OF)
+    return sinks.read_archive(spark, root).select("doc_id", "link", "published_date", "summary")
+
+
+@query
+def backfill_publish(spark, sf):
+    """SNK3: the backfilled documents published as a store version, read back."""
+    from riskfeed import sinks
+    root = _scratch(spark, "backfill")
+    s = B.docs_store(spark, sf)
+    sinks.write_current(s, root)
+    t = BF.batch_targets(s, *B.TEST_BACKFILL_RANGE)
+    merged = daily.materialize(BF.merge(s, t, B.pages(spark, sf), B.lexicon(spark), B.AS_OF, key_cols=("doc_id",)))
+    sinks.publish_backfill(merged, root)
+    return sinks.read_current(spark, root).select("doc_id", "summary", "sentiment", "polarity", "last_run_timestamp")
+
+
+@query
+def narrative_history(spark, sf):
+    """SNK4: the prompt rows of two runs, the second one repeated, read back."""
+    from riskfeed import sinks
+    root = _scratch(spark, "narratives")
+    rows = daily.materialize(risk_prompt(spark, sf))
+    for run in (B.EARLIER_AS_OF, B.AS_OF, B.AS_OF):
+        sinks.write_narratives(rows, root, run)
+    return spark.read.parquet(f"{root}/history").select("risk_id", "article_count", "prompt", "generated_at")
 
 
 @query
@@ -456,7 +542,7 @@ def stream_ingest(spark, sf):
         write_feed(drop, f"{base}/landing/drop={i}", mode="overwrite")
         q = ingest_stream(spark, f"{base}/landing", f"{base}/store", f"{base}/ckpt", B.block_list(spark))
         q.awaitTermination()
-    return read_store(spark, f"{base}/store").select("link")
+    return read_store(spark, f"{base}/store").select("title", "link", "published_date", "term", "source")
 
 
 @query

@@ -2,10 +2,14 @@
 narrative (digest) tables.
 
 Nothing is overwritten in place while it may be read: each store write goes
-to a new version directory and a one-line pointer dataset names the live
-version, so a failed or retried job (lost executors, task retries) never
-leaves a half-written store behind. All paths go through Spark's writers, so
-they work on any file system the cluster uses.
+to a new version directory, and a new one-line pointer file beside the older
+ones names it; the newest pointer is the live version. A failed or retried job
+(lost executors, task retries) never leaves a half-written store behind, and
+only a path that does not exist counts as "no store": any other read error
+stops the job. Rows are dealt out by date with a rebalance, so adaptive
+execution splits a date that holds much of the data over several files. All
+paths go through Spark's readers and writers, so they work on any file system
+the cluster uses.
 """
 
 from __future__ import annotations
@@ -13,59 +17,90 @@ from __future__ import annotations
 import time
 import uuid
 
+from collections.abc import Callable
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskfeed.operators import store as ST
 
-POINTER = "_CURRENT"
+POINTERS = "pointers"
+NO_STORE = ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")  # no folder, or a folder without a data file
+
+
+def read_or_none(read: Callable[[], DataFrame]) -> DataFrame | None:
+    """The frame, or None where its path does not exist (or holds no file yet)."""
+    try:
+        return read()
+    except AnalysisException as e:
+        if (e.getCondition() or "").startswith(NO_STORE):
+            return None
+        raise
 
 
 def _new_version(root: str) -> str:
-    return f"{root.rstrip('/')}/v={time.strftime('%Y%m%dT%H%M%S')}-{uuid.uuid4().hex[:8]}"
+    now = time.time_ns()
+    stamp = time.strftime("%Y%m%dT%H%M%S", time.gmtime(now // 10 ** 9))
+    return f"{root.rstrip('/')}/v={stamp}-{now % 10 ** 9:09d}-{uuid.uuid4().hex[:8]}"
 
 
 def current_version(spark: SparkSession, root: str) -> str | None:
     """Path of the live store version (None when the store does not exist)."""
-    try:
-        row = spark.read.text(f"{root.rstrip('/')}/{POINTER}").first()
-    except Exception:  # noqa: BLE001 - no pointer yet
+    base = root.rstrip("/")
+    pointers = read_or_none(lambda: spark.read.text(f"{base}/{POINTERS}"))
+    if pointers is None:
+        if read_or_none(lambda: spark.read.parquet(f"{base}/v=*")) is not None:
+            raise RuntimeError(f"{base} holds store versions but no pointer names the live one")
         return None
-    return row[0] if row else None
+    return pointers.agg(F.max("value")).first()[0]  # names begin with their UTC time
 
 
 def _publish(spark: SparkSession, root: str, version: str) -> None:
+    """A new pointer file beside the older ones; nothing is deleted."""
     (spark.createDataFrame([(version,)], "value string").coalesce(1)
-     .write.mode("overwrite").text(f"{root.rstrip('/')}/{POINTER}"))
+     .write.mode("append").text(f"{root.rstrip('/')}/{POINTERS}"))
+
+
+def _by_date(rows: DataFrame) -> DataFrame:
+    """Rows of a date together, newest first, a large date over several tasks."""
+    return (rows.hint("rebalance", F.col("published_date"))
+            .sortWithinPartitions(F.col("published_date").desc(), "link", "title"))
 
 
 def write_current(current: DataFrame, root: str) -> str:
     """SNK1: write the in-window rows as a new version partitioned by
-    published_date (rows sorted newest first inside each date), then switch
-    the pointer."""
+    published_date (rows sorted newest first inside each file), then publish
+    its pointer."""
     version = _new_version(root)
-    (current.repartition("published_date")
-     .sortWithinPartitions(F.col("published_date").desc(), "link", "title")
-     .write.mode("errorifexists").partitionBy("published_date").parquet(version))
+    _by_date(current).write.mode("errorifexists").partitionBy("published_date").parquet(version)
     _publish(current.sparkSession, root, version)
     return version
 
 
 def read_current(spark: SparkSession, root: str) -> DataFrame | None:
     v = current_version(spark, root)
-    return spark.read.parquet(v) if v else None
+    return read_or_none(lambda: spark.read.parquet(v)) if v else None  # a version without rows has no file
+
+
+def write_archive(old: DataFrame, path: str, run: str) -> None:
+    """SNK2: rows that left the window, under the run that aged them. A run that is
+    repeated replaces its own rows and no others."""
+    _by_date(old).write.mode("overwrite").partitionBy("published_date").parquet(
+        f"{path.rstrip('/')}/run={run.replace(' ', 'T').replace(':', '-')}")
 
 
-def write_archive(old: DataFrame, path: str, overwrite: bool = False) -> None:
-    """SNK2: rows that left the window, oldest first. Default append (keeps
-    history); ``overwrite=True`` keeps only this run's aged rows."""
-    (old.repartition("published_date").sortWithinPartitions("published_date", "link")
-     .write.mode("overwrite" if overwrite else "append").partitionBy("published_date").parquet(path))
+def read_archive(spark: SparkSession, path: str, latest_run_only: bool = False) -> DataFrame | None:
+    """All archived rows, or those of the newest run alone (what the reproduced jobs keep)."""
+    df = read_or_none(lambda: spark.read.option("basePath", path).parquet(f"{path.rstrip('/')}/run=*"))
+    if df is None or not latest_run_only:
+        return df
+    return df.where(F.col("run") == df.select(F.max("run")).scalar())
 
 
-def export_csv(current: DataFrame, path: str) -> None:
-    """CSV export (newest first, header, quotes doubled) for downstream tools."""
-    (ST.export_projection(ST.newest_first(current))
+def export_csv(current: DataFrame, path: str, risk_set: str = "enterprise") -> None:
+    """CSV export with the published header (newest first, quotes doubled) for downstream tools."""
+    (ST.published_columns(ST.export_projection(ST.newest_first(current)), risk_set)
      .write.mode("overwrite").option("header", True).option("quote", '"').option("escape", '"')
      .csv(path))
 
@@ -78,10 +113,11 @@ def publish_backfill(updated: DataFrame, root: str) -> str | None:
 
 
 def write_narratives(digest: DataFrame, root: str, run_ts: str) -> None:
-    """SNK4: one timestamped copy (partition run_ts=...) and one 'latest' copy."""
+    """SNK4: one timestamped copy (folder run_ts=..., replaced when the run is repeated)
+    and one 'latest' copy."""
     stamped = digest.withColumn("generated_at", F.lit(run_ts).cast("timestamp_ntz"))
-    (stamped.withColumn("run_ts", F.lit(run_ts.replace(" ", "T")))
-     .write.mode("append").partitionBy("run_ts").parquet(f"{root.rstrip('/')}/history"))
+    folder = run_ts.replace(" ", "T").replace(":", "-")
+    stamped.write.mode("overwrite").parquet(f"{root.rstrip('/')}/history/run_ts={folder}")
     stamped.write.mode("overwrite").parquet(f"{root.rstrip('/')}/latest")
 
 
@@ -93,16 +129,12 @@ def append_new(new_rows: DataFrame, root: str) -> None:
     reading (partition pruning), so nothing old is rewritten. A re-run after a
     failure is idempotent: its seen-link gate and key anti join drop every row
     the failed attempt already committed."""
-    (new_rows.repartition("published_date")
-     .sortWithinPartitions(F.col("published_date").desc(), "link", "title")
+    (_by_date(new_rows)
      .write.mode("append").partitionBy("published_date").parquet(f"{root.rstrip('/')}/data"))
 
 
 def read_appended(spark: SparkSession, root: str) -> DataFrame | None:
-    try:
-        return spark.read.parquet(f"{root.rstrip('/')}/data")
-    except Exception:  # noqa: BLE001 - empty store
-        return None
+    return read_or_none(lambda: spark.read.parquet(f"{root.rstrip('/')}/data"))
 
 
 def read_window(spark: SparkSession, root: str, as_of: str, days: int):
@@ -119,12 +151,5 @@ def overwrite_dates(rows: DataFrame, root: str) -> None:
     append-only store (dynamic partition overwrite); every other date is left
     untouched. ``rows`` must not be a lazy read of those same partitions:
     materialise it first (Spark refuses to overwrite a path it is reading)."""
-    spark = rows.sparkSession
-    prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode", "static")
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    try:
-        (rows.repartition("published_date")
-         .sortWithinPartitions(F.col("published_date").desc(), "link", "title")
-         .write.mode("overwrite").partitionBy("published_date").parquet(f"{root.rstrip('/')}/data"))
-    finally:
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
+    (_by_date(rows).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("published_date").parquet(f"{root.rstrip('/')}/data"))

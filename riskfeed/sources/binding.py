@@ -102,6 +102,25 @@ def lexicon(spark: SparkSession) -> Lexicon:
     )
 
 
+FEED_HOST = "https://feeds.example.net"
+
+
+def derived_lexicon(spark: SparkSession, sf_dir: str) -> Lexicon:
+    """Every four-letter word of the documents with a valence from its letters."""
+    d = read_table(spark, sf_dir, "documents", "text")
+    w = d.select(F.explode(F.regexp_extract_all("text", F.lit(r"\b([a-z]{4})\b"), 1)).alias("token")).distinct()
+    mark = F.ascii(F.substring("token", 1, 1)) * 7 + F.ascii(F.substring("token", 3, 1)) * 5 + F.ascii(F.substring("token", 4, 1))
+    base = lexicon(spark)
+    return Lexicon(w.select("token", ((mark % 9 - 4) / 2).alias("valence")), base.boosters, base.negations, base.contrasts)
+
+
+def title_words(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A dictionary of the distinct words of page titles: search_terms, term_pos."""
+    p = read_table(spark, sf_dir, "pages", "html").select(X.page_title("html").alias("title"))
+    w = p.select(F.explode(F.split("title", " ")).alias("search_terms")).where("search_terms <> ''").distinct()
+    return w.withColumn("term_pos", F.lit(1))
+
+
 # --------------------------------------------------------------------------
 # Derived feed, pages and stores
 # --------------------------------------------------------------------------
@@ -133,7 +152,7 @@ def raw_items(spark: SparkSession, sf_dir: str) -> DataFrame:
            .otherwise(F.concat(F.date_format("ts", fmt), F.lit(" GMT"))))
     return j.select(
         F.col("event_type").alias("term"),
-        F.lit(1).alias("result_page"),
+        (F.floor(((F.col("event_id") * 7919) % 10007) / 1000) + 1).cast("int").alias("result_page"),
         ((F.col("event_id") * 7919) % 10007).alias("feed_pos"),
         F.col("event_id").alias("item_id"),
         "title", "feed_link",

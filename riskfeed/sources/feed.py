@@ -2,24 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from riskfeed.functions import dates as D
 from riskfeed.functions import text as X
+from riskfeed.operators.store import published_name
 
-# <item><title/><link/><pubDate/><source url="...">name</source></item>
-FEED_ITEM_SCHEMA = T.StructType([
-    T.StructField("title", T.StringType()),
-    T.StructField("link", T.StringType()),
-    T.StructField("pubDate", T.StringType()),
-    T.StructField("source", T.StructType([
-        T.StructField("_VALUE", T.StringType()),
-        T.StructField("_url", T.StringType()),
-    ])),
-    T.StructField("term", T.StringType()),
-    T.StructField("result_page", T.IntegerType()),
-])
+# <item><title/><link/><pubDate/><source url="...">name</source></item>, in a channel or in an rss/channel
+_ITEM = "struct<title: string, link: string, pubDate: string, source: struct<_VALUE: string, _url: string>>"
+FEED_SCHEMA = f"item array<{_ITEM}>, channel struct<item: array<{_ITEM}>>"
 
 MENTION_SCHEMA = T.StructType([
     T.StructField("risk_id", T.IntegerType()),
@@ -37,49 +30,67 @@ MENTION_SCHEMA = T.StructType([
 ])
 
 
-def feed_reader(spark: SparkSession, streaming: bool = False):
-    r = spark.readStream if streaming else spark.read
-    return (r.format("xml").option("rowTag", "item").option("attributePrefix", "_")
-            .option("valueTag", "_VALUE").schema(FEED_ITEM_SCHEMA))
-
-
-def feed_to_raw_items(feed: DataFrame, streaming: bool = False) -> DataFrame:
-    """Feed rows -> raw item columns used by ``gates.normalize_items``.
-
-    Landing layout: ``<root>/term=<term>/result_page=<n>/*.xml``; the feed
-    position is the row's order inside its file (one task reads a file in
-    order, so a per-task increasing id preserves it). Streams have no such id;
-    there the item hash stands in (the ingest does not rank by feed order)."""
-    item_id = F.xxhash64(F.col("term"), F.col("result_page"), F.col("link"), F.col("title"),
-                         F.col("pubDate"))
-    return feed.select(
-        "term", "result_page",
-        (item_id if streaming else F.monotonically_increasing_id()).alias("feed_pos"),
-        item_id.alias("item_id"),
-        F.col("title"),
+def landed_files(spark: SparkSession, root: str, streaming: bool = False) -> DataFrame:
+    """Landed feed files, one row per file (a fetched result page): value, path."""
+    r = spark.readStream.schema("value string") if streaming else spark.read
+    files = r.format("text").option("wholetext", True).option("recursiveFileLookup", True).load(root)
+    return files.select("value", F.col("_metadata.file_path").alias("path"))
+
+
+def _folder(path: Column, key: str) -> Column:
+    """Value of a ``key=value`` folder of a file's URI (URI escapes, then the writer's own)."""
+    raw = F.regexp_extract(path, f"/{key}=([^/]*)/", 1)
+    for _ in range(2):
+        raw = F.url_decode(F.replace(raw, F.lit("+"), F.lit("%2B")))
+    return F.when(raw != "__HIVE_DEFAULT_PARTITION__", raw)
+
+
+def feed_to_raw_items(files: DataFrame, resolved: DataFrame | None = None) -> DataFrame:
+    """Landed files -> raw item columns used by ``gates.normalize_items``.
+
+    Landing layout: ``<root>/[...]/term=<term>/result_page=<n>/*.xml``; ``feed_pos`` is the item's
+    place in its file, whatever the cluster's split settings. ``resolved`` (feed_link,
+    resolved_link, status) holds what each feed link led to: a link that was not resolved, or
+    with a status outside 200-399, is NULL; without the table the feed link stands for itself."""
+    x = F.from_xml("value", FEED_SCHEMA, {"attributePrefix": "_", "valueTag": "_VALUE"})
+    feed = files.select(_folder(F.col("path"), "term").alias("term"),
+                        F.expr("try_cast(regexp_extract(path, '/result_page=([^/]*)/', 1) AS int)").alias("result_page"),
+                        x.alias("x"))
+    feed = feed.select("term", "result_page", F.posexplode(F.coalesce("x.item", "x.channel.item")).alias("feed_pos", "i"))
+    feed = feed.select("term", "result_page", F.col("feed_pos").cast("long").alias("feed_pos"), "i.*")
+    items = feed.select(
+        "term", "result_page", "feed_pos",
+        F.xxhash64("term", "result_page", "link", "title", "pubDate").alias("item_id"),
+        "title",
         F.col("link").alias("feed_link"),
-        F.col("link").alias("resolved_link"),
         F.col("source._VALUE").alias("source_name"),
         F.col("pubDate").alias("pub_date_raw"),
         F.concat(F.lit('<source url="'), F.coalesce(F.col("source._url"), F.lit("")), F.lit('">'),
                  F.coalesce(F.col("source._VALUE"), F.lit("")), F.lit("</source>")).alias("source_element"),
     )
+    if resolved is None:
+        return items.withColumn("resolved_link", F.col("feed_link"))
+    ok = F.col("status").between(200, 399) & F.col("resolved_link").isNotNull()
+    led = resolved.where(ok).groupBy(F.col("feed_link").alias("_feed")).agg(F.min("resolved_link").alias("resolved_link"))
+    return items.join(led, items["feed_link"] == led["_feed"], "left").drop("_feed")
 
 
-def read_feed(spark: SparkSession, root: str) -> DataFrame:
+def read_feed(spark: SparkSession, root: str, resolved: DataFrame | None = None) -> DataFrame:
     """SRC3 (batch): every <item> of every landed feed file under ``root``."""
-    return feed_to_raw_items(feed_reader(spark).load(root))
+    return feed_to_raw_items(landed_files(spark, root), resolved)
 
 
 def write_feed(raw_items: DataFrame, root: str, mode: str = "overwrite") -> None:
-    """Land raw items as RSS-style XML files partitioned by term and result page."""
+    """Land raw items as RSS-style XML files, one per term and result page (a fetched page is
+    one document), items in feed order."""
     out = raw_items.select(
-        "term", "result_page",
+        "term", "result_page", "feed_pos", "item_id",
         F.col("title"), F.col("feed_link").alias("link"), F.col("pub_date_raw").alias("pubDate"),
         F.struct(F.col("source_name").alias("_VALUE"),
                  F.concat(F.lit("https://"), X.authority("feed_link")).alias("_url")).alias("source"),
     )
-    (out.repartition("term", "result_page").sortWithinPartitions("term", "result_page", "link")
+    (out.repartition("term", "result_page").sortWithinPartitions("term", "result_page", "feed_pos", "item_id")
+     .drop("feed_pos", "item_id")
      .write.mode(mode).format("xml").option("rowTag", "item").option("rootTag", "channel")
      .partitionBy("term", "result_page").save(root))
 
@@ -91,19 +102,38 @@ def read_pages(spark: SparkSession, path: str) -> DataFrame:
     return p.select(pid.alias("page_id"), X.normalize_name("url").alias("link"), "html")
 
 
-def read_mentions(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
-    """SRC5: the mention store with an explicit schema; a missing store is empty.
+def read_mentions(spark: SparkSession, path: str, fmt: str = "parquet", risk_set: str = "enterprise") -> DataFrame:
+    """SRC5: a mention file with an explicit schema; a missing one is empty.
 
     Parquet stores are partitioned by ``published_date`` (date filters prune
-    directories); CSV exports are read with RFC-4180 quoting."""
-    import os
-    if "://" not in path and not os.path.exists(path):
+    directories). CSV files have the published header (upper case, the risk id by risk set) or
+    the internal one, RFC-4180 quoting, and any date form that the feed may have: a date
+    that cannot be read, or a number that cannot, is NULL."""
+    from riskfeed.sinks import read_or_none
+    if fmt != "csv":
+        df = read_or_none(lambda: spark.read.parquet(path))
+        return df if df is not None else spark.createDataFrame([], MENTION_SCHEMA)
+    raw = read_or_none(lambda: spark.read.option("header", True).option("multiLine", True).option("quote", '"')
+                       .option("escape", '"').csv(path))
+    if raw is None:
         return spark.createDataFrame([], MENTION_SCHEMA)
-    if fmt == "csv":
-        raw = (spark.read.option("header", True).option("multiLine", True).option("quote", '"')
-               .option("escape", '"').csv(path))
-        return raw.select(*[F.col(f.name).cast(f.dataType) if not isinstance(f.dataType, T.ArrayType)
-                            else F.split(F.col(f.name), ",").alias(f.name) for f in MENTION_SCHEMA.fields
-                            if f.name in raw.columns],
-                          *[c for c in raw.columns if c.startswith("score_") or c == "quality_score"])
-    return spark.read.parquet(path)
+    by_name = {c.upper(): c for c in raw.columns}
+
+    def column(name: str, kind: T.DataType) -> Column:
+        c = by_name.get(published_name(name, risk_set)) or by_name.get(name.upper())
+        if c is None:
+            return F.lit(None).cast(kind).alias(name)
+        text = F.col(f"`{c}`")
+        if isinstance(kind, T.ArrayType):
+            got = F.when(text.isNull(), F.array().cast(kind)).otherwise(F.split(text, ","))
+        elif isinstance(kind, T.DateType):
+            got = D.coerce_date(text)
+        elif isinstance(kind, T.StringType):
+            got = text
+        else:
+            got = text.try_cast(kind)
+        return got.alias(name)
+
+    score = [c for c in raw.columns if c.upper().startswith("SCORE_") or c.upper() == "QUALITY_SCORE"]
+    return raw.select(*[column(f.name, f.dataType) for f in MENTION_SCHEMA.fields],
+                      *[F.col(f"`{c}`").try_cast("int").alias(c.lower()) for c in score])

@@ -1,11 +1,12 @@
 """STR1: incremental mention ingest with Structured Streaming.
 
 Landed feed files are read as a file stream (each file processed once, the
-checkpoint records which). Per micro-batch: normalise, gate (link, TLD,
-translated page, blocked source), drop links seen in the near term
-(``dropDuplicatesWithinWatermark`` on a 1-day event-time watermark), then
-drop links already in the store (long-term state = the store itself) and
-write the batch under its own epoch directory. Writing ``epoch=<id>`` with
+checkpoint records which). The stream itself is stateless; what was seen is the store. Per
+micro-batch: normalise, gate (link, TLD, translated page, blocked source, recency at
+``as_of``), drop links already in the store, keep the first item of each link, attach
+the risk ids, and write the batch under its own epoch directory. There is no
+event-time watermark: feeds carry dates of their own making, and one date in the
+future must not turn later items into late ones. Writing ``epoch=<id>`` with
 overwrite makes a retried epoch replace its own output: exactly-once store
 contents even when executors are lost and the batch is re-run.
 """
@@ -15,47 +16,49 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from riskfeed import constants as C
 from riskfeed.operators import gates as G
-from riskfeed.sources.feed import feed_reader, feed_to_raw_items
+from riskfeed.operators import store as ST
+from riskfeed.sinks import read_or_none
+from riskfeed.sources.feed import feed_to_raw_items, landed_files
 
-STORE_COLUMNS = ["link", "title", "published_date", "term", "source", "source_url", "item_id"]
+# which item of a link stays; the rest of the order makes it definite
+FIRST_OF_LINK = ["published_date", "term", "title", "source", "item_id"]
+STORE_COLUMNS = [*ST.MENTION_COLUMNS, "term", "item_id"]
 
 
 def read_store(spark: SparkSession, store_path: str) -> DataFrame | None:
-    try:
-        return spark.read.parquet(store_path)
-    except Exception:  # noqa: BLE001 - nothing ingested yet
-        return None
+    return read_or_none(lambda: spark.read.parquet(store_path))
 
 
 def ingest_stream(spark: SparkSession, landing_root: str, store_path: str, checkpoint: str,
-                  block_list: DataFrame, watermark: str = "1 day"):
+                  block_list: DataFrame, dictionary: DataFrame | None = None, as_of: str | None = None,
+                  recency_days: int = C.RECENCY_DAYS, resolved: DataFrame | None = None):
     """Start the ingest query (trigger availableNow: process what has landed,
-    then stop). Returns the StreamingQuery."""
-    raw = feed_to_raw_items(feed_reader(spark, streaming=True).load(landing_root), streaming=True)
+    then stop). Returns the StreamingQuery. Items without a readable date are dropped; with
+    ``as_of`` (a date) so are those older than ``recency_days`` before it. Text, sentiment and
+    polarity have the values of a page that has not been fetched; the backfill job fills them."""
+    raw = feed_to_raw_items(landed_files(spark, landing_root, streaming=True), resolved)
     items = G.link_gates(G.normalize_items(raw), block_list)
-    items = (items.where(F.col("published_date").isNotNull())
-             .withColumn("published_ts", F.col("published_date").cast("timestamp"))
-             .withWatermark("published_ts", watermark)
-             .dropDuplicatesWithinWatermark(["link"]))
+    items = G.recent(items, as_of, recency_days) if as_of else items.where(F.col("published_date").isNotNull())
 
     def per_batch(batch: DataFrame, epoch_id: int) -> None:
-        batch = batch.select(*STORE_COLUMNS)
         stored = read_store(batch.sparkSession, store_path)
         if stored is not None:
             seen = G.existing_links(stored.where(F.col("epoch") != epoch_id))
             batch = batch.join(seen, "link", "left_anti")
-        # one row per link inside the batch: the earliest item wins
-        first = batch.groupBy("link").agg(F.min_by(F.struct(*[c for c in STORE_COLUMNS if c != "link"]),
-                                                   "item_id").alias("r"))
-        (first.select("link", "r.*")
-         .write.mode("overwrite").parquet(f"{store_path.rstrip('/')}/epoch={epoch_id}"))
+        first = ST.dedupe_keep_first(batch, ["link"], FIRST_OF_LINK)
+        if dictionary is None:
+            ids = first.withColumns({"risk_id": F.lit(None).cast("int"), "search_term_id": F.lit(None).cast("int")})
+        else:
+            ids = ST.dedupe_keep_first(ST.attach_risk_ids(first, dictionary), ST.DEDUPE_KEYS, ["dict_pos", "risk_id"])
+        out = ids.withColumns({
+            "summary": F.lit(""), "keywords": F.array().cast("array<string>"),
+            "sentiment": F.lit(C.DEFAULT_SENTIMENT), "polarity": F.lit(C.DEFAULT_POLARITY),
+            "last_run_timestamp": F.lit(as_of).cast("timestamp_ntz")})
+        out.select(*STORE_COLUMNS).write.mode("overwrite").parquet(f"{store_path.rstrip('/')}/epoch={epoch_id}")
 
     return (items.writeStream.foreachBatch(per_batch)
             .option("checkpointLocation", checkpoint)
             .trigger(availableNow=True)
             .start())
-
-
-def run_until_done(query) -> None:
-    query.awaitTermination()

@@ -109,3 +109,33 @@ def test_sentiment_label_bounds(spark):
     df = spark.createDataFrame([(-0.05,), (-0.0499,), (0.0,), (0.0499,), (0.05,)], "c double")
     got = [r[0] for r in df.select(S.label(F.col("c"))).collect()]
     assert got == ["negative", "neutral", "neutral", "neutral", "positive"]
+
+
+def test_date_forms(spark):
+    import datetime as dt
+
+    from riskfeed.functions import dates as D
+    day = dt.date(2025, 9, 10)
+    forms = {"Wed, 10 Sep 2025 23:30:00 -0500": day, "10 Sep 25": day, "Sep 10, 2025": day, "10 September 2025": day,
+             "2025/09/10": day, "2025-09-10T08:00:00Z": day, "September 10 2025": day, "10-Sep-2025": day,
+             "10 Sep 98": dt.date(1998, 9, 10), "32 Sep 2025": None, "soon": None, "": None, None: None, "12 and 2024": None}
+    df = spark.createDataFrame([(k,) for k in forms], "s string")
+    assert {r["s"]: r["d"] for r in df.select("s", D.parse_pubdate("s").alias("d")).collect()} == forms
+
+
+def test_character_references(spark):
+    from riskfeed.functions import text as X
+    forms = {"a &amp; b": "a & b", "&lt;p&gt;": "<p>", "it&rsquo;s &mdash; &hellip;": "it\u2019s \u2014 \u2026",
+             "&#8217;&#x27;&#X1F600;": "\u2019'\U0001F600", "&amp;lt;": "&lt;", "AT&T & co;": "AT&T & co;", "&nosuch; &": "&nosuch; &",
+             "&#0; &#xD800; &#99999999;": "&#0; &#xD800; &#99999999;", "plain": "plain", "&nbsp;x": "\u00a0x"}
+    df = spark.createDataFrame([(k,) for k in forms], "s string")
+    assert {r["s"]: r["d"] for r in df.select("s", X.decode_entities("s").alias("d")).collect()} == forms
+
+
+def test_numbers_out_of_range_and_small_polarity(spark):
+    from riskfeed.functions import terms as T
+    from riskfeed.operators import store as ST
+    df = spark.createDataFrame([("3000000000",), ("7.9",), ("x",), (None,)], "s string")
+    assert [r[0] for r in df.select(T.to_int_or_null("s")).collect()] == [None, 7, None, None]
+    p = spark.createDataFrame([(0.0005,), (0.0,), (-0.5,), (0.1234,), (None,)], "polarity double")
+    assert [r[0] for r in p.select(ST.polarity_text()).collect()] == ["0.0005", "0.0", "-0.5", "0.1234", None]

@@ -52,9 +52,11 @@ def test_versioned_store_archive_export(spark, tmp_path):
     v2 = sinks.write_current(cur.union(cur.limit(0)), root)
     assert v2 != v1 and sinks.current_version(spark, root) == v2
     assert [r["link"] for r in sinks.read_current(spark, root).collect()] == ["l1"]
-    sinks.write_archive(old, str(tmp_path / "archive"))
-    sinks.write_archive(old, str(tmp_path / "archive"))
-    assert spark.read.parquet(str(tmp_path / "archive")).count() == 2  # append keeps history
+    for run in ("2025-09-11 10:00:00", "2025-09-12 10:00:00", "2025-09-12 10:00:00"):
+        sinks.write_archive(old, str(tmp_path / "archive"), run)
+    assert sinks.read_archive(spark, str(tmp_path / "archive")).count() == 2  # a repeated run replaces its rows
+    assert sinks.read_archive(spark, str(tmp_path / "archive"), latest_run_only=True).count() == 1
+    assert sinks.read_archive(spark, str(tmp_path / "no-archive")) is None
     sinks.export_csv(cur, str(tmp_path / "csv"))
     back = read_mentions(spark, str(tmp_path / "csv"), fmt="csv")
     assert back.first()["link"] == "l1"
@@ -107,8 +109,9 @@ def test_changed_dictionary_file_is_reread(spark, tmp_path):
     def terms_of(word):
         p.write_text(f"ENTERPRISE_RISK_ID,SEARCH_TERM_ID,ENCODED_TERMS\n1,1,{int.from_bytes(word.encode(), 'little')}\n")
         clear_memo()
-        arrs = Q.term_arrays(G.valid_terms(lists.decode_dictionary(lists.read_terms(spark, str(p)))))
-        return spark.range(1).select(Q.contains_any(F.lit("a malware note"), arrs)).first()[0]
+        terms = G.valid_terms(lists.decode_dictionary(lists.read_terms(spark, str(p))))
+        text = spark.range(1).select(F.lit("a malware note").alias("x"))
+        return Q.term_flag(text, ["x"], terms, "hit").first()["hit"]
 
     assert terms_of("malware") is True
     assert terms_of("botnet") is False

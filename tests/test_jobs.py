@@ -29,13 +29,13 @@ def test_daily_rerun_adds_nothing_then_backfill_and_digest(spark, tmp_path):
     inp = _inputs(spark, tmp_path)
     p = daily.DailyParams(as_of=B.AS_OF, max_items_per_term=B.TEST_ITEMS_PER_TERM,
                           window_days=B.TEST_WINDOW_DAYS)
-    first = jobs.daily_job(spark, inp, p, export_csv=str(tmp_path / "export"))
+    first = jobs.daily_job(spark, inp, p, export_csv=str(tmp_path / "export"), append_only=False)
     assert first["current_rows"] > 0 and first["new_rows"] > 0
-    second = jobs.daily_job(spark, inp, p)
+    second = jobs.daily_job(spark, inp, p, append_only=False)
     assert second["new_rows"] == 0
-    assert second["current_rows"] == first["current_rows"]
-    jobs.backfill_job(spark, inp.store_root, inp.pages, B.AS_OF, "2024-01-01", "2024-01-31")
-    n = jobs.digest_job(spark, inp.store_root, str(tmp_path / "digest"), B.AS_OF)
+    assert second["current_rows"] == first["current_rows"] == second["stored_rows"]
+    jobs.backfill_job(spark, inp.store_root, inp.pages, B.AS_OF, "2024-01-01", "2024-01-31", append_only=False)
+    n = jobs.digest_job(spark, inp.store_root, str(tmp_path / "digest"), B.AS_OF, append_only=False)
     assert n > 0
     assert spark.read.option("header", True).csv(str(tmp_path / "export")).count() == first["current_rows"]
 
@@ -45,12 +45,60 @@ def test_append_only_store_matches_versioned(spark, tmp_path):
     inp = _inputs(spark, tmp_path)
     p = daily.DailyParams(as_of=B.AS_OF, max_items_per_term=B.TEST_ITEMS_PER_TERM,
                           window_days=B.TEST_WINDOW_DAYS)
-    versioned = jobs.daily_job(spark, inp, p)
+    versioned = jobs.daily_job(spark, inp, p, append_only=False)
     app = dataclasses.replace(inp, store_root=str(tmp_path / "append"))
-    a1 = jobs.daily_job(spark, app, p, append_only=True)
-    a2 = jobs.daily_job(spark, app, p, append_only=True)
+    a1 = jobs.daily_job(spark, app, p)
+    a2 = jobs.daily_job(spark, app, p)
     assert a1["current_rows"] == versioned["current_rows"] == a2["current_rows"]
     assert a2["new_rows"] == 0
+    digests = []
+    for root, flag in ((inp.store_root, ["--versioned"]), (app.store_root, [])):
+        out = f"{tmp_path}/digest-{len(digests)}"
+        jobs.main(["digest", "--store-root", root, "--out-root", out, "--as-of", B.AS_OF, *flag])
+        digests.append(sorted(tuple(r) for r in spark.read.parquet(f"{out}/latest").collect()))
+    assert digests[0] == digests[1] != []
+
+
+def test_failed_archive_loses_no_row(spark, tmp_path, monkeypatch):
+    """Aged rows are archived before the publish: a run that fails there can be repeated."""
+    import dataclasses
+
+    import pytest
+    from riskfeed import sinks
+    inp = dataclasses.replace(_inputs(spark, tmp_path), archive=str(tmp_path / "aged"))
+    p = daily.DailyParams(as_of=B.EARLIER_AS_OF, window_days=B.TEST_WINDOW_DAYS)
+    first = jobs.daily_job(spark, inp, p, append_only=False)
+    later = dataclasses.replace(p, as_of="2024-02-20 00:00:00")
+    with monkeypatch.context() as m:
+        m.setattr(sinks, "write_archive", lambda *a: (_ for _ in ()).throw(OSError("no space")))
+        with pytest.raises(OSError):
+            jobs.daily_job(spark, inp, later, append_only=False)
+    again = jobs.daily_job(spark, inp, later, append_only=False)
+    assert again["archived_rows"] == first["current_rows"] > 0
+    assert sinks.read_archive(spark, inp.archive).count() == first["current_rows"]
+
+
+def test_store_pointer_and_hot_date(spark, tmp_path):
+    import os
+    import shutil
+
+    import pytest
+    from pyspark.sql import functions as F
+    from riskfeed import sinks
+    rows = spark.range(0, 60_000, 1, 8).select(
+        F.lit("2024-01-02").cast("date").alias("published_date"), F.sha2(F.col("id").cast("string"), 256).alias("link"),
+        F.lit("t").alias("title"))
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "256k")
+    try:
+        version = sinks.write_current(rows, str(tmp_path / "s"))
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    files = [f for f in os.listdir(f"{version}/published_date=2024-01-02") if f.endswith(".parquet")]
+    assert len(files) > 1
+    assert sinks.current_version(spark, str(tmp_path / "nothing")) is None
+    shutil.copytree(version, f"{tmp_path}/lost/{os.path.basename(version)}")
+    with pytest.raises(RuntimeError):
+        sinks.current_version(spark, str(tmp_path / "lost"))
 
 
 def test_backfill_overwrites_only_batch_dates(spark, tmp_path):

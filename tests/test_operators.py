@@ -70,10 +70,10 @@ def test_quality_score_funnel(spark):
 
 
 def test_substring_rule(spark):
-    arrays = Q.term_arrays(spark.createDataFrame([("Maze",), ("commercial real estate ",)], "search_terms string"))
+    terms = spark.createDataFrame([("Maze",), ("commercial real estate ",)], "search_terms string")
     df = spark.createDataFrame([("An amazement",), ("in commercial real estate",)], "t string")
-    got = [r[0] for r in df.select(Q.contains_any(F.col("t"), arrays)).collect()]
-    assert got == [True, False]
+    got = {r["t"]: r["hit"] for r in Q.term_flag(df, ["t"], terms, "hit").collect()}
+    assert got == {"An amazement": True, "in commercial real estate": False}
 
 
 def test_component_stats_null_counts(spark):
@@ -192,11 +192,9 @@ def test_sentiment_join_path_equals_inline(spark):
     saved = C.MAX_INLINE_LEXICON
     try:
         C.MAX_INLINE_LEXICON = 3          # force the explode + join + regroup path
-        S.Lexicon.valence_lookup.__defaults__ = (3,)
-        joined = {r["doc_id"]: r["compound"] for r in S.score_texts(docs, "text", "doc_id", lex).collect()}
+        joined = {r["doc_id"]: r["compound"] for r in S.score_texts(docs, "text", "doc_id", lex, bound=3).collect()}
     finally:
         C.MAX_INLINE_LEXICON = saved
-        S.Lexicon.valence_lookup.__defaults__ = (saved,)
     assert joined == inline and len(inline) == docs.count()
 
 
@@ -217,12 +215,35 @@ def test_binary_search_lookup_equals_map(spark):
     assert bs == lin
 
 
-def test_term_arrays_chunked_exact(spark):
-    terms = spark.createDataFrame([(t,) for t in ["alpha", "beta", "gamma", "delta", "eps"]], "search_terms string")
-    one = Q.term_arrays(terms, bound=100)
-    many = Q.term_arrays(terms, bound=2)
-    assert len(one) == 1 and len(many) == 3
-    df = spark.createDataFrame([("x gamma y",), ("nothing",), ("EPS!",)], "t string")
-    a = [r[0] for r in df.select(Q.contains_any(F.col("t"), one)).collect()]
-    b = [r[0] for r in df.select(Q.contains_any(F.col("t"), many)).collect()]
-    assert a == b == [True, False, True]
+def test_large_dictionary_gives_the_same_flags(spark):
+    words = ["alpha", "beta", "gam", "delta", "eps", "e", "\u00e9t\u00e9 1", "Gamma Y"]
+    df = spark.createDataFrame([("x gamma y", None), ("NOTHING, in d", "?"), ("", "EPS!"), (None, None), ("", "un \u00c9t\u00c9 1"),
+                                ("x gamma y", None)], "t string, u string")
+    for n in (1, 3, len(words)):
+        terms = spark.createDataFrame([(w,) for w in words[:n]], "search_terms string")
+        inline, joined = ([tuple(r) for r in Q.term_flag(df, ["t", "u"], terms, "hit", bound=b).collect()] for b in (100, 0))
+        assert sorted(inline, key=str) == sorted(joined, key=str)
+    empty = spark.createDataFrame([("",)], "search_terms string")
+    assert all(r["hit"] for b in (100, 0) for r in Q.term_flag(df, ["t"], empty, "hit", bound=b).collect())
+    none = spark.createDataFrame([], "search_terms string")
+    assert not any(r["hit"] for b in (100, 0) for r in Q.term_flag(df, ["t"], none, "hit", bound=b).collect())
+
+
+def test_same_scores_for_every_lexicon_size(spark):
+    """Repeated tokens, a key that is not unique, and both paths, for 10 to 300,000 entries."""
+    from riskfeed.operators import sentiment as S
+    from riskfeed.sources import binding as B
+    base = B.lexicon(spark)
+    docs = spark.createDataFrame([(1, "A w1 good day, not W9!"), (1, "bad w3 but w5"), (2, None), (3, "w2 W2 w2")],
+                                 "key int, text string")
+    seen = {}
+    for size in (10, 1000, 300_000):
+        rows = spark.range(size).select(F.concat(F.lit("w"), F.col("id").cast("string")).alias("token"),
+                                        (F.col("id") % 7 - 3.0).alias("valence"))
+        twice = spark.createDataFrame([("Good", 1.0), ("good", 2.0), ("bad", -1.5), ("Bad", 1.5), (None, 1.0)],
+                                      "token string, valence double")
+        lex = S.Lexicon(rows.union(twice), base.boosters, base.negations, base.contrasts)
+        for bound in (3, 400_000):
+            got = S.score_texts(docs, "text", "key", lex, bound=bound)
+            seen[size, bound] = sorted((r["key"], r["compound"]) for r in got.collect())
+    assert len(set(map(str, seen.values()))) == 1

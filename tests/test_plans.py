@@ -31,7 +31,7 @@ def test_top_k_uses_group_limit(spark):
 
 def test_dedupe_combines_map_side(spark):
     p = plan(Qs.dedupe_keep_first(spark, SF_SMALL))
-    assert "partial_min_by" in p
+    assert "WindowGroupLimit" in p and "SortAggregate" not in p
 
 
 def test_no_python_anywhere(spark):

@@ -23,3 +23,28 @@ def test_rerun_adds_nothing(spark, tmp_path):
                       B.block_list(spark)).awaitTermination()
     store = read_store(spark, str(tmp_path / "store"))
     assert store.count() == store.select("link").distinct().count() > 0
+
+
+def test_future_late_and_repeated_items(spark, tmp_path):
+    """One item dated far ahead neither stops the stream nor hides later items."""
+    import datetime as dt
+
+    from riskfeed.sources.feed import write_feed
+    from riskfeed.streaming.ingest import ingest_stream, read_store
+
+    def land(drop, rows):
+        cols = "term string, result_page int, feed_pos long, item_id long, title string, feed_link string, " \
+               "source_name string, pub_date_raw string"
+        write_feed(spark.createDataFrame([("a b", 1, i, i, f"t{x}", f"https://x.com/{x}", "S", d)
+                                          for i, (x, d) in enumerate(rows)], cols), f"{tmp_path}/landing/drop={drop}")
+        ingest_stream(spark, f"{tmp_path}/landing", f"{tmp_path}/store", f"{tmp_path}/ckpt",
+                      spark.createDataFrame([], "name string"), as_of="2025-09-10", recency_days=1).awaitTermination()
+
+    land(0, [(1, "Wed, 10 Sep 2025 08:00:00 GMT"), (2, "Thu, 10 Sep 2099 08:00:00 GMT"), (1, "Wed, 10 Sep 2025 09:00:00 GMT")])
+    land(1, [(3, "Thu, 11 Sep 2025 08:00:00 GMT"), (4, "Tue, 09 Sep 2025 08:00:00 GMT"),   # late, inside the gate
+             (5, "Sun, 07 Sep 2025 08:00:00 GMT"), (1, "Thu, 11 Sep 2025 08:00:00 GMT"), (6, "no date")])
+    got = sorted((r["title"], r["published_date"], r["term"], r["sentiment"]) for r in
+                 read_store(spark, f"{tmp_path}/store").collect())
+    day = lambda y, d: dt.date(y, 9, d)
+    assert got == [("t1", day(2025, 10), "a b", "neutral"), ("t2", day(2099, 10), "a b", "neutral"),
+                   ("t3", day(2025, 11), "a b", "neutral"), ("t4", day(2025, 9), "a b", "neutral")]
