@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from riskfeed.llm.common import WORD_RE, stage, text_or_empty
 
-SLICE_ROWS = 4096
+SLICE_ROWS = 512
 WEIGHTS = (5, 2, 1)
 MAX_REPEAT = 3
 SEED = "mix-1"
