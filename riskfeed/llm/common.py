@@ -57,11 +57,11 @@ def text_or_empty(col: str = "text") -> Column:
 
 _MASK_SPACE = np.zeros(256, dtype=bool)
 _MASK_SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
-_LOWER = np.arange(256, dtype=np.uint8)
-_LOWER[ord("A"):ord("Z") + 1] += 32
+_LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))  # A-Z only
 _BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
 
 
+PIECE_BYTES = 1 << 20
 _STEP = np.arange(1, 257, dtype=np.uint64) * _BASE
 
 
@@ -78,41 +78,61 @@ def mix64(x: np.ndarray) -> np.ndarray:
 
 def word_hashes(raw: bytes, lower: bool = True) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """64-bit hashes of the words of one text (bytes), and each word's first byte and
-    the byte after its last. A-Z are lower-cased when ``lower``."""
-    b = np.frombuffer(raw, dtype=np.uint8)
-    if not len(b):
-        e = np.zeros(0, dtype=np.int64)
-        return np.zeros(0, dtype=np.uint64), e, e
-    edge = np.diff(np.concatenate(([True], _MASK_SPACE[b], [True])).astype(np.int8))
-    start, end = np.flatnonzero(edge == -1), np.flatnonzero(edge == 1)
-    if not len(start):
-        return np.zeros(0, dtype=np.uint64), start, end
-    if lower:
-        b = _LOWER[b]
-    # each byte is weighted by its place in its word, so one running sum serves all words
-    length = end - start
-    keep = ~_MASK_SPACE[b]
-    place = np.arange(int(length.sum())) - np.repeat(np.cumsum(length) - length, length)
-    vals = (b[keep].astype(np.uint64) + np.uint64(1)) * _powers(int(length.max()))[place]
-    total = np.add.reduceat(vals, np.cumsum(length) - length)
-    return mix64(total + length.astype(np.uint64)), start, end
-
-
-def _powers(n: int) -> np.ndarray:
-    """Weights of the first ``n`` places in a word."""
+    the byte after its last. A-Z are lower-cased when ``lower``.
+
+    One running sum of bytes times powers of an odd base serves all words: the difference over a
+    word, times the inverse power of its place, is a polynomial of its bytes alone. Long texts
+    are worked through in pieces that end between words."""
+    if len(raw) <= PIECE_BYTES:
+        return _word_hashes(raw, lower)
+    out, at = [], 0
+    while at < len(raw):
+        stop = min(len(raw), at + PIECE_BYTES)
+        if stop < len(raw):
+            cut = max(raw.rfind(c, at, stop) for c in (b" ", b"\t", b"\n", b"\v", b"\f", b"\r"))
+            if cut < at:  # a word longer than a piece: up to the next white space after it
+                found = [i for i in (raw.find(c, stop) for c in (b" ", b"\t", b"\n", b"\v", b"\f", b"\r")) if i >= 0]
+                cut = min(found) if found else len(raw)
+            stop = max(cut, at + 1)
+        h, start, end = _word_hashes(raw[at:stop], lower)
+        out.append((h, start + at, end + at))
+        at = stop
+    return tuple(np.concatenate(x) for x in zip(*out))
+
+
+def _word_hashes(raw: bytes, lower: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    b = np.frombuffer(raw.translate(_LOWER) if lower else raw, dtype=np.uint8)
+    n = len(b)
+    inside = np.zeros(n + 2, dtype=bool)
+    np.logical_not(_MASK_SPACE[b], out=inside[1:-1])
+    edge = np.flatnonzero(inside[1:] != inside[:-1])
+    start, end = edge[::2], edge[1::2]
+    power, inverse = _powers(n)
+    total = np.zeros(n + 1, dtype=np.uint64)
+    np.cumsum((b.astype(np.uint64) + np.uint64(1)) * power[:n], out=total[1:])
+    return mix64((total[end] - total[start]) * inverse[start] + (end - start).astype(np.uint64)), start, end
+
+
+def _make_powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """The first ``n`` powers of the base and of its inverse, modulo 2^64, by doubling."""
+    def powers(base: int) -> np.ndarray:
+        out = np.ones(1, dtype=np.uint64)
+        while len(out) < n:
+            out = np.concatenate((out, out * np.uint64(pow(base, len(out), 1 << 64))))
+        return out
+    return powers(int(_BASE)), powers(pow(int(_BASE), -1, 1 << 64))
+
+
+_POW = _make_powers(1 << 14)
+
+
+def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     global _POW
-    if len(_POW) < n:
+    if len(_POW[0]) < n:
         _POW = _make_powers(n)
     return _POW
 
 
-def _make_powers(n: int) -> np.ndarray:
-    return mix64(np.arange(1, n + 1, dtype=np.uint64) * _BASE) | np.uint64(1)
-
-
-_POW = _make_powers(1024)
-
-
 def shingle_hashes(words: np.ndarray, n: int) -> np.ndarray:
     """Hashes of the ``n``-word shingles, in text order; fewer words make one shingle
     of the whole sequence; no words make none."""

@@ -38,6 +38,7 @@ SHINGLE = 5
 RETRIEVE = 0.5          # share of the item's own BM25 score
 OVERLAP = 0.8           # share of the item's shingles
 PART_OVERLAP = 0.5      # share of the question's and of the answer's shingles
+BOUNDS_AT_ONCE = 4_000_000  # block bounds summed at once
 WORDS_AT_ONCE = 1 << 18  # a document is worked through in pieces of so many words
 
 RESULT = "doc_id long, item_id long, score double, overlap double, question_overlap double, answer_overlap double"
@@ -104,17 +105,12 @@ class ItemIndex:
         start = np.flatnonzero(np.concatenate(([True], which[1:] != which[:-1])))
         stop = np.append(start[1:], len(which))
         bound = np.add.reduceat(self.term_max[term], start)
-        for k in np.flatnonzero(bound >= RETRIEVE - 1e-9):
+        for k, blocks in self.open_blocks(term, start, stop, np.flatnonzero(bound >= RETRIEVE - 1e-9)):
             t = term[start[k]:stop[k]]
-            blocks = np.flatnonzero(self.block_max[t].sum(0) >= RETRIEVE - 1e-5)
-            if not len(blocks):
-                continue
             spans = [slice(self.first[x], self.first[x + 1]) for x in t]
             item = np.concatenate([self.item[s] for s in spans])
             weight = np.concatenate([self.weight[s] for s in spans])
-            open_block = np.zeros(self.block_max.shape[1], dtype=bool)
-            open_block[blocks] = True
-            live = open_block[item // BLOCK_ITEMS]
+            live = blocks[item // BLOCK_ITEMS]
             score = np.bincount(item[live], weights=weight[live], minlength=len(self.ids))
             p = int(which[start[k]])
             part = words[p * step:p * step + passage]
@@ -127,6 +123,19 @@ class ItemIndex:
                 if whole >= OVERLAP and min(question, answer) >= PART_OVERLAP:
                     yield int(i), float(score[i]), whole, question, answer
 
+    def open_blocks(self, term: np.ndarray, start: np.ndarray, stop: np.ndarray,
+                    live: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+        """Of the live passages those with a block whose maxima reach the threshold, and which blocks."""
+        size = stop - start
+        at_once = max(1, BOUNDS_AT_ONCE // (self.block_max.shape[1] * max(1, int(size.max()))))
+        for i in range(0, len(live), at_once):
+            some = live[i:i + at_once]
+            begin = np.cumsum(size[some]) - size[some]
+            rows = np.arange(int(size[some].sum())) + np.repeat(start[some] - begin, size[some])
+            blocks = np.add.reduceat(self.block_max[term[rows]], begin) >= RETRIEVE - 1e-5
+            for j in np.flatnonzero(blocks.any(axis=1)):
+                yield int(some[j]), blocks[j]
+
     def matches(self, text: str | None) -> dict[int, tuple]:
         """Best verified match per item of one document."""
         words = word_hashes(plain_words(text))[0]
