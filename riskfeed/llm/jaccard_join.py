@@ -378,7 +378,8 @@ def _links(texts: DataFrame, rows: DataFrame, classes: DataFrame, n: int, percen
     tiled = deltas.join(sizes, "a").withColumn("t", F.pmod(F.xxhash64("b"), F.col("k")).cast("int"))
     tiled = tiled.withColumn("o", F.explode(F.sequence(F.lit(0), F.col("k") - 1)))
     tiled = tiled.withColumn("i", F.least("t", "o")).withColumn("j", F.greatest("t", "o"))
-    ring = tiled.groupBy("a", "i", "j").applyInPandas(_ring_links(percent), "a long, b long")
+    # by all three keys: the tiles of one pivot must not share a task
+    ring = tiled.repartition("a", "i", "j").groupBy("a", "i", "j").applyInPandas(_ring_links(percent), "a long, b long")
     return links.union(ring)
 
 
