@@ -375,7 +375,9 @@ def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
     reps = rows.where(F.length("hs") > 0).join(classes.select("sid"), rows["rid"] == F.col("sid"), "left_semi")
     places = stage(reps.select(F.col("rid").alias("sid"), "hs", "ps").mapInArrow(_explode, _ANCHORS), "op10-anchors")
-    groups = places.groupBy("h").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
+    # written before the join: then both of its sides are plain shuffles, and a hash that holds
+    # much of the anchors is split
+    groups = stage(places.groupBy("h").agg(F.count(F.lit(1)).alias("size")).where("size > 1"), "op10-groups")
     met = stage(places.join(groups, "h"), "op10-met")
 
     per_text = met.groupBy("sid").agg(
