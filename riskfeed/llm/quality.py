@@ -30,7 +30,8 @@ from riskfeed.llm.common import mix64, plain_words, stage, word_hashes
 
 BUCKETS = 1 << 18
 MAX_TRAIN = 12_000
-MIN_DOCS = 8            # a hashed feature must occur in so many training documents
+MIN_TRAIN = 1_000       # with fewer annotated documents, others join them
+MIN_DOCS = 4            # a hashed feature must occur in so many training documents
 EM_ROUNDS = 60
 CHANCE = 4.0            # and its documents' labels must lie so many standard errors off the average
 EPOCHS = 300
@@ -309,10 +310,12 @@ def fit(docs: DataFrame, labels: DataFrame | None = None, id_col: str = "doc_id"
     annotated = gold.count()
     slot = F.pmod(F.xxhash64(F.coalesce(F.col("id").cast("string"), F.lit(""))), F.lit(1_000_000))
     share = int(1_000_000 * min(1.0, max_train / (annotated or rows)))
-    if annotated:  # about max_train short rows
-        d = d.join(F.broadcast(gold.where(slot < share)), "id")
-    else:
-        d = d.where(slot < share).withColumn("gold_q", none).withColumn("gold_x", none)
+    # annotated documents (about max_train short rows are broadcast); where they are fewer than
+    # MIN_TRAIN, others fill up
+    fill = int(1_000_000 * min(1.0, max(0, (MIN_TRAIN if annotated else max_train) - annotated) / rows))
+    chosen = F.col("gold_q").isNotNull() | (slot < fill)
+    d = d.join(F.broadcast(gold.where(slot < share)), "id", "left").where(chosen) \
+         .withColumns({"gold_q": F.coalesce("gold_q", none), "gold_x": F.coalesce("gold_x", none)})
     model = QualityModel({a: fit_labels(patterns[a], annotated=True) for a in ASPECTS})
     sample = d.select("text", "gold_q", "gold_x").mapInArrow(_train_rows, "quality string, toxicity string, ids binary, vals binary") \
               .collect()
