@@ -70,15 +70,14 @@ def source_targets(sized: DataFrame, weights=WEIGHTS, max_repeat: int = MAX_REPE
 
 def mix_sources(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", text_col: str = "text",
                 weights=WEIGHTS, max_repeat: int = MAX_REPEAT, seed: str = SEED,
-                carry: tuple[str, ...] = ()) -> DataFrame:
-    """One row per input row: doc_id, source, size, source_size, target, copies, taken, and
-    the input columns named in ``carry``."""
+                row_col: str | None = None) -> DataFrame:
+    """One row per input row: doc_id, source, size, source_size, target, copies, taken, rid
+    (``row_col``, a number that tells the input rows apart, or one given here)."""
     size = F.regexp_count(text_or_empty(text_col), F.lit(WORD_RE)).cast("long")
     d = stage(docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), size.alias("size"),
-                          *[F.col(c).alias(f"_c{i}") for i, c in enumerate(carry)])
+                          (F.col(row_col) if row_col else F.monotonically_increasing_id()).alias("rid"))
               .withColumn("h", unit_hash(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), seed))
-              .withColumn("cls", size_class(F.col("size")))
-              .withColumn("rid", F.monotonically_increasing_id()), "op5-sizes")
+              .withColumn("cls", size_class(F.col("size"))), "op5-sizes")
     targets = stage(source_targets(d, weights, max_repeat), "op5-targets")
 
     # counts per class, then per slice of a class: two small tables, summed before any window
@@ -106,14 +105,15 @@ def mix_sources(docs: DataFrame, id_col: str = "doc_id", source_col: str = "sour
     crossed = F.floor(rate * F.col("rank") + F.col("u")) - F.floor(rate * (F.col("rank") - 1) + F.col("u"))
     out = out.withColumn("copies", crossed)
     return out.select("doc_id", "source", "size", "source_size", "target", "copies",
-                      (F.col("copies") * F.col("size")).alias("taken"),
-                      *[F.col(f"_c{i}").alias(c) for i, c in enumerate(carry)])
+                      (F.col("copies") * F.col("size")).alias("taken"), "rid")
 
 
 def emit_copies(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", text_col: str = "text",
                 **options) -> DataFrame:
-    """The rows of ``docs`` with all their columns, each once per boundary that its stretch crosses."""
-    row = F.struct(*[F.col(c) for c in docs.columns])
-    mixed = mix_sources(docs.withColumn("_row", row), id_col, source_col, text_col, carry=("_row",), **options)
-    return mixed.where("copies > 0") \
-                .select(F.explode(F.array_repeat("_row", F.col("copies").cast("int"))).alias("_row")).select("_row.*")
+    """The rows of ``docs`` with all their columns, each once per boundary that its stretch crosses.
+    Only sizes go through the sums; the rows move once, for the join with their copies."""
+    d = stage(docs.withColumn("_rid", F.monotonically_increasing_id()), "op5-documents")
+    mixed = mix_sources(d, id_col, source_col, text_col, row_col="_rid", **options)
+    taken = stage(mixed.where("copies > 0").select(F.col("rid").alias("_rid"), "copies"), "op5-copies")
+    again = F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))
+    return d.join(taken, "_rid").select(*[F.col(c) for c in docs.columns], again.alias("_copy")).drop("_copy")
