@@ -7,8 +7,9 @@ bit-sliced Bloom filter: one row per position, one bit per language, so the AND
 sums those bits per language over every n-gram of the whole text, takes off the share
 that a filter of that fill answers by mistake, and picks the largest count.
 
-Learning may use a hash sample of about ``MAX_TRAIN`` labelled rows and keeps at most
-``MAX_GRAMS`` (n-gram, language) pairs; so the filter sent to the tasks has a fixed size of
+Learning may use a hash sample of at most about ``MAX_TRAIN`` labelled rows, of each language an
+equal part of that or all it has, and keeps at most ``MAX_GRAMS`` (n-gram, language) pairs, of each
+language an equal part, the most frequent first; so the filter sent to the tasks has a fixed size of
 ``POSITIONS`` rows. Prediction covers all rows and whole texts.
 
 Defined results: null text, or text without a letter, gives ``und`` with score 0; without any
@@ -99,12 +100,13 @@ def fit(train: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_c
     t = train.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang")) \
              .where(F.col("text").isNotNull() & F.col("lang").isNotNull())
     sizes = stage(t.groupBy("lang").agg(F.count(F.lit(1)).alias("n")), "op4-sizes")
-    rows = sizes.agg(F.sum("n")).first()[0] or 0
+    rows, many = sizes.agg(F.sum("n"), F.count(F.lit(1))).first()
     if not rows:
         return LanguageModel([], np.zeros((POSITIONS, 1), dtype=np.uint8), np.zeros(0))
     if rows > max_train:
-        slot = F.pmod(F.xxhash64(F.coalesce(F.col("id").cast("string"), F.col("text"))), F.lit(1_000_000))
-        t = t.where(slot < int(1_000_000 * max_train / rows))
+        slot = F.pmod(F.xxhash64(F.coalesce(F.col("id").cast("string"), F.col("text"))), F.lit(1_000_000_000))
+        share = sizes.select("lang", F.least(F.lit(1.0), F.lit(max_train / many) / F.col("n")).alias("share"))
+        t = t.join(F.broadcast(share), "lang").where(slot < F.col("share") * 1_000_000_000)  # a row per language
 
     def grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -127,7 +129,8 @@ def fit(train: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_c
                .groupBy("gram", "lang").agg(F.sum("df").alias("df"), F.sum("docs").alias("docs"))
     counted = stage(counted, "op4-grams")
     n_docs = {r["lang"]: r["docs"] for r in counted.where(F.col("gram").isNull()).select("lang", "docs").collect()}
-    languages = sorted(n_docs, key=lambda x: (-n_docs[x], x))
+    labelled = {r["lang"]: r["n"] for r in sizes.collect()}
+    languages = sorted(n_docs, key=lambda x: (-labelled[x], x))
     size = F.create_map(*[x for k in languages for x in (F.lit(k), F.lit(n_docs[k]))]) if languages else None
     if size is None:
         return LanguageModel([], np.zeros((POSITIONS, 1), dtype=np.uint8), np.zeros(0))

@@ -128,3 +128,11 @@ def test_language_edge_cases(docs_of):
     got = sorted(((r["doc_id"], r["lang_pred"]) for r in LI.predict(ask, model).collect()), key=str)
     assert got == sorted([(1, "und"), (2, "und"), (3, "und"), (4, "en"), (4, "en"), (None, "fr"), (5, "fr")], key=str)
     assert {r["lang_pred"] for r in LI.predict(ask, LI.fit(docs_of([]))).collect()} == {"und"}
+
+
+def test_rare_language_is_learned_from_a_sample(docs_of):
+    rows = [(i, "the quiet river runs past the old mill", "en") for i in range(600)]
+    rows += [(9000 + i, "это тихая река у старой мельницы", "ru") for i in range(3)]
+    model = LI.fit(docs_of(rows), max_train=20)
+    assert model.languages == ["en", "ru"]
+    assert model.predict("старая мельница у реки")[0] == "ru" and model.predict("an old river mill")[0] == "en"
