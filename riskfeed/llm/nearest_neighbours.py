@@ -39,7 +39,7 @@ from math import ceil
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskfeed.llm.centroid_clustering import finite
@@ -277,8 +277,8 @@ def _search(rows: DataFrame, asked: DataFrame, dim: int, k: int, bits: int) -> D
 
     size = max(1024, SLICE_VALUES // dim)
     slices, groups = ceil(told["n"] / size), max(1, ceil(asked.count() / (2 * size)))
-    rows = rows.select("v", "ids", F.pmod(F.xxhash64(F.col("ids")[0], F.lit(12)), F.lit(slices)).alias("slice"),
-                       F.explode(F.sequence(F.lit(0), F.lit(groups - 1))).alias("grp"))
+    rows = rows.select("v", "ids", _share(F.xxhash64(F.col("ids")[0], F.lit(12)), slices).alias("slice"),
+                       _numbers(0, groups).alias("grp"))
 
     def cell(left: pa.Table, right: pa.Table) -> pa.Table:
         if not left.num_rows or not right.num_rows:
@@ -294,13 +294,13 @@ def _search(rows: DataFrame, asked: DataFrame, dim: int, k: int, bits: int) -> D
             fields=list(BEST_ARROW.value_type))
         return pa.table({"q": right.column("q"), "best": pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pairs)})
 
-    group = F.pmod(F.xxhash64("q"), F.lit(groups))
+    group = _share(F.xxhash64("q"), groups)
     done = 0
     while done < slices:
         upto = min(slices, max(1, done * GROWTH))
         known = F.when(F.size("best") == k, -F.element_at("best", -1)["neg"])
         ask = best.select("q", "v", known.alias("known"), group.alias("grp"),
-                          F.explode(F.sequence(F.lit(done), F.lit(upto - 1)).cast("array<long>")).alias("slice"))
+                          _numbers(done, upto).alias("slice"))
         part = rows.where(F.col("slice").between(done, upto - 1))
         got = (part.groupBy("slice", "grp").cogroup(ask.groupBy("slice", "grp"))
                .applyInArrow(_named(cell), f"q long, best {_BEST}"))
@@ -311,6 +311,16 @@ def _search(rows: DataFrame, asked: DataFrame, dim: int, k: int, bits: int) -> D
     return best.select("q", "best")
 
 
+# both sides of a cogroup need keys of one type: it compares and deals out their bytes
+
+def _share(hashed: Column, n: int) -> Column:
+    return F.pmod(hashed, F.lit(n)).cast("long")
+
+
+def _numbers(first: int, end: int) -> Column:
+    return F.explode(F.sequence(F.lit(first).cast("long"), F.lit(end - 1).cast("long")))
+
+
 BEST_ARROW = pa.list_(pa.struct([pa.field("neg", pa.float64()), pa.field("id", pa.int64())]))
 
 

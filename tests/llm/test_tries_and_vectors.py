@@ -172,6 +172,20 @@ def test_neighbours_of_many_copies(embeddings):
     assert _recall(got, want) >= 0.95
 
 
+def test_neighbours_over_many_partitions(spark, embeddings, monkeypatch):
+    """Slices and query groups meet in whatever partition they are dealt to."""
+    monkeypatch.setattr(NN, "SLICE_VALUES", 1 << 16)
+    rows = [(i, v) for i, v in enumerate(_unit(5000, 12).tolist())]
+    name = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(name, "false")
+    try:
+        got = _near(embeddings(rows))
+    finally:
+        spark.conf.set(name, "true")
+    assert len(got) == 250 and all(len(f) == 20 for f in got.values())
+    assert _recall(got, _exact(rows)) >= 0.95
+
+
 def test_neighbours_edges(embeddings):
     assert _near(embeddings([])) == {} and _near(embeddings(BAD)) == {}
     one = [(0, _unit(1, 6)[0].tolist())]
