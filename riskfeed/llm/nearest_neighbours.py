@@ -52,6 +52,7 @@ SURE = 2.5
 SLICE_VALUES = 1 << 20  # components of one slice
 GROWTH = 8
 BATCH = 64
+ROUGH = 1e-10  # well above the rounding of a sum of products, relative to the norms
 RESULT = "query_id long, rank int, vec_id long, score double"
 _BEST = "array<struct<neg:double,id:long>>"
 
@@ -196,23 +197,30 @@ def search_slice(codes: Codes, x: np.ndarray, ids: list[np.ndarray], q: np.ndarr
     wide[:, :code.shape[1]] = code
     word = wide.view(np.uint64)
 
-    def score(i: int, rows: np.ndarray) -> np.ndarray:
-        return products(np.repeat(q[i][:, None], len(rows), axis=1), xt[:, rows])
-
     def widened(i: int) -> int:
         r = int(codes.radius(np.array([0.5 * norm[i] * codes.norm]), norm[i:i + 1])[0])
         while r < codes.bits:
             rows = index.within(code[i], word[i], r)
             if len(rows) >= k:
-                best = np.partition(score(i, rows), len(rows) - k)[len(rows) - k]
+                best = np.partition(x[rows] @ q[i], len(rows) - k)[len(rows) - k]
                 return int(codes.radius(np.array([best]), norm[i:i + 1])[0])
             r += max(8, codes.bits // 16)
         return codes.bits
 
+    def hopeful(i: int, rows: np.ndarray) -> np.ndarray:
+        """Rows that may be among the k best: their products, good to ``ROUGH`` of the norms,
+        reach the k-th. Only these are summed in component order."""
+        if len(rows) <= k:
+            return rows
+        rough = x[rows] @ q[i]
+        least = np.partition(rough, len(rows) - k)[len(rows) - k] - ROUGH * norm[i] * codes.norm
+        return rows[~(rough < least)]
+
     radius = codes.radius(np.nan_to_num(known), norm)
     for at in range(0, len(q), BATCH):
         some = range(at, min(at + BATCH, len(q)))
-        rows = [index.within(code[i], word[i], widened(i) if np.isnan(known[i]) else radius[i]) for i in some]
+        rows = [hopeful(i, index.within(code[i], word[i], widened(i) if np.isnan(known[i]) else radius[i]))
+                for i in some]
         of = np.repeat(np.arange(len(rows)), [len(r) for r in rows])
         row = np.concatenate(rows)
         got = products(np.ascontiguousarray(q[some.start:some.stop].T)[:, of], xt[:, row])
