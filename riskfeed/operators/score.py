@@ -8,12 +8,13 @@ from pyspark.sql import functions as F
 
 from riskfeed import constants as C
 from riskfeed.functions import text as X
-from riskfeed.operators.common import TooLarge, literal_array, maybe_broadcast
+from riskfeed.operators.common import TooLarge, bounded_bytes, literal_array, maybe_broadcast
 
 SCORE_COLUMNS = [f"score_{c}" for c in C.SCORE_COMPONENTS]
 
 
-GRAM = 4  # characters of the prefilter key
+GRAM = 4       # characters by which texts and signatures meet
+SIGNATURE = 8  # characters of a signature
 
 
 def _lower_terms(terms: DataFrame) -> DataFrame:
@@ -29,42 +30,98 @@ def contains_any(text: Column, terms: Column) -> Column:
 def term_flag(df: DataFrame, text_cols: list[str], terms: DataFrame, out: str,
               bound: int = C.MAX_INLINE_TERMS) -> DataFrame:
     """Adds ``out``: any of the texts contains a search term. Up to ``bound`` terms are tested
-    as a literal array, without a shuffle; a larger dictionary is joined on the terms' first
-    characters, which gives the same answer."""
+    as a literal array, without a shuffle; a larger dictionary is met by signatures, which
+    gives the same answer."""
     low = _lower_terms(terms)
     try:
         array = literal_array(low, F.col("t"), bound)
     except TooLarge:
-        return _flag_by_join(df, text_cols, low, out)
+        return _flag_by_signature(df, text_cols, low, out)
     flag = F.lit(False)
     for c in text_cols:
         flag = flag | contains_any(F.col(c), array)
     return df.withColumn(out, flag)
 
 
-def _flag_by_join(df: DataFrame, text_cols: list[str], low: DataFrame, out: str) -> DataFrame:
-    """Equi-join of the texts' distinct character grams with the terms' first ``GRAM``
-    characters (the whole of shorter terms), then the exact test. Neither side is collected;
-    the rows are written once, so that their numbers hold on both sides of the join back."""
+def _grams(text: Column, least: int, most: int) -> Column:
+    """At each place of a text its next ``most`` characters, or what is left if that is ``least``
+    at least: one regex pass (a lookahead)."""
+    return F.array_distinct(F.regexp_extract_all(text, F.lit(f"(?s)(?=(.{{{least},{most}}}))"), 1))
+
+
+def _stretches(text: Column, n: int) -> Column:
+    """Distinct (gram of ``n`` characters, stretch that starts with it)."""
+    return F.transform(_grams(text, n, n if n < GRAM else SIGNATURE),
+                       lambda c: F.struct(F.substring(c, 1, n).alias("gram"), c.alias("next")))
+
+
+def signatures(terms: DataFrame, texts: DataFrame, cols: list[str], sample: int = C.SIGNATURE_SAMPLE) -> DataFrame:
+    """(gram, sig, t) of lower-cased, non-empty terms ``t``: ``sig`` is a part of the term of at
+    most ``SIGNATURE`` characters, ``gram`` its first ``GRAM`` characters. A term of that length
+    or less is its own signature. A longer one takes the stretch that starts with its rarest
+    gram: the one that the fewest of about ``sample`` texts hold (chosen by hash of ``_row``),
+    ties by place. Which one is chosen steers the work only, never the answer."""
+    whole = terms.where((F.length("t") <= SIGNATURE) & (F.col("t") != ""))
+    places = F.sequence(F.lit(1), F.length("t") - SIGNATURE + 1)
+    long = terms.where(F.length("t") > SIGNATURE).select("t", F.explode(places).alias("at"))
+    long = long.withColumn("gram", F.substring("t", F.col("at"), F.lit(GRAM)))
+    some = texts.where(F.pmod(F.xxhash64("_row"), F.lit(max(1, texts.count() // max(1, sample)))) == 0)
+    held = F.array_distinct(F.concat(*[_grams(F.col(c), GRAM, GRAM) for c in cols]))
+    seen = some.select(F.explode(held).alias("gram")).groupBy("gram").agg(F.count(F.lit(1)).alias("n"))
+    rarest = (long.join(seen, "gram", "left").groupBy("t")
+              .agg(F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "at")).alias("best")))
+    return (rarest.select(F.substring("t", F.col("best.at"), F.lit(SIGNATURE)).alias("sig"), "t")
+            .unionByName(whole.select(F.col("t").alias("sig"), "t"))
+            .select(F.substring("sig", 1, GRAM).alias("gram"), "sig", "t"))
+
+
+def _flag_by_signature(df: DataFrame, text_cols: list[str], low: DataFrame, out: str,
+                       max_bytes: int = C.MAX_BROADCAST_BYTES, sample: int = C.SIGNATURE_SAMPLE,
+                       inline: int = C.MAX_INLINE_TERMS) -> DataFrame:
+    """Each term is looked for by one part of it only, its signature. The stretches of a text meet
+    the signatures by their first characters; where those are small (checked) they are broadcast
+    and the test runs in the same task, so that no text moves and only row numbers come back.
+    Beyond that size (row, hash of a gram) are shuffled, without the text, and the text is
+    joined once to the (row, term) pairs that met. A short term met whole needs no further test.
+    Rows and terms are written once, so that row numbers hold on both sides of the join back."""
     from riskfeed.plans.daily import materialize
-    rows = materialize(df.withColumn("_row", F.monotonically_increasing_id()))
-    keyed = low.withColumn("key", F.substring("t", 1, GRAM))
-
-    def grams_of(n: int) -> Column:
-        starts = F.sequence(F.lit(1), F.greatest(F.length("x") - n + 1, F.lit(1)))
-        return F.transform(starts, lambda i: F.substring("x", i, F.lit(n)))
-
-    hits = None
-    for c in text_cols:
-        text = rows.select("_row", F.lower(F.coalesce(c, F.lit(""))).alias("x"))
-        grams = F.flatten(F.array(*[grams_of(n) for n in range(1, GRAM + 1)]))
-        met = text.select("_row", "x", F.explode(F.array_distinct(grams)).alias("key")).join(keyed, "key")
-        found = met.where(F.contains("x", "t")).select("_row").distinct()
-        hits = found if hits is None else hits.union(found)
-    hits = hits.distinct().withColumn("_hit", F.lit(True))
-    empty = low.where("t = ''").select(F.count(F.lit(1)) > 0).scalar()  # the empty term is in every text
+    low = materialize(low)
+    sure, rest = F.lit(False), low
+    try:  # few short terms, which hardly tell texts apart, are tested at once
+        short = literal_array(low.where(F.length("t") < GRAM), F.col("t"), inline)
+        for c in text_cols:
+            sure = sure | contains_any(F.col(c), short)
+        rest = low.where(F.length("t") >= GRAM)
+    except TooLarge:
+        pass
+    rows = materialize(df.withColumns({"_row": F.monotonically_increasing_id(), out: sure}))
+    xs = [f"_x{i}" for i in range(len(text_cols))]
+    texts = rows.where(~F.col(out)).select(
+        "_row", *[F.lower(F.coalesce(c, F.lit(""))).alias(x) for c, x in zip(text_cols, xs)])
+    sizes = rest.where("t <> ''").select(F.least(F.length("t"), F.lit(GRAM)).alias("n")).distinct()
+    lengths = sorted(r["n"] for r in sizes.collect())  # GRAM values at most
+    if not rest.where("t = ''").isEmpty():  # the empty term is in every text
+        return rows.withColumn(out, F.lit(True)).drop("_row")
+    if not lengths:
+        return rows.drop("_row")
+
+    sig = materialize(signatures(rest, texts, xs, sample))
+    whole, holds = F.col("sig") == F.col("t"), F.lit(False)
+    for x in xs:
+        holds = holds | F.contains(x, "t")
+    met = F.flatten(F.array(*[_stretches(F.col(x), n) for n in lengths for x in xs]))
+    if bounded_bytes(sig, max_bytes) <= max_bytes:
+        hits = (texts.select("_row", *xs, F.explode(met).alias("met")).select("_row", *xs, "met.gram", "met.next")
+                .join(F.broadcast(sig), "gram").where(F.startswith("next", "sig") & (whole | holds)))
+        hits = hits.select("_row").distinct()
+    else:
+        keyed = sig.withColumn("gram", F.xxhash64("gram"))
+        grams = F.array_distinct(F.transform(met, lambda m: F.xxhash64(m["gram"])))
+        pairs = texts.select("_row", F.explode(grams).alias("gram")).join(keyed, "gram").select("_row", "t").distinct()
+        hits = texts.join(pairs, "_row").where(holds).select("_row").distinct()
+    hits = hits.withColumn("_hit", F.lit(True))
     return (rows.join(hits, "_row", "left")
-            .withColumn(out, F.coalesce("_hit", F.lit(False)) | empty).drop("_row", "_hit"))
+            .withColumn(out, F.col(out) | F.coalesce("_hit", F.lit(False))).drop("_row", "_hit"))
 
 
 def membership_flags(df: DataFrame, key: Column, allow: DataFrame, block: DataFrame,

@@ -229,6 +229,34 @@ def test_large_dictionary_gives_the_same_flags(spark):
     assert not any(r["hit"] for b in (100, 0) for r in Q.term_flag(df, ["t"], none, "hit", bound=b).collect())
 
 
+def test_signatures_find_what_contains_finds(spark):
+    """Random texts and terms of 1 to 14 characters over a few letters, one of them beyond the first
+    plane, with line ends and a hot term: broadcast or shuffled, whichever gram is the rarest."""
+    import random
+    rng = random.Random(7)
+    letters = "abC\n\u00e9\U0001F600"
+    text = ["".join(rng.choices(letters, k=rng.randrange(0, 40))) for _ in range(150)] + [None, "hot stuff"] * 20
+    terms = ["".join(rng.choices(letters, k=rng.randrange(3, 15))) for _ in range(25)] + ["hot", "stuff that is long"]
+    df = spark.createDataFrame([(i, t, text[-i]) for i, t in enumerate(text)], "i int, t string, u string")
+    low = Q._lower_terms(spark.createDataFrame([(w,) for w in terms], "search_terms string"))
+    want = [any(w.lower() in (x or "").lower() for w in terms for x in (t, text[-i])) for i, t in enumerate(text)]
+    assert 0 < sum(want) < len(want)
+    for max_bytes in (1 << 20, 0):
+        for sample in (0, 10, 10**9):
+            for inline in (100, 0):
+                got = Q._flag_by_signature(df, ["t", "u"], low, "hit", max_bytes, sample, inline).orderBy("i").collect()
+                assert [r["hit"] for r in got] == want
+
+
+def test_signature_is_the_rarest_part(spark):
+    texts = spark.createDataFrame([(i, "common words here" + ("zebra" if i == 3 else "")) for i in range(9)],
+                                  "_row long, x string")
+    terms = spark.createDataFrame([("common zebra",), ("common",), ("c",)], "t string")
+    got = {r["t"]: (r["gram"], r["sig"]) for r in Q.signatures(terms, texts, ["x"]).collect()}
+    assert got["common zebra"] == ("on z", "on zebra")  # the first of the places that one text or none holds
+    assert got["common"] == ("comm", "common") and got["c"] == ("c", "c")
+
+
 def test_same_scores_for_every_lexicon_size(spark):
     """Repeated tokens, a key that is not unique, and both paths, for 10 to 300,000 entries."""
     from riskfeed.operators import sentiment as S
