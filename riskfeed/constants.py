@@ -87,6 +87,10 @@ RECENCY_DAYS = 1
 WINDOW_DAYS = 120
 DIGEST_DAYS = 28
 
+# elements without content
+VOID_ELEMENTS = ("area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source",
+                 "track", "wbr")
+
 # Size bounds for data that is shipped whole to every task.
 MAX_INLINE_TERMS = 5000          # term array embedded into the substring test
 MAX_INLINE_LEXICON = 200_000     # lexicon embedded as a sorted literal array

@@ -26,9 +26,10 @@ _AUTHORITY_RE = r"^(?:[A-Za-z][A-Za-z0-9+.-]*:)?//([^/?#]*)"
 _SOURCE_SITE_RE = r"(?U)https?:[\w#@%;$()~?+\-./:<=\\&,]*"
 _STRIP_RE = rf"^{WS_CLASS}+|{WS_CLASS}+$"
 _SCRIPT_STYLE_COMMENT_RE = r"(?is)<script\b.*?</script>|<style\b.*?</style>|<!--.*?-->"
-_P_OPEN_RE = r"(?i)<p(?:\s[^>]*)?>"
-_P_END_RE = r"(?is)</(p|article|div|body)>.*"
-_TAG_RE = r"<[^>]*>"
+# a tag with its attributes (values may hold '>'), or a declaration; runs are possessive, so that a
+# long attribute or a tag without an end costs one pass
+_TAG_RE = r"""<(?:/?[a-zA-Z][^\s/>]*+(?:[^'">]++|"[^"]*+"|'[^']*+')*+|[!?][^>]*+)>"""
+_TAG_NAME_RE = r"^</?([a-zA-Z][^\s/>]*)"
 _TITLE_RE = r"(?is)<title[^>]*>(.*?)</title>"
 
 
@@ -36,6 +37,11 @@ def _c(col) -> Column:
     return F.col(col) if isinstance(col, str) else col
 
 
+def _once(value: Column, fn) -> Column:
+    """``fn(value)`` with the value computed once, however often ``fn`` names it."""
+    return F.get(F.transform(F.array(value), fn), F.lit(0))
+
+
 def strip_ws(col) -> Column:
     """str.strip(): remove leading / trailing (Unicode) whitespace."""
     return F.regexp_replace(_c(col), _STRIP_RE, "")
@@ -75,6 +81,10 @@ def named_entities() -> dict[str, str]:
     return {k[:-1]: v for k, v in sorted(html5.items()) if k.endswith(";")}
 
 
+# the references that make up nearly all of a page's, tested before the table is searched
+COMMON_ENTITIES = ("amp", "lt", "gt", "quot", "apos", "nbsp", "rsquo", "lsquo", "rdquo", "ldquo", "mdash", "ndash", "hellip")
+
+
 def _entity_map() -> Column:
     table = named_entities()
     return F.map_from_arrays(string_array_literal(list(table)), string_array_literal(list(table.values())))
@@ -83,14 +93,20 @@ def _entity_map() -> Column:
 def decode_entities(col) -> Column:
     """Named and numeric character references decoded once, from left to right; what is no
     known reference stays as it is."""
-    names = _entity_map()
+    names, table = _entity_map(), named_entities()
+
+    def named(ref: Column) -> Column:
+        out = F.when(ref == COMMON_ENTITIES[0], table[COMMON_ENTITIES[0]])
+        for name in COMMON_ENTITIES[1:]:
+            out = out.when(ref == name, table[name])
+        return out.otherwise(F.try_element_at(names, ref))
 
     def decode(piece: Column) -> Column:
         ref = F.regexp_extract(piece, ENTITY_RE, 1)
         code = F.when(F.lower(F.substring(ref, 1, 2)) == "#x", F.conv(F.substring(ref, 3, 8), 16, 10)) \
                 .when(F.substring(ref, 1, 1) == "#", F.substring(ref, 2, 8)).try_cast("int")
         known = code.between(1, 0xD7FF) | code.between(0xE000, 0x10FFFF)
-        char = F.when(ref == "", F.lit(None)).when(F.substring(ref, 1, 1) != "#", F.try_element_at(names, ref)) \
+        char = F.when(ref == "", F.lit(None)).when(F.substring(ref, 1, 1) != "#", named(ref)) \
                 .when(known, F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32"))
         rest = F.substring(piece, F.length(ref) + 2, F.length(piece))
         return F.coalesce(F.concat(char, rest), F.concat(F.lit("&"), piece))
@@ -106,22 +122,70 @@ def page_title(html) -> Column:
     return strip_ws(decode_entities(F.regexp_extract(_c(html), _TITLE_RE, 1)))
 
 
-def _paragraph_chunks(html) -> Column:
-    """Raw text of every <p>: scripts / styles / comments removed, split on <p ...>,
-    each chunk cut at the first closing block tag."""
-    clean = F.regexp_replace(_c(html), _SCRIPT_STYLE_COMMENT_RE, "")
-    parts = F.split(clean, _P_OPEN_RE)
-    chunks = F.slice(parts, 2, F.greatest(F.size(parts) - 1, F.lit(0)))
-    return F.transform(chunks, lambda c: F.regexp_replace(c, _P_END_RE, ""))
+def _tags(html: Column) -> Column:
+    """The tags of a page and the text after each: array of (name, kind, text), kind 1 for an opening
+    tag, -1 for a closing one, 0 for what leaves the open elements as they are (void and
+    self-closing elements, declarations, the place of a comment, script or style sheet)."""
+    clean = F.regexp_replace(html, _SCRIPT_STYLE_COMMENT_RE, "<!>")
+    tags = F.regexp_extract_all(clean, F.lit(_TAG_RE), 0)
+    after = F.slice(F.split(clean, _TAG_RE, -1), 2, F.size(tags))  # the first piece stands before any tag
+
+    def of(pair: Column) -> Column:
+        tag = pair["tag"]
+        name = F.lower(F.regexp_extract(tag, _TAG_NAME_RE, 1))
+        kind = (F.when((name == "") | name.isin(*C.VOID_ELEMENTS) | tag.endswith("/>"), 0)
+                .when(F.startswith(tag, F.lit("</")), -1).otherwise(1))
+        return F.struct(name.alias("name"), kind.alias("kind"), pair["text"].alias("text"))
+
+    return F.transform(F.arrays_zip(tags.alias("tag"), after.alias("text")), of)
+
+
+def _paragraphs(html) -> Column:
+    """Text nodes of every paragraph, raw: an array of strings for each ``<p>``.
+
+    The tags are folded with a stack of open elements. A closing tag closes the innermost open
+    element of its name with all inside it, and means nothing if there is none; so a
+    paragraph ends with its own tag or with an element around it, and nested blocks stay in it.
+    A new paragraph closes an open one. ``at`` is the paragraph's place in the stack, 0 outside."""
+    start = F.struct(F.array().cast("array<string>").alias("open"), F.lit(0).alias("at"),
+                     F.array().cast("array<string>").alias("nodes"),
+                     F.array().cast("array<array<string>>").alias("done"))
+
+    def state(acc: Column, open_: Column, at: Column, text: Column) -> Column:
+        """The next state: ``text`` goes to the paragraph if one is open; a paragraph that was
+        open and is no more, or gave way to another one, is done."""
+        left = (acc["at"] > 0) & ((at == 0) | (F.size(open_) < acc["at"]) | (at != acc["at"]))
+        nodes = F.when(left, F.array().cast("array<string>")).otherwise(acc["nodes"])
+        return F.struct(
+            open_.alias("open"), at.alias("at"),
+            F.when(at == 0, F.array().cast("array<string>")).otherwise(F.array_append(nodes, text)).alias("nodes"),
+            F.when(left, F.array_append(acc["done"], acc["nodes"])).otherwise(acc["done"]).alias("done"))
+
+    def step(acc: Column, tag: Column) -> Column:
+        outside = F.slice(acc["open"], 1, acc["at"] - 1)  # the elements around an open paragraph
+        place = F.size(acc["open"]) + 1 - F.array_position(F.reverse(acc["open"]), tag["name"]).cast("int")
+        closes = (tag["kind"] == -1) & F.array_contains(acc["open"], tag["name"])
+        fresh = F.struct(F.array_append(outside, F.lit("p")).alias("open"), acc["at"].alias("at"),
+                         F.array(tag["text"]).alias("nodes"),
+                         F.array_append(acc["done"], acc["nodes"]).alias("done"))
+        return (F.when((tag["kind"] == 1) & (tag["name"] == "p") & (acc["at"] > 0), fresh)
+                .when((tag["kind"] == 1) & (tag["name"] == "p"),
+                      state(acc, F.array_append(acc["open"], F.lit("p")), F.size(acc["open"]) + 1, tag["text"]))
+                .when(tag["kind"] == 1, state(acc, F.array_append(acc["open"], tag["name"]), acc["at"], tag["text"]))
+                .when(closes, state(acc, F.slice(acc["open"], 1, place - 1),
+                                    F.when(place <= acc["at"], 0).otherwise(acc["at"]), tag["text"]))
+                .otherwise(state(acc, acc["open"], acc["at"], tag["text"])))
+
+    def done(acc: Column) -> Column:
+        return F.when(acc["at"] > 0, F.array_append(acc["done"], acc["nodes"])).otherwise(acc["done"])
+
+    return F.aggregate(_tags(_c(html)), start, step, done)
 
 
 def page_text(html) -> Column:
     """Live extraction: every paragraph's text stripped, joined by one space
     (empty paragraphs kept, so they leave a double space). No <p> gives ''."""
-    paras = F.transform(
-        _paragraph_chunks(html),
-        lambda c: strip_ws(decode_entities(F.regexp_replace(c, _TAG_RE, ""))),
-    )
+    paras = F.transform(_paragraphs(html), lambda nodes: strip_ws(decode_entities(F.array_join(nodes, ""))))
     return F.coalesce(F.array_join(paras, " "), F.lit(""))
 
 
@@ -129,18 +193,18 @@ def page_text_backfill(html) -> Column:
     """Backfill extraction: per paragraph, every text node stripped and glued
     without a separator; empty paragraphs dropped; joined by one space."""
     paras = F.transform(
-        _paragraph_chunks(html),
-        lambda c: F.array_join(
-            F.transform(F.split(c, _TAG_RE), lambda t: strip_ws(decode_entities(t))), ""
-        ),
-    )
+        _paragraphs(html),
+        lambda nodes: F.array_join(F.transform(nodes, lambda t: strip_ws(decode_entities(t))), ""))
     return strip_ws(F.coalesce(F.array_join(F.filter(paras, lambda p: p != ""), " "), F.lit("")))
 
 
 def blank_short(col, min_chars: int = C.MIN_ARTICLE_CHARS) -> Column:
     """Text with fewer than ``min_chars`` characters becomes ''."""
-    t = F.coalesce(_c(col), F.lit(""))
-    return F.when(F.length(t) < min_chars, F.lit("")).otherwise(t)
+    def blank(t: Column) -> Column:
+        return F.when(F.length(t) < min_chars, F.lit("")).otherwise(t)
+
+    text = F.coalesce(_c(col), F.lit(""))
+    return blank(text) if isinstance(col, str) else _once(text, blank)
 
 
 def words(col) -> Column:

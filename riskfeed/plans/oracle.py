@@ -67,23 +67,51 @@ def title(html: str) -> str:
     return strip(ent(f"regexp_extract({html}, {q(r'(?is)<title[^>]*>(.*?)</title>')}, 1)"))
 
 
-def _chunks(html: str) -> str:
-    clean = f"regexp_replace({html}, {q(r'(?is)<script\b.*?</script>|<style\b.*?</style>|<!--.*?-->')}, '', 'g')"
-    parts = f"string_split_regex({clean}, {q(r'(?i)<p(?:\s[^>]*)?>')})"
-    return (f"list_transform(({parts})[2:], lambda c: "
-            f"regexp_replace(c, {q(r'(?is)</(p|article|div|body)>.*')}, ''))")
+TAG_RE = r"""<(?:/?[a-zA-Z][^\s/>]*(?:[^'">]+|"[^"]*"|'[^']*')*|[!?][^>]*)>"""
+
+
+def _paragraphs(html: str) -> str:
+    """Lists of text nodes, one per paragraph: a stack of open elements, reduced over the tags.
+
+    Every list element is a state whose ``open`` holds the tag's name, ``at`` its kind and ``nodes``
+    the text after it; the first one is the empty state, so that states can be reduced."""
+    clean = f"regexp_replace({html}, {q(r'(?is)<script\b.*?</script>|<style\b.*?</style>|<!--.*?-->')}, '<!>', 'g')"
+    name = f"lower(regexp_extract(tg, {q(r'^</?([a-zA-Z][^\s/>]*)')}, 1))"
+    void = ", ".join(q(v) for v in C.VOID_ELEMENTS)
+    kind = (f"CASE WHEN {name} = '' OR {name} IN ({void}) OR ends_with(tg, '/>') THEN 0 "
+            "WHEN starts_with(tg, '</') THEN -1 ELSE 1 END")
+    no_done = "CAST([] AS VARCHAR[][])"
+    tags = (f"list_transform(regexp_extract_all({clean}, {q(TAG_RE)}), lambda tg, ti: "
+            f"{{'open': [{name}], 'at': {kind}, 'nodes': [string_split_regex({clean}, {q(TAG_RE)})[ti + 1]], 'done': {no_done}}})")
+    first = f"{{'open': CAST([] AS VARCHAR[]), 'at': 0, 'nodes': CAST([] AS VARCHAR[]), 'done': {no_done}}}"
+    # the stack after the tag, and the paragraph's place in it
+    place = "(len(ac.open) + 1 - list_position(list_reverse(ac.open), tk.open[1]))"
+    is_p = "tk.at = 1 AND tk.open[1] = 'p'"
+    shut = "tk.at = -1 AND list_contains(ac.open, tk.open[1])"
+    stack = (f"CASE WHEN {is_p} AND ac.at > 0 THEN list_append(ac.open[1:ac.at - 1], 'p') WHEN tk.at = 1 THEN "
+             f"list_append(ac.open, tk.open[1]) WHEN {shut} THEN ac.open[1:{place} - 1] ELSE ac.open END")
+    at = (f"CASE WHEN {is_p} AND ac.at > 0 THEN ac.at WHEN {is_p} THEN len(ac.open) + 1 "
+          f"WHEN {shut} AND {place} <= ac.at THEN 0 ELSE ac.at END")
+    ended = f"ac.at > 0 AND (({is_p}) OR ({shut} AND {place} <= ac.at))"
+    within = f"({is_p}) OR (ac.at > 0 AND NOT ({shut} AND {place} <= ac.at))"
+    nodes = (f"CASE WHEN NOT ({within}) THEN CAST([] AS VARCHAR[]) WHEN {is_p} THEN tk.nodes "
+             "ELSE list_concat(ac.nodes, tk.nodes) END")
+    done = f"CASE WHEN {ended} THEN list_append(ac.done, ac.nodes) ELSE ac.done END"
+    last = (f"list_reduce(list_prepend({first}, {tags}), lambda ac, tk: "
+            f"{{'open': {stack}, 'at': {at}, 'nodes': {nodes}, 'done': {done}}})")
+    return (f"list_transform([{last}], lambda fin: CASE WHEN fin.at > 0 THEN list_append(fin.done, fin.nodes) "
+            "ELSE fin.done END)[1]")
 
 
 def page_text(html: str) -> str:
-    tagless = "regexp_replace(c2, '<[^>]*>', '', 'g')"
-    paras = f"list_transform({_chunks(html)}, lambda c2: {strip(ent(tagless))})"
+    glued = "array_to_string(c2, '')"
+    paras = f"list_transform({_paragraphs(html)}, lambda c2: {strip(ent(glued))})"
     return f"coalesce(array_to_string({paras}, ' '), '')"
 
 
 def page_text_backfill(html: str) -> str:
-    inner = (f"array_to_string(list_transform(string_split_regex(c2, '<[^>]*>'), "
-             f"lambda t: {strip(ent('t'))}), '')")
-    paras = f"list_transform({_chunks(html)}, lambda c2: {inner})"
+    inner = f"array_to_string(list_transform(c2, lambda t: {strip(ent('t'))}), '')"
+    paras = f"list_transform({_paragraphs(html)}, lambda c2: {inner})"
     return strip(f"coalesce(array_to_string(list_filter({paras}, lambda p: p <> ''), ' '), '')")
 
 

@@ -93,6 +93,79 @@ def test_page_text_variants(spark):
     assert one(spark, X.page_text("x"), scripted) == "kept & decoded"
 
 
+PARAGRAPHS = {  # html: live text, backfill text
+    "<p>a<div>in</div>b</p>c": ("ainb", "ainb"),                      # a block inside stays inside
+    "<div><p>one<blockquote> two </blockquote>three</div>four": ("one two three", "onetwothree"),  # ends with its parent
+    "<p>a<p>b": ("a b", "a b"),                                       # unclosed: the next one closes it
+    "<ul><li><p>a</li><li>x<p>b</li></ul>c": ("a b", "a b"),          # inside an item
+    "<p>x <!-- </p> c --> y</p>z": ("x  y", "xy"),                    # a comment parts two text nodes
+    "<p>a</span>b</p>": ("ab", "ab"),                                 # nothing open of that name
+    "<b><p>x</b>y</p>": ("x", "x"),                                   # closed with the element around it
+    '<p title="a>b">q<br/>r<img src=x>s</p>': ("qrs", "qrs"),         # void elements; '>' in a value
+    "<P CLASS=x>up</P><pre>no</pre>": ("up", "up"),
+    "<p>1 < 2 &amp;&lt;</p>": ("1 < 2 &<", "1 < 2 &<"),
+    "<p>a<p": ("a<p", "a<p"),                                         # a tag without an end is text
+    "": ("", ""), "</p></div>x": ("", ""), None: ("", ""),
+}
+
+
+def test_nested_paragraphs(spark):
+    for html, (live, backfill) in PARAGRAPHS.items():
+        assert one(spark, X.page_text("x"), html) == live, html
+        assert one(spark, X.page_text_backfill("x"), html) == backfill, html
+
+
+def test_paragraphs_are_those_of_a_parser(spark):
+    """Random tag soup against a walk over the standard library's parser events."""
+    import random
+    from html.parser import HTMLParser
+
+    class Walk(HTMLParser):
+        def __init__(self):
+            super().__init__()
+            self.open, self.found, self.now = [], [], None
+
+        def handle_starttag(self, tag, attrs):
+            if tag == "p":
+                if "p" in self.open:
+                    del self.open[self.open.index("p"):]
+                self.now = []
+                self.found.append(self.now)
+            if tag != "br":
+                self.open.append(tag)
+
+        def handle_endtag(self, tag):
+            if tag in self.open:
+                while self.open.pop() != tag:
+                    pass
+                self.now = self.now if "p" in self.open else None
+
+        def handle_data(self, data):
+            if self.now is not None:
+                self.now.append(data)
+
+    rng = random.Random(3)
+    soup = ["".join(rng.choice([f"<{n}>", f"</{n}>", f"t{i} "]) for i in range(rng.randrange(30))
+                    for n in [rng.choice(["p", "p", "div", "b", "li", "br"])]) for _ in range(300)]
+    want = []
+    for html in soup:
+        walk = Walk()
+        walk.feed(html)
+        walk.close()
+        want.append(" ".join("".join(p).strip() for p in walk.found))
+    df = spark.createDataFrame(list(enumerate(soup)), "i int, h string")
+    assert [r["t"] for r in df.select("i", X.page_text("h").alias("t")).orderBy("i").collect()] == want
+
+
+def test_long_pages(spark):
+    """A deep stack, a tag with a very long attribute, one without an end, many paragraphs."""
+    deep = "<div>" * 3000 + "<p>x" + "</div>" * 3000 + "y"
+    assert one(spark, X.page_text("x"), deep) == "x"
+    assert one(spark, X.page_text("x"), f"<p a='{'z' * 300_000}'>x</p>") == "x"
+    assert one(spark, X.page_text("x"), "<p>x</p><a " + "y" * 300_000) == "x"
+    assert one(spark, X.page_text("x"), "<p>x" * 3000) == " ".join(["x"] * 3000)
+
+
 def test_blank_short_and_snippet(spark):
     assert one(spark, X.blank_short("x"), "a" * 99) == ""
     assert one(spark, X.blank_short("x"), "a" * 100) == "a" * 100
