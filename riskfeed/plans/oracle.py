@@ -4,6 +4,8 @@ against the same Parquet tables."""
 
 from __future__ import annotations
 
+import re
+
 from riskfeed import constants as C
 from riskfeed.sources import binding as B
 
@@ -215,7 +217,9 @@ DOCS_CTES = [
 
 
 def with_(ctes, body: str) -> str:
-    return "WITH " + ",\n".join(ctes) + "\n" + body
+    """Every view is computed once: pages, their texts and scores are named several times."""
+    once = [re.sub(r"^(\w+) AS \(", r"\1 AS MATERIALIZED (", c) for c in ctes]
+    return "WITH " + ",\n".join(once) + "\n" + body
 
 
 # ------------------------------------------------------------------ sentiment
@@ -623,10 +627,12 @@ def oracle_sql() -> dict[str, str]:
     plain = sentiment_ctes("dsrc", "doc_id", "text", "dsent", "compound")
     own = case_map("w", [(k.lower(), v) for k, v in B.TEST_VALENCES], dbl(0.0))
     assert own in plain[2]
-    # the words of the lexicon are exactly those that occur in the table, so the pattern decides
-    rule = (f"CASE WHEN list_contains((SELECT list(token) FROM dlex), w) THEN CAST({mark} % 9 - 4 AS DOUBLE) / 2 "
-            "ELSE 0.0::DOUBLE END")
-    plain[2] = plain[2].replace(own, rule)
+    plain[2] = (plain[2].replace(f"list_transform(low, lambda w: {own}) AS base", "coalesce(found, []::DOUBLE[]) AS base")
+                .replace("FROM dsent_2)", "FROM dsent_2 LEFT JOIN dbase USING (k))"))
+    plain[2:2] = [
+        "dtok AS (SELECT k, i, low[i] AS w FROM dsent_2, LATERAL (SELECT unnest(range(1, n + 1)) AS i))",
+        f"dbase AS (SELECT k, list(CASE WHEN token IS NULL THEN 0.0::DOUBLE ELSE CAST({mark} % 9 - 4 AS DOUBLE) / 2 END "
+        "ORDER BY i) AS found FROM dtok LEFT JOIN dlex ON token = w GROUP BY k)"]
     s["sentiment_derived_lexicon"] = with_(
         ["dlex AS (SELECT DISTINCT unnest(regexp_extract_all(text, '\\b([a-z]{4})\\b', 1)) AS token FROM documents)",
          "dsrc AS (SELECT doc_id, text FROM documents)"] + plain, "SELECT doc_id, compound FROM dsent")
