@@ -3,8 +3,9 @@ headlines and the narrative prompt row."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.internal import InternalFunction
 
 from riskfeed import constants as C
 from riskfeed.functions import dates as D
@@ -38,31 +39,35 @@ def last_four_weeks(df: DataFrame, as_of: str, date_col: str | None = None,
     return df.where((bad > 0) | (parsed >= cutoff))
 
 
-def risk_digest(df: DataFrame, risk_col: str = "risk_id", text_col: str | None = None,
-                order_cols: list | None = None, samples: int = C.DIGEST_SAMPLES) -> DataFrame:
-    """AG1 + AG2: per non-NULL risk id the mention count and the first
-    ``samples`` non-NULL texts (store order: newest first) as snippet lines.
+def newest_first(df: DataFrame) -> list:
+    """Store order as ascending sort keys: newest date first (no date last), then link, title."""
+    day = F.unix_date(F.col("published_date").cast("date"))
+    return [F.coalesce(-day, F.lit(2**31 - 1)), F.col("link"), F.col("title")]
+
+
+def top_rows(key: str, order: list, n: int, *cols: str, where=None):
+    """Aggregate: the first ``n`` rows of a group by ascending ``order``, as an array of structs of
+    ``cols``. Each task keeps ``n`` rows of a group at most (a bounded queue), so a hot group is
+    neither shuffled nor gathered whole; equal rows count one by one."""
+    row = F.struct(*[o.alias(f"_{i}") for i, o in enumerate(order)], F.struct(*cols).alias("row"))
+    kept = row if where is None else F.when(where, row)
+    return F.transform(InternalFunction.collect_top_k(kept, n, True), lambda r: r["row"]).alias(key)
 
-    The count is a partial + final hash aggregate; the samples use
-    ``row_number() <= samples`` (a WindowGroupLimit trims each map task to
-    ``samples`` rows per risk before the shuffle, so a hot risk stays small)."""
+
+def risk_digest(df: DataFrame, risk_col: str = "risk_id", text_col: str | None = None,
+                order: list | None = None, samples: int = C.DIGEST_SAMPLES) -> DataFrame:
+    """AG1 + AG2: per non-NULL risk id the mention count and the first ``samples`` non-NULL texts
+    (store order: newest first) as snippet lines, in one pass over the rows: both are partial
+    aggregates, so a hot risk sends a count and ``samples`` rows per task."""
     text_col = text_col or pick_column(df.columns, C.TEXT_COLUMN_WORDS)
-    order_cols = order_cols or [F.col("published_date").desc_nulls_last(), F.col("link"), F.col("title")]
     rows = df.where(F.col(risk_col).isNotNull())
-    counts = rows.groupBy(risk_col).agg(F.count(F.lit(1)).alias("article_count"))
+    count = F.count(F.lit(1)).alias("article_count")
     if text_col is None:
-        return counts.withColumn("sample_content", F.lit(""))
-    w = Window.partitionBy(risk_col).orderBy(*order_cols)
-    top = (rows.where(F.col(text_col).isNotNull())
-           .withColumn("_rn", F.row_number().over(w))
-           .where(F.col("_rn") <= samples)
-           .groupBy(risk_col)
-           .agg(F.array_sort(F.collect_list(F.struct("_rn", X.snippet(F.col(text_col)).alias("s"))))
-                .alias("_l")))
-    samples_df = top.select(risk_col, F.array_join(F.transform("_l", lambda e: e["s"]), "\n")
-                            .alias("sample_content"))
-    return (counts.join(samples_df, risk_col, "left")
-            .withColumn("sample_content", F.coalesce("sample_content", F.lit(""))))
+        return rows.groupBy(risk_col).agg(count).withColumn("sample_content", F.lit(""))
+    top = top_rows("_top", order or newest_first(df), samples, text_col, where=F.col(text_col).isNotNull())
+    lines = F.transform("_top", lambda r: X.snippet(r[text_col]))
+    return rows.groupBy(risk_col).agg(count, top).select(
+        risk_col, "article_count", F.array_join(lines, "\n").alias("sample_content"))
 
 
 def risk_prompt(digest: DataFrame, risk_col: str = "risk_id") -> DataFrame:

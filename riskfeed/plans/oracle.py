@@ -511,6 +511,19 @@ def oracle_sql() -> dict[str, str]:
     s["risk_prompt"] = with_(base + dig, f"SELECT risk_id, article_count, printf({q(tmpl)}, CAST(risk_id AS VARCHAR), "
                                          "CAST(article_count AS VARCHAR), sample_content) AS prompt FROM digest")
 
+    s["risk_narrative"] = (
+        f"SELECT risk_id, article_count, CASE WHEN risk_id = {B.FAILING_RISK} THEN 'Error generating narrative for "
+        f"Risk ID {B.FAILING_RISK}: no answer' ELSE len(string_split(prompt, chr(10))) || ' lines' END AS narrative "
+        f"FROM ({s['risk_prompt']})")
+    s["risk_brief"] = with_(
+        base + [dig[0]],
+        f"SELECT risk_id, count(*) AS n_rows, CASE WHEN risk_id = {B.FAILING_RISK} THEN 'Error for Risk ID "
+        f"{B.FAILING_RISK}: no brief' ELSE count(*) || ' mentions: ' || string_agg(title || ' (' || source || ')', '; ' "
+        "ORDER BY rn) FILTER (WHERE rn <= 3) END AS brief FROM (SELECT *, row_number() OVER (PARTITION BY risk_id ORDER BY "
+        "published_date DESC NULLS LAST, link NULLS FIRST, title NULLS FIRST, item_id) AS rn FROM m4) "
+        "WHERE risk_id IS NOT NULL GROUP BY risk_id")
+    s["landed_pages"] = f"SELECT {norm('url')} AS link, md5(html) AS html_md5 FROM pages"
+
     s["quality_score"] = with_(SCORED_PAGES, f"SELECT page_id, {', '.join(SCORE_COLS)}, score_total_score AS "
                                              "quality_score FROM scored")
     s["quality_score_total"] = with_(SCORED_PAGES, "SELECT page_id, score_total_score AS quality_score FROM scored")

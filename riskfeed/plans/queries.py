@@ -330,6 +330,45 @@ def risk_prompt(spark, sf):
         "risk_id", "article_count", "prompt")
 
 
+@query
+def risk_brief(spark, sf):
+    """UD3: a Python function per risk over its three newest mentions; it fails for one risk."""
+    from riskfeed.operators import hooks
+
+    def brief(risk_id, rows, n_rows):
+        if risk_id == B.FAILING_RISK:
+            raise ValueError("no brief")
+        return f"{n_rows} mentions: " + "; ".join(f"{r['title']} ({r['source']})" for r in rows)
+
+    m = DG.last_four_weeks(mention_view(spark, sf), B.AS_OF, "published_date")
+    order = [*DG.newest_first(m), F.col("item_id")]
+    return hooks.apply_group_hook(m, brief, "risk_id", 3, ["title", "source"], order, "brief",
+                                  "Error for Risk ID {key}: {error}")
+
+
+@query
+def risk_narrative(spark, sf):
+    """UD4: a Python function per prompt row, its failure captured as a value."""
+    from riskfeed.operators import hooks
+
+    def generate(prompt):
+        lines = prompt.split("\n")
+        if f"EMERGING RISK ID: {B.FAILING_RISK}" in prompt:
+            raise ValueError("no answer")
+        return f"{len(lines)} lines"
+
+    return hooks.narrate(risk_prompt(spark, sf), generate).select("risk_id", "article_count", "narrative")
+
+
+@query
+def landed_pages(spark, sf):
+    """SRC4: the pages landed without their number, read back under their normalised links."""
+    from riskfeed.sources.feed import read_pages
+    root = _scratch(spark, "pages")
+    read_table(spark, sf, "pages", "url", "html").write.parquet(root)
+    return read_pages(spark, root).select("link", F.md5("html").alias("html_md5"))
+
+
 @query
 def source_list_normalize(spark, sf):
     names = B.raw_items(spark, sf).select(F.col("source_name").alias("name"))

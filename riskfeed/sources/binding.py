@@ -35,6 +35,7 @@ EARLIER_AS_OF = "2024-01-20 00:00:00"     # first of two daily runs
 EARLIER_AS_OF_DATE = "2024-01-20"
 TEST_WINDOW_DAYS = 14
 TEST_ITEMS_PER_TERM = 500
+FAILING_RISK = 2                          # the hooks' functions fail for it
 TEST_BACKFILL_RANGE = ("2024-01-05", "2024-01-20")
 
 # (risk_id, search_term_id, term text, raw encoded value or None = encode the text)

@@ -115,3 +115,41 @@ def test_changed_dictionary_file_is_reread(spark, tmp_path):
 
     assert terms_of("malware") is True
     assert terms_of("botnet") is False
+
+
+def test_group_hook_sees_a_bounded_part_of_a_hot_group(spark):
+    """Half of all rows are one group; the function gets its newest rows and its whole count."""
+    import datetime as dt
+
+    from riskfeed.operators import digest as DG
+    day = dt.date(2025, 9, 1)
+    rows = [(7, day + dt.timedelta(days=i % 50), f"l{i}", f"t{i}") for i in range(500)]
+    rows += [(i % 100 + 10, None if i % 2 else day, f"k{i}", None) for i in range(498)] + [(None, day, "x", "x"), (5, day, "a", "a")]
+    df = spark.createDataFrame(rows, "risk_id int, published_date date, link string, title string").repartition(8)
+
+    def brief(key, got, n):
+        assert len(got) <= 4
+        if key == 5:
+            raise ValueError("broken")
+        return None if key == 10 else f"{n}:" + ",".join(str(r["title"]) for r in got)
+
+    out = hooks.apply_group_hook(df, brief, "risk_id", 4, ["title", "link"])
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "partial_collect_top_k" in plan and "Window" not in plan
+    got = {r["risk_id"]: (r["n_rows"], r["result"]) for r in out.collect()}
+    newest = sorted(f"l{i}" for i in range(500) if i % 50 == 49)[:4]
+    assert got[7] == (500, "500:" + ",".join("t" + x[1:] for x in newest))
+    assert got[5] == (1, "Error for 5: broken") and got[10][1] is None and None not in got and len(got) == 102
+    assert hooks.apply_group_hook(df.limit(0), brief, "risk_id", 4, ["title"]).collect() == []
+
+
+def test_digest_reads_its_input_once(spark, tmp_path):
+    import datetime as dt
+
+    from riskfeed.operators import digest as DG
+    day = dt.date(2025, 9, 1)
+    spark.createDataFrame([(1, day, "l", "t")] * 20 + [(2, None, "m", None)],
+                          "risk_id int, published_date date, link string, title string").write.parquet(str(tmp_path / "m"))
+    out = DG.risk_digest(spark.read.parquet(str(tmp_path / "m")), "risk_id", "title")
+    assert {r["risk_id"]: (r["article_count"], r["sample_content"].count("- t...")) for r in out.collect()} == {1: (20, 5), 2: (1, 0)}
+    assert out._jdf.queryExecution().executedPlan().toString().split("== Initial")[0].count("FileScan parquet") == 1
