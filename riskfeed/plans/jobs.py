@@ -20,7 +20,7 @@ from riskfeed.operators import digest as DG
 from riskfeed.operators.common import clear_memo
 from riskfeed.plans import daily
 from riskfeed.sources import lists
-from riskfeed.sources.feed import read_feed, read_pages
+from riskfeed.sources.feed import landed_files, read_feed, read_pages, unreadable_files
 from riskfeed.sources.lexicon import default_lexicon, read_lexicon
 
 
@@ -36,11 +36,13 @@ class DailyInputs:
     risk_set: str = "enterprise"
     lexicon: str | None = None
     resolved: str = ""
+    quarantine: str = ""
 
 
 def daily_job(spark: SparkSession, inp: DailyInputs, p: daily.DailyParams, export_csv: str | None = None,
               append_only: bool = True) -> dict:
-    """PIPE1 over files; returns the run audit.
+    """PIPE1 over files; returns the run audit. Landed feed files that cannot be read are counted
+    in it and, where ``inp.quarantine`` names a folder, listed there.
 
     Default: only the new rows are written (appended to their date partitions); readers take
     the window with :func:`sinks.read_window`. ``append_only=False``: the in-window rows become
@@ -59,10 +61,13 @@ def daily_job(spark: SparkSession, inp: DailyInputs, p: daily.DailyParams, expor
               else sinks.read_current(spark, inp.store_root))
     obs = Observation("daily_run")
     resolved = spark.read.parquet(inp.resolved) if inp.resolved else None
-    new = daily.new_rows(read_feed(spark, inp.feed_root, resolved), dictionary, read_pages(spark, inp.pages),
+    landed = Observation("landed_feed")
+    new = daily.new_rows(read_feed(spark, inp.feed_root, resolved, landed), dictionary, read_pages(spark, inp.pages),
                          block, allow, lex, stored, p, obs)
     new = daily.materialize(new)   # once: the store, the audit and the archive read it
-    audit = dict(obs.get)
+    audit = dict(obs.get) | dict(landed.get)
+    if audit["unreadable_files"] and inp.quarantine:
+        sinks.write_quarantine(unreadable_files(landed_files(spark, inp.feed_root)), inp.quarantine, p.as_of)
     before = stored.select(F.count(F.lit(1)), F.count_distinct("link")).first() if stored is not None else (0, 0)
     audit.update(stored_rows=before[0], existing_links=before[1], combined_rows=before[0] + audit["new_rows"])
     if append_only:
@@ -129,7 +134,7 @@ def main(argv=None) -> None:
     d = sub.add_parser("daily")
     for a in ("terms-csv", "feed-root", "pages", "store-root", "archive"):
         d.add_argument(f"--{a}", required=True)
-    for a in ("block-csv", "allow-csv", "lexicon", "export-csv", "resolved"):
+    for a in ("block-csv", "allow-csv", "lexicon", "export-csv", "resolved", "quarantine"):
         d.add_argument(f"--{a}", default=None)
     d.add_argument("--risk-set", default="enterprise", choices=["enterprise", "emerging"])
     d.add_argument("--as-of", required=True)
@@ -154,7 +159,8 @@ def main(argv=None) -> None:
     spark = SparkSession.builder.appName(f"riskfeed-{args.job}").getOrCreate()
     if args.job == "daily":
         inp = DailyInputs(args.terms_csv, args.feed_root, args.pages, args.store_root, args.archive,
-                          args.block_csv or "", args.allow_csv or "", args.risk_set, args.lexicon, args.resolved or "")
+                          args.block_csv or "", args.allow_csv or "", args.risk_set, args.lexicon, args.resolved or "",
+                          args.quarantine or "")
         p = daily.DailyParams(as_of=args.as_of, max_terms=args.max_terms,
                               max_items_per_term=args.max_items_per_term, window_days=args.window_days,
                               score_domain_from=args.score_domain_from)

@@ -615,6 +615,9 @@ def oracle_sql() -> dict[str, str]:
                                   "CASE WHEN length(r.feed_link) % 7 <> 0 THEN i.link END AS link, i.source, "
                                   f"{q(B.FEED_HOST.removeprefix('https://'))} AS source_url, i.published_date, "
                                   f"{q(B.FEED_HOST)} AS source_site FROM items i JOIN raw_items r ON r.item_id = i.item_id")
+    s["feed_quarantine"] = with_(
+        base, "SELECT term, count(*) AS items, CAST(bool_or(result_page = 1) AS BIGINT) AS unreadable FROM raw_items "
+              "GROUP BY term")
     s["stream_ingest"] = with_(
         base, "SELECT title, link, published_date, term, source FROM (SELECT *, row_number() OVER (PARTITION BY link "
               f"ORDER BY published_date, term, title, source) AS rn FROM items g WHERE {gate} AND published_date IS NOT NULL "

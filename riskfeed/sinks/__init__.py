@@ -98,6 +98,12 @@ def read_archive(spark: SparkSession, path: str, latest_run_only: bool = False)
     return df.where(F.col("run") == df.select(F.max("run")).scalar())
 
 
+def write_quarantine(files: DataFrame, path: str, run: str) -> None:
+    """The landed files that a run could not read (path, n_bytes, head), under the run; a run that
+    is repeated replaces its own rows."""
+    files.write.mode("overwrite").parquet(f"{path.rstrip('/')}/run={run.replace(' ', 'T').replace(':', '-')}")
+
+
 def export_csv(current: DataFrame, path: str, risk_set: str = "enterprise") -> None:
     """CSV export with the published header (newest first, quotes doubled) for downstream tools."""
     (ST.published_columns(ST.export_projection(ST.newest_first(current)), risk_set)

@@ -12,7 +12,8 @@ from riskfeed.operators.store import published_name
 
 # <item><title/><link/><pubDate/><source url="...">name</source></item>, in a channel or in an rss/channel
 _ITEM = "struct<title: string, link: string, pubDate: string, source: struct<_VALUE: string, _url: string>>"
-FEED_SCHEMA = f"item array<{_ITEM}>, channel struct<item: array<{_ITEM}>>"
+FEED_SCHEMA = f"item array<{_ITEM}>, channel struct<item: array<{_ITEM}>>, _unreadable string"
+_XML = {"attributePrefix": "_", "valueTag": "_VALUE", "mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_unreadable"}
 
 MENTION_SCHEMA = T.StructType([
     T.StructField("risk_id", T.IntegerType()),
@@ -45,17 +46,39 @@ def _folder(path: Column, key: str) -> Column:
     return F.when(raw != "__HIVE_DEFAULT_PARTITION__", raw)
 
 
-def feed_to_raw_items(files: DataFrame, resolved: DataFrame | None = None) -> DataFrame:
+def _parsed() -> Column:
+    return F.from_xml("value", FEED_SCHEMA, _XML)
+
+
+def _unreadable(x: str = "x") -> Column:
+    """The file is empty or no well-formed XML. (A readable file without items is an empty page.)"""
+    return F.coalesce((F.trim("value") == "") | F.col(f"{x}._unreadable").isNotNull() | F.col(x).isNull(), F.lit(True))
+
+
+def unreadable_files(files: DataFrame) -> DataFrame:
+    """The landed files that give no items because they cannot be read: path, n_bytes, head."""
+    return (files.select("path", "value", _parsed().alias("x")).where(_unreadable())
+            .select("path", F.coalesce(F.octet_length("value"), F.lit(0)).cast("long").alias("n_bytes"),
+                    F.substring("value", 1, 200).alias("head")))
+
+
+def feed_to_raw_items(files: DataFrame, resolved: DataFrame | None = None, observation=None) -> DataFrame:
     """Landed files -> raw item columns used by ``gates.normalize_items``.
 
     Landing layout: ``<root>/[...]/term=<term>/result_page=<n>/*.xml``; ``feed_pos`` is the item's
     place in its file, whatever the cluster's split settings. ``resolved`` (feed_link,
     resolved_link, status) holds what each feed link led to: a link that was not resolved, or
-    with a status outside 200-399, is NULL; without the table the feed link stands for itself."""
-    x = F.from_xml("value", FEED_SCHEMA, {"attributePrefix": "_", "valueTag": "_VALUE"})
+    with a status outside 200-399, is NULL; without the table the feed link stands for itself.
+
+    A file that cannot be read gives no items; with a ``pyspark.sql.Observation`` the action that
+    reads the items also counts ``landed_files`` and ``unreadable_files``."""
+    files = files.select("path", "value", _parsed().alias("x"))
+    if observation is not None:
+        files = files.observe(observation, F.count(F.lit(1)).alias("landed_files"),
+                              F.count_if(_unreadable()).alias("unreadable_files"))
     feed = files.select(_folder(F.col("path"), "term").alias("term"),
                         F.expr("try_cast(regexp_extract(path, '/result_page=([^/]*)/', 1) AS int)").alias("result_page"),
-                        x.alias("x"))
+                        "x")
     feed = feed.select("term", "result_page", F.posexplode(F.coalesce("x.item", "x.channel.item")).alias("feed_pos", "i"))
     feed = feed.select("term", "result_page", F.col("feed_pos").cast("long").alias("feed_pos"), "i.*")
     items = feed.select(
@@ -75,9 +98,9 @@ def feed_to_raw_items(files: DataFrame, resolved: DataFrame | None = None) -> Da
     return items.join(led, items["feed_link"] == led["_feed"], "left").drop("_feed")
 
 
-def read_feed(spark: SparkSession, root: str, resolved: DataFrame | None = None) -> DataFrame:
+def read_feed(spark: SparkSession, root: str, resolved: DataFrame | None = None, observation=None) -> DataFrame:
     """SRC3 (batch): every <item> of every landed feed file under ``root``."""
-    return feed_to_raw_items(landed_files(spark, root), resolved)
+    return feed_to_raw_items(landed_files(spark, root), resolved, observation)
 
 
 def write_feed(raw_items: DataFrame, root: str, mode: str = "overwrite") -> None:

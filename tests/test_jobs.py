@@ -59,6 +59,29 @@ def test_append_only_store_matches_versioned(spark, tmp_path):
     assert digests[0] == digests[1] != []
 
 
+def test_unreadable_feed_files_are_counted_and_listed(spark, tmp_path):
+    """Three files, one of them cut off: its path is in the quarantine, the others' items are kept."""
+    import dataclasses
+    inp = dataclasses.replace(_inputs(spark, tmp_path), quarantine=str(tmp_path / "quarantine"))
+    feed = tmp_path / "feed3" / "term=click" / "result_page=1"
+    feed.mkdir(parents=True)
+    item = "<item><title>t{0}</title><link>https://x.com/{0}</link><pubDate>Tue, 30 Jan 2024 08:00:00 GMT</pubDate>" \
+           "<source url='https://x.com'>S</source></item>"
+    (feed / "a.xml").write_text(f"<channel>{item.format(1)}{item.format(2)}</channel>")
+    (feed / "b.xml").write_text(f"<channel>{item.format(3)}<item><title>t4</tit")
+    (feed / "c.xml").write_text(f"<rss><channel>{item.format(5)}</channel></rss>")
+    (feed / "d.xml").write_text("<channel></channel>")  # readable, without items
+    p = daily.DailyParams(as_of=B.AS_OF, window_days=B.TEST_WINDOW_DAYS)
+    audit = jobs.daily_job(spark, dataclasses.replace(inp, feed_root=str(tmp_path / "feed3")), p)
+    assert (audit["landed_files"], audit["unreadable_files"]) == (4, 1)
+    listed = spark.read.parquet(f"{inp.quarantine}/run=*").collect()
+    assert [r["path"].rsplit("/", 1)[1] for r in listed] == ["b.xml"] and listed[0]["n_bytes"] > 0
+    from riskfeed import sinks
+    assert {r["title"] for r in sinks.read_appended(spark, inp.store_root).collect()} == {"t1", "t2", "t5"}
+    whole = jobs.daily_job(spark, inp, p)
+    assert whole["unreadable_files"] == 0 and whole["landed_files"] > 4
+
+
 def test_failed_archive_loses_no_row(spark, tmp_path, monkeypatch):
     """Aged rows are archived before the publish: a run that fails there can be repeated."""
     import dataclasses
