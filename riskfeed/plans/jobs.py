@@ -39,14 +39,35 @@ class DailyInputs:
     quarantine: str = ""
 
 
+MAX_CONFLICTS = 20
+
+
+def _until_published(job):
+    """Run ``job`` again from what is live now as long as another writer was faster."""
+    for _ in range(MAX_CONFLICTS):
+        try:
+            return job()
+        except sinks.StoreConflict:
+            clear_memo()
+    return job()
+
+
 def daily_job(spark: SparkSession, inp: DailyInputs, p: daily.DailyParams, export_csv: str | None = None,
               append_only: bool = True) -> dict:
-    """PIPE1 over files; returns the run audit. Landed feed files that cannot be read are counted
+    """PIPE1 over files; returns the run audit. A versioned store that another writer has changed
+    meanwhile makes the run start again from the new version. Landed feed files that cannot be read are counted
     in it and, where ``inp.quarantine`` names a folder, listed there.
 
     Default: only the new rows are written (appended to their date partitions); readers take
     the window with :func:`sinks.read_window`. ``append_only=False``: the in-window rows become
     a new store version and aged rows go to the archive first (the reproduced behaviour)."""
+    if not append_only:
+        return _until_published(lambda: _daily_job(spark, inp, p, export_csv, False))
+    return _daily_job(spark, inp, p, export_csv, True)
+
+
+def _daily_job(spark: SparkSession, inp: DailyInputs, p: daily.DailyParams, export_csv: str | None,
+               append_only: bool) -> dict:
     from pyspark.sql import Observation
     clear_memo()
     dictionary = lists.decode_dictionary(lists.read_terms(spark, inp.terms_csv, inp.risk_set))
@@ -54,11 +75,12 @@ def daily_job(spark: SparkSession, inp: DailyInputs, p: daily.DailyParams, expor
         spark.createDataFrame([], "name string"))
     allow = lists.read_source_list(spark, inp.allow_csv) if inp.allow_csv else lists.normalize_list(
         spark.createDataFrame([], "name string"))
-    lex = read_lexicon(spark, inp.lexicon) if inp.lexicon else default_lexicon(spark)
+    lex = _lexicon(spark, inp.lexicon)
     # append-only: the live store is the window of the appended rows (older
     # partitions are the archive and are pruned away)
-    stored = (sinks.read_window(spark, inp.store_root, p.as_of, p.window_days)[0] if append_only
-              else sinks.read_current(spark, inp.store_root))
+    live = sinks.snapshot(spark, inp.store_root) if not append_only else None
+    stored = (sinks.read_window(spark, inp.store_root, p.as_of, p.window_days, updates=False)[0] if append_only
+              else sinks.read_version(spark, live))
     obs = Observation("daily_run")
     resolved = spark.read.parquet(inp.resolved) if inp.resolved else None
     landed = Observation("landed_feed")
@@ -78,7 +100,8 @@ def daily_job(spark: SparkSession, inp: DailyInputs, p: daily.DailyParams, expor
         archived = old.count()
         if archived:  # before the publish: until then the aged rows are in the live version
             sinks.write_archive(old, inp.archive, p.as_of)
-        audit.update(store_version=sinks.write_current(current, inp.store_root), archived_rows=archived)
+        audit.update(store_version=sinks.write_current(current, inp.store_root, live.number),
+                     archived_rows=archived)
         cur = sinks.read_current(spark, inp.store_root)
     if export_csv and cur is not None:
         sinks.export_csv(cur, export_csv, inp.risk_set)
@@ -90,31 +113,45 @@ def backfill_job(spark: SparkSession, store_root: str, pages: str, as_of: str,
                  start: str = C.BACKFILL_RANGE[0], end: str = C.BACKFILL_RANGE[1],
                  lexicon: str | None = None, append_only: bool = True) -> str | None:
     """PIPE2: fill missing text of the latest 3-day batch; publish only when a
-    row changed. Versioned store: returns the new version or None. Append-only
-    store: only the batch's date partitions are read, merged and overwritten
-    (dynamic partition overwrite); returns "dates:<first>..<last>" or None."""
+    row changed. Versioned store: returns the new version or None, and starts again if another
+    writer was faster. Append-only store: only the batch's date partitions are read, the changed
+    rows are appended as updates; returns "dates:<first>..<last>" or None."""
+    if not append_only:
+        return _until_published(lambda: _backfill_version(spark, store_root, pages, as_of, start, end, lexicon))
     clear_memo()
-    store = sinks.read_appended(spark, store_root) if append_only else sinks.read_current(spark, store_root)
+    store = sinks.read_appended(spark, store_root)
     if store is None:
         return None
-    lex = read_lexicon(spark, lexicon) if lexicon else default_lexicon(spark)
-    if not append_only:
-        targets = BF.batch_targets(store, start, end)
-        merged = BF.merge(store, targets, read_pages(spark, pages), lex, as_of)
-        return sinks.publish_backfill(daily.materialize(merged), store_root)
     latest = BF.candidates(store, start, end).select(F.max("published_date")).first()[0]
     if latest is None:
         return None
     first = BF.batch_first_day(latest)
     touched = store.where(F.col("published_date").between(F.lit(first), F.lit(latest)))  # pruned
     targets = BF.batch_targets(touched, start, end)
-    merged = daily.materialize(BF.merge(touched, targets, read_pages(spark, pages), lex, as_of))
-    if merged.where(F.col("backfilled")).limit(1).count() == 0:
+    merged = BF.merge(touched, targets, read_pages(spark, pages), _lexicon(spark, lexicon), as_of)
+    changed = daily.materialize(merged.where(F.col("backfilled")))
+    if changed.isEmpty():
         return None
-    sinks.overwrite_dates(merged.drop("backfilled"), store_root)
+    sinks.append_updates(changed, store_root)
     return f"dates:{first}..{latest}"
 
 
+def _backfill_version(spark: SparkSession, store_root: str, pages: str, as_of: str, start: str, end: str,
+                      lexicon: str | None) -> str | None:
+    clear_memo()
+    live = sinks.snapshot(spark, store_root)
+    store = sinks.read_version(spark, live)
+    if store is None:
+        return None
+    targets = BF.batch_targets(store, start, end)
+    merged = BF.merge(store, targets, read_pages(spark, pages), _lexicon(spark, lexicon), as_of)
+    return sinks.publish_backfill(daily.materialize(merged), store_root, live.number)
+
+
+def _lexicon(spark: SparkSession, path: str | None):
+    return read_lexicon(spark, path) if path else default_lexicon(spark)
+
+
 def digest_job(spark: SparkSession, store_root: str, out_root: str, as_of: str,
                append_only: bool = True) -> int:
     """PIPE3: per-risk digest and prompt rows of the last 4 weeks of either kind of store."""

@@ -2,13 +2,16 @@
 narrative (digest) tables.
 
 Nothing is overwritten in place while it may be read: each store write goes
-to a new version directory, and a new one-line pointer file beside the older
-ones names it; the newest pointer is the live version. A failed or retried job
-(lost executors, task retries) never leaves a half-written store behind, and
-only a path that does not exist counts as "no store": any other read error
+to a new version directory, and a numbered commit names it; the highest commit is the
+live version. A commit's file is created only if its number is free, so of two writers that read
+the same version one succeeds and the other one is told (:class:`StoreConflict`) and can
+work on from what is live now. An append-only store is never rewritten: runs append rows,
+backfills append updates of rows, and readers apply the newest update of a row.
+A failed or retried job (lost executors, task retries) never leaves a half-written store behind,
+and only a path that does not exist counts as "no store": any other read error
 stops the job. Rows are dealt out by date with a rebalance, so adaptive
-execution splits a date that holds much of the data over several files. All
-paths go through Spark's readers and writers, so they work on any file system
+execution splits a date that holds much of the data over several files. Rows go
+through Spark's readers and writers, so they work on any file system
 the cluster uses.
 """
 
@@ -18,15 +21,30 @@ import time
 import uuid
 
 from collections.abc import Callable
+from typing import NamedTuple
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskfeed.operators import store as ST
 
-POINTERS = "pointers"
+COMMITS = "commits"
+POINTERS = "pointers"  # of stores that were written before there were commits
 NO_STORE = ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")  # no folder, or a folder without a data file
+UPDATE_KEYS = ST.DEDUPE_KEYS
+UPDATED = ("summary", "sentiment", "polarity", "last_run_timestamp")
+
+
+class StoreConflict(RuntimeError):
+    """Another writer has published a version since the one that was read."""
+
+
+class Snapshot(NamedTuple):
+    """The live version of a store: the number of its commit and its path."""
+    number: int
+    path: str | None
 
 
 def read_or_none(read: Callable[[], DataFrame]) -> DataFrame | None:
@@ -45,21 +63,57 @@ def _new_version(root: str) -> str:
     return f"{root.rstrip('/')}/v={stamp}-{now % 10 ** 9:09d}-{uuid.uuid4().hex[:8]}"
 
 
-def current_version(spark: SparkSession, root: str) -> str | None:
-    """Path of the live store version (None when the store does not exist)."""
+def snapshot(spark: SparkSession, root: str) -> Snapshot:
+    """The live version; (0, None) where the store does not exist."""
     base = root.rstrip("/")
+    commits = read_or_none(lambda: spark.read.text(f"{base}/{COMMITS}"))
+    if commits is not None:
+        number, path = commits.agg(F.max("value")).first()[0].split(" ", 1)
+        return Snapshot(int(number), path)
     pointers = read_or_none(lambda: spark.read.text(f"{base}/{POINTERS}"))
-    if pointers is None:
-        if read_or_none(lambda: spark.read.parquet(f"{base}/v=*")) is not None:
-            raise RuntimeError(f"{base} holds store versions but no pointer names the live one")
-        return None
-    return pointers.agg(F.max("value")).first()[0]  # names begin with their UTC time
+    if pointers is not None:
+        return Snapshot(0, pointers.agg(F.max("value")).first()[0])  # names begin with their UTC time
+    if read_or_none(lambda: spark.read.parquet(f"{base}/v=*")) is not None:
+        raise RuntimeError(f"{base} holds store versions but no commit names the live one")
+    return Snapshot(0, None)
 
 
-def _publish(spark: SparkSession, root: str, version: str) -> None:
-    """A new pointer file beside the older ones; nothing is deleted."""
-    (spark.createDataFrame([(version,)], "value string").coalesce(1)
-     .write.mode("append").text(f"{root.rstrip('/')}/{POINTERS}"))
+def current_version(spark: SparkSession, root: str) -> str | None:
+    """Path of the live store version (None when the store does not exist)."""
+    return snapshot(spark, root).path
+
+
+def _create(spark: SparkSession, path: str, line: str) -> bool:
+    """Create a one-line file, or return False where it exists: it is written under a name that
+    readers skip, then renamed, which the file system refuses if the new name is taken."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    fs = jvm.org.apache.hadoop.fs
+    target = fs.Path(path)
+    aside = fs.Path(target.getParent(), f"_{uuid.uuid4().hex}")
+    files = fs.FileContext.getFileContext(target.getFileSystem(conf).makeQualified(target).toUri(), conf)
+    out = target.getFileSystem(conf).create(aside, False)
+    out.write(bytearray(line + "\n", "utf-8"))
+    out.close()
+    refuse = spark.sparkContext._gateway.new_array(fs.Options.Rename, 1)
+    refuse[0] = fs.Options.Rename.NONE
+    try:
+        files.rename(aside, target, refuse)
+        return True
+    except Py4JJavaError as e:
+        files.delete(aside, False)
+        if "FileAlreadyExistsException" in e.java_exception.getClass().getName():
+            return False
+        raise
+
+
+def _publish(spark: SparkSession, root: str, version: str, after: int, strict: bool) -> None:
+    """Commit a version under the number after ``after``, or, if not ``strict``, under the next one
+    that is free. Nothing is deleted."""
+    number = after + 1
+    while not _create(spark, f"{root.rstrip('/')}/{COMMITS}/{number:020d}", f"{number:020d} {version}"):
+        if strict:
+            raise StoreConflict(f"commit {number} of {root} was taken by another writer")
+        number += 1
 
 
 def _by_date(rows: DataFrame) -> DataFrame:
@@ -68,19 +122,26 @@ def _by_date(rows: DataFrame) -> DataFrame:
             .sortWithinPartitions(F.col("published_date").desc(), "link", "title"))
 
 
-def write_current(current: DataFrame, root: str) -> str:
+def write_current(current: DataFrame, root: str, based_on: int | None = None) -> str:
     """SNK1: write the in-window rows as a new version partitioned by
-    published_date (rows sorted newest first inside each file), then publish
-    its pointer."""
-    version = _new_version(root)
+    published_date (rows sorted newest first inside each file), then commit it. With the number of the
+    snapshot that the rows were made from, a version published meanwhile by another writer raises
+    :class:`StoreConflict`; without it the rows replace whatever is live."""
+    spark, version = current.sparkSession, _new_version(root)
+    after = snapshot(spark, root).number if based_on is None else based_on
     _by_date(current).write.mode("errorifexists").partitionBy("published_date").parquet(version)
-    _publish(current.sparkSession, root, version)
+    _publish(spark, root, version, after, based_on is not None)
     return version
 
 
+def read_version(spark: SparkSession, live: Snapshot) -> DataFrame | None:
+    if not live.path:
+        return None
+    return read_or_none(lambda: spark.read.parquet(live.path))  # a version without rows has no file
+
+
 def read_current(spark: SparkSession, root: str) -> DataFrame | None:
-    v = current_version(spark, root)
-    return read_or_none(lambda: spark.read.parquet(v)) if v else None  # a version without rows has no file
+    return read_version(spark, snapshot(spark, root))
 
 
 def write_archive(old: DataFrame, path: str, run: str) -> None:
@@ -111,11 +172,12 @@ def export_csv(current: DataFrame, path: str, risk_set: str = "enterprise") -> N
      .csv(path))
 
 
-def publish_backfill(updated: DataFrame, root: str) -> str | None:
-    """SNK3: publish a backfilled store only when at least one row changed."""
+def publish_backfill(updated: DataFrame, root: str, based_on: int | None = None) -> str | None:
+    """SNK3: publish a backfilled store only when at least one row changed. ``based_on`` as in
+    :func:`write_current`."""
     if updated.where(F.col("backfilled")).limit(1).count() == 0:
         return None
-    return write_current(updated.drop("backfilled"), root)
+    return write_current(updated.drop("backfilled"), root, based_on)
 
 
 def write_narratives(digest: DataFrame, root: str, run_ts: str) -> None:
@@ -139,23 +201,38 @@ def append_new(new_rows: DataFrame, root: str) -> None:
      .write.mode("append").partitionBy("published_date").parquet(f"{root.rstrip('/')}/data"))
 
 
-def read_appended(spark: SparkSession, root: str) -> DataFrame | None:
-    return read_or_none(lambda: spark.read.parquet(f"{root.rstrip('/')}/data"))
+def append_updates(rows: DataFrame, root: str) -> None:
+    """SNK3 on an append-only store: new values of the ``UPDATED`` columns for rows named by
+    ``UPDATE_KEYS``, dated. Nothing is replaced, so a run that appends rows of the same dates
+    meanwhile, or another backfill, loses nothing."""
+    (rows.select(*UPDATE_KEYS, *UPDATED, F.lit(time.time_ns()).alias("_at"))
+     .hint("rebalance", F.col("published_date"))
+     .write.mode("append").partitionBy("published_date").parquet(f"{root.rstrip('/')}/updates"))
 
 
-def read_window(spark: SparkSession, root: str, as_of: str, days: int):
+def read_appended(spark: SparkSession, root: str, updates: bool = True) -> DataFrame | None:
+    """All rows of an append-only store, the newest update applied to each. Without ``updates``
+    the rows as they were appended, which is all that links and keys need. A filter on the date
+    prunes rows and updates alike."""
+    base = root.rstrip("/")
+    data = read_or_none(lambda: spark.read.parquet(f"{base}/data"))
+    told = read_or_none(lambda: spark.read.parquet(f"{base}/updates")) if updates else None
+    if data is None or told is None:
+        return data
+    newest = ST.dedupe_keep_first(told.withColumn("_age", -F.col("_at")), UPDATE_KEYS, ["_age"])
+    newest = newest.select(*[F.col(c).alias(f"_u_{c}") for c in (*UPDATE_KEYS, *UPDATED)], F.lit(True).alias("_hit"))
+    same = data["published_date"] == newest["_u_published_date"]  # targets of a backfill are dated
+    for k in UPDATE_KEYS:
+        if k != "published_date":
+            same = same & data[k].eqNullSafe(newest[f"_u_{k}"])
+    new = {c: F.when(F.col("_hit"), F.col(f"_u_{c}")).otherwise(F.col(c)) for c in UPDATED if c in data.columns}
+    return data.join(newest, same, "left").withColumns(new).select(*data.columns)
+
+
+def read_window(spark: SparkSession, root: str, as_of: str, days: int, updates: bool = True):
     """(current, old) of an append-only store at ``as_of``; the date filter
     prunes partitions, so reading the current window never touches old files."""
-    df = read_appended(spark, root)
+    df = read_appended(spark, root, updates)
     if df is None:
         return None, None
     return ST.window_split(df, as_of, days)
-
-
-def overwrite_dates(rows: DataFrame, root: str) -> None:
-    """Replace exactly the date partitions present in ``rows`` of an
-    append-only store (dynamic partition overwrite); every other date is left
-    untouched. ``rows`` must not be a lazy read of those same partitions:
-    materialise it first (Spark refuses to overwrite a path it is reading)."""
-    (_by_date(rows).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy("published_date").parquet(f"{root.rstrip('/')}/data"))

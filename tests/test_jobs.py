@@ -145,6 +145,84 @@ def test_backfill_overwrites_only_batch_dates(spark, tmp_path):
     assert all(first <= r[0] <= last for r in changed.collect()) and changed.count() > 0
 
 
+def _stored(n, day, text="short"):
+    import datetime as dt
+    return [(1, f"t{i}", f"https://x.com/{i}", dt.date.fromisoformat(day), text, None, None, None) for i in n]
+
+
+STORED = ("risk_id int, title string, link string, published_date date, summary string, sentiment string, "
+          "polarity double, last_run_timestamp timestamp_ntz")
+
+
+def _pages(spark, tmp_path, n):
+    spark.createDataFrame([(i, f"https://x.com/{i}", f"<p>{'long enough text ' * 9}{i}</p>") for i in n],
+                          "page_id int, url string, html string").write.parquet(str(tmp_path / "pages"))
+    return str(tmp_path / "pages")
+
+
+def test_interleaved_writers_lose_no_row(spark, tmp_path, monkeypatch):
+    """A run publishes rows of the same dates while a backfill works on the version before."""
+    from riskfeed import sinks
+    pages, root = _pages(spark, tmp_path, range(6)), str(tmp_path / "s")
+    old = spark.createDataFrame(_stored(range(4), "2025-04-02"), STORED)
+    sinks.write_current(old, root)
+    write, seen = sinks.write_current, []
+
+    def faster(rows, where, based_on=None):
+        if not seen:
+            seen.append(based_on)
+            write(old.union(spark.createDataFrame(_stored([9], "2025-04-02", "x" * 99), STORED)), where)
+        return write(rows, where, based_on)
+
+    monkeypatch.setattr(sinks, "write_current", faster)
+    assert jobs.backfill_job(spark, root, pages, B.AS_OF, append_only=False) is not None
+    monkeypatch.undo()
+    got = {r["link"]: r["summary"] for r in sinks.read_current(spark, root).collect()}
+    assert len(got) == 5 and got["https://x.com/9"] == "x" * 99
+    assert all(got[f"https://x.com/{i}"].endswith(str(i)) for i in range(4))
+    assert sinks.snapshot(spark, root).number == 3
+
+
+def test_a_commit_number_is_taken_once(spark, tmp_path):
+    import pytest
+
+    from riskfeed import sinks
+    rows, root = spark.createDataFrame(_stored(range(2), "2025-04-02"), STORED), str(tmp_path / "s")
+    sinks.write_current(rows, root, 0)
+    with pytest.raises(sinks.StoreConflict):
+        sinks.write_current(rows.limit(0), root, 0)
+    assert sinks.read_current(spark, root).count() == 2
+    sinks.write_current(rows.limit(1), root)  # not based on anything: replaces what is live
+    assert sinks.snapshot(spark, root).number == 2 and sinks.read_current(spark, root).count() == 1
+
+
+def test_append_only_writers_lose_no_row(spark, tmp_path, monkeypatch):
+    """Rows appended during a backfill stay; two backfills of one row leave the newer text."""
+    from pyspark.sql import functions as F
+    from riskfeed import sinks
+    pages, root = _pages(spark, tmp_path, range(6)), str(tmp_path / "s")
+    sinks.append_new(spark.createDataFrame(_stored(range(4), "2025-04-02"), STORED), root)
+    update = sinks.append_updates
+
+    def slower(rows, where):
+        sinks.append_new(spark.createDataFrame(_stored([5, 9], "2025-04-02"), STORED), where)
+        update(rows, where)
+
+    monkeypatch.setattr(sinks, "append_updates", slower)
+    assert jobs.backfill_job(spark, root, pages, B.AS_OF) == "dates:2025-03-31..2025-04-02"
+    monkeypatch.undo()
+    assert jobs.backfill_job(spark, root, pages, B.AS_OF) is not None  # now the row that came meanwhile
+    assert jobs.backfill_job(spark, root, pages, B.AS_OF) is None      # the rest has no page
+    again = spark.createDataFrame(_stored([1], "2025-04-02", "newer text"), STORED)
+    sinks.append_updates(again.withColumn("sentiment", F.lit("neutral")), root)
+    got = {r["link"]: r["summary"] for r in sinks.read_appended(spark, root).collect()}
+    assert len(got) == 6 and got["https://x.com/1"] == "newer text" and got["https://x.com/9"] == "short"
+    assert all(got[f"https://x.com/{i}"].endswith(str(i)) for i in (0, 2, 3, 5))
+    assert {r["summary"] for r in sinks.read_appended(spark, root, updates=False).collect()} == {"short"}
+    plan = sinks.read_appended(spark, root).where("published_date >= '2025-04-01'")._jdf.queryExecution().executedPlan()
+    assert plan.toString().count("PartitionFilters: [isnotnull(published_date") == 2  # rows and updates are pruned
+
+
 def test_cli_digest_on_empty_store(spark, tmp_path, capsys):
     jobs.main(["digest", "--store-root", str(tmp_path / "none"), "--out-root", str(tmp_path / "out"),
                "--as-of", B.AS_OF])
