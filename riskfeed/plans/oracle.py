@@ -210,7 +210,7 @@ PAGE_CTES = [f"pages_n AS (SELECT page_id, {norm('url')} AS link, html FROM page
 DOCS_CTES = [
     "docs_store AS (SELECT d.doc_id, CAST(NULL AS VARCHAR) AS title, p.link, "
     "CAST(DATE '2024-01-01' + CAST(d.doc_id % 30 AS INTEGER) AS DATE) AS published_date, "
-    "d.text AS summary, CAST(NULL AS VARCHAR) AS sentiment, CAST(NULL AS DOUBLE) AS polarity, "
+    f"CASE WHEN d.doc_id % {B.BLANK_EVERY} <> 0 THEN d.text END AS summary, CAST(NULL AS VARCHAR) AS sentiment, CAST(NULL AS DOUBLE) AS polarity, "
     "CAST(NULL AS TIMESTAMP) AS last_run_timestamp "
     "FROM documents d JOIN pages_n p ON p.page_id = d.doc_id % (SELECT count(*) FROM pages))",
 ]
@@ -599,7 +599,7 @@ def oracle_sql() -> dict[str, str]:
             f"{q(C.TRANSLATED_MARKER)}) AND link IN (SELECT link FROM items) GROUP BY link)",
             f"pt2 AS (SELECT link, {blank(page_text('html'))} AS summary FROM pg2)"]
         + sentiment_ctes("pt2", "link", "summary", "ps2"),
-        "SELECT i.item_id, length(coalesce(t.summary, '')) AS summary_chars, "
+        "SELECT i.item_id, length(coalesce(t.summary, '')) AS summary_chars, md5(coalesce(t.summary, '')) AS summary_md5, "
         f"coalesce({label('s.polarity')}, 'neutral') AS sentiment, coalesce(s.polarity, 0.0) AS polarity, "
         "0 AS n_keywords FROM items i LEFT JOIN pt2 t ON t.link = i.link LEFT JOIN ps2 s ON s.link = i.link")
     s["sentiment_mix"] = with_(

@@ -270,8 +270,8 @@ def enrich_defaults(spark, sf):
     landed = B.pages(spark, sf).where(~F.col("link").contains(C.TRANSLATED_MARKER))
     feats = E.page_features(spread_for_cpu(landed), B.lexicon(spark))
     out = E.enrich(it, feats)
-    return out.select("item_id", F.length("summary").alias("summary_chars"), "sentiment", "polarity",
-                      F.size("keywords").alias("n_keywords"))
+    return out.select("item_id", F.length("summary").alias("summary_chars"), F.md5("summary").alias("summary_md5"),
+                      "sentiment", "polarity", F.size("keywords").alias("n_keywords"))
 
 
 @query

@@ -8,7 +8,8 @@ pointing at a landed page; every document is a stored mention):
   type, title = page <title>, link = page url, source = a display name from the
   user id, feed date = RFC-822 text of the event time (odd users in -0500).
 * pages: ``pages`` keyed by their normalised url.
-* docs store: ``documents`` as stored mentions dated 2024-01-01 + doc_id mod 30.
+* docs store: ``documents`` as stored mentions dated 2024-01-01 + doc_id mod 30, the text of every
+  seventh one missing (what the backfill works on grows with the table).
 
 Small dimensions (term dictionary, allow / block lists, lexicon) are fixed
 test values below, like the shipped dictionary files of the reproduced jobs.
@@ -35,6 +36,7 @@ EARLIER_AS_OF = "2024-01-20 00:00:00"     # first of two daily runs
 EARLIER_AS_OF_DATE = "2024-01-20"
 TEST_WINDOW_DAYS = 14
 TEST_ITEMS_PER_TERM = 500
+BLANK_EVERY = 7                           # stored documents whose text is missing
 FAILING_RISK = 2                          # the hooks' functions fail for it
 TEST_BACKFILL_RANGE = ("2024-01-05", "2024-01-20")
 
@@ -175,7 +177,7 @@ def docs_store(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(None).cast("string").alias("title"),
         "link",
         F.date_add(F.lit("2024-01-01").cast("date"), (F.col("doc_id") % 30).cast("int")).alias("published_date"),
-        F.col("text").alias("summary"),
+        F.when(F.col("doc_id") % BLANK_EVERY != 0, F.col("text")).alias("summary"),
         F.lit(None).cast("string").alias("sentiment"),
         F.lit(None).cast("double").alias("polarity"),
         F.lit(None).cast("timestamp_ntz").alias("last_run_timestamp"),
