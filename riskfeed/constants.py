@@ -93,9 +93,8 @@ VOID_ELEMENTS = ("area", "base", "br", "col", "embed", "hr", "img", "input", "li
 
 # Size bounds for data that is shipped whole to every task.
 MAX_INLINE_TERMS = 5000          # term array embedded into the substring test
-MAX_INLINE_LEXICON = 200_000     # lexicon embedded as a sorted literal array
+MAX_INLINE_LEXICON = 5000        # lexicon embedded as a sorted literal array
 SIGNATURE_SAMPLE = 1000          # texts whose grams say which gram of a term is the rarest
-LINEAR_LOOKUP_MAX = 32           # up to this many keys a key scan beats binary search
 MAX_BROADCAST_BYTES = 32 << 20   # allow / block lists and dictionaries broadcast as hash tables
 
 # Sentiment rule constants (published method; rule set in the survey).

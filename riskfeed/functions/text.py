@@ -37,8 +37,9 @@ def _c(col) -> Column:
     return F.col(col) if isinstance(col, str) else col
 
 
-def _once(value: Column, fn) -> Column:
-    """``fn(value)`` with the value computed once, however often ``fn`` names it."""
+def once(value: Column, fn) -> Column:
+    """``fn(value)`` with the value computed once, however often ``fn`` names it, also inside lambdas
+    (the optimiser may put a column's expression back into a lambda that reads it)."""
     return F.get(F.transform(F.array(value), fn), F.lit(0))
 
 
@@ -204,7 +205,7 @@ def blank_short(col, min_chars: int = C.MIN_ARTICLE_CHARS) -> Column:
         return F.when(F.length(t) < min_chars, F.lit("")).otherwise(t)
 
     text = F.coalesce(_c(col), F.lit(""))
-    return blank(text) if isinstance(col, str) else _once(text, blank)
+    return blank(text) if isinstance(col, str) else once(text, blank)
 
 
 def words(col) -> Column:

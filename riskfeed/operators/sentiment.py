@@ -1,11 +1,11 @@
 """SEN1: rule + lexicon sentiment over whole texts, as a map-side Spark job.
 
 Each text is tokenised and scored with higher-order functions inside the JVM
-(no Python, no shuffle). The lexicon, booster, negation and contrast tables
+(no Python). The lexicon, booster, negation and contrast tables
 are first brought to one row per lower-cased token (the strongest value, of equally strong ones
 the positive), then shipped to the tasks as literals, after a check of their size
-(higher-order functions cannot hold subqueries); a lexicon beyond that bound is joined to the exploded tokens
-instead (shuffle on the token, then the tokens are regrouped per text), with the same scores.
+(higher-order functions cannot hold subqueries); a larger lexicon is joined to the exploded tokens
+instead, with the same scores.
 
 Rules (published rule + lexicon method; constants in ``constants``):
  1. tokens = whitespace split, ASCII punctuation stripped from both edges,
@@ -28,7 +28,8 @@ from pyspark.sql import functions as F
 
 from riskfeed import constants as C
 from riskfeed.functions import text as X
-from riskfeed.operators.common import _memo, double_array_literal, literal_map, string_array_literal
+from riskfeed.operators.common import (_memo, double_array_literal, literal_map, maybe_broadcast,
+                                       string_array_literal)
 
 _EDGE_PUNCT = rf"^{X.PUNCT_CLASS}+|{X.PUNCT_CLASS}+$"
 
@@ -65,29 +66,21 @@ class Lexicon:
         self.negations = negations
         self.contrasts = contrasts
 
-    def valence_lookup(self, bound: int = C.MAX_INLINE_LEXICON):
-        """Function token -> valence (0.0 when absent), or None when the lexicon
-        exceeds ``bound``. Binary search over a sorted literal key array: map
-        lookups scan their keys, a real lexicon has thousands of entries."""
+    def inline(self, bound: int = C.MAX_INLINE_LEXICON):
+        """The lexicon as literals: the array of its words with a valence other than 0, and a function
+        from one of them to its valence. None when it exceeds ``bound`` words."""
         sel = one_per_token(self.valences, "valence")
         rows = _memo(sel, "rows", bound, lambda: sel.limit(bound + 1).collect())
         if len(rows) > bound:
             return None
-        table = {}
-        for k, v in rows:
-            table[k] = v
-        keys = sorted(table, key=lambda k: k.encode("utf-8"))  # Spark compares strings bytewise
-        if not keys:
-            return lambda w: F.lit(0.0)
+        table = dict(rows)
+        keys = sorted((k for k, v in table.items() if v), key=lambda k: k.encode("utf-8"))  # Spark's order of strings
         karr = string_array_literal(keys)
         varr = double_array_literal([table[k] for k in keys])
-        if len(keys) <= C.LINEAR_LOOKUP_MAX:
-            m = F.map_from_arrays(karr, varr)
-            return lambda w: F.coalesce(F.try_element_at(m, w), F.lit(0.0))
         n = len(keys)
-        steps = max(1, n.bit_length())
 
-        def lookup(w: Column) -> Column:
+        def valence(w: Column) -> Column:
+            """Binary search; ``w`` is one of the keys."""
             init = F.struct(F.lit(1).alias("lo"), F.lit(n).alias("hi"))
 
             def step(st, _):
@@ -96,11 +89,10 @@ class Lexicon:
                 return F.struct(F.when(go_right, mid + 1).otherwise(st["lo"]).alias("lo"),
                                 F.when(go_right, st["hi"]).otherwise(mid).alias("hi"))
 
-            found = F.aggregate(F.array_repeat(F.lit(0), steps), init, step)
-            pos = found["lo"]
-            return F.when(F.get(karr, pos - 1) == w, F.get(varr, pos - 1)).otherwise(F.lit(0.0))
+            found = F.aggregate(F.array_repeat(F.lit(0), n.bit_length()), init, step)
+            return F.get(varr, found["lo"] - 1)
 
-        return lookup
+        return karr, valence
 
     def rule_maps(self, bound: int = C.MAX_INLINE_LEXICON):
         """Booster, negation and contrast maps: word lists of the language's rules."""
@@ -111,59 +103,37 @@ class Lexicon:
         )
 
 
-def _shift(arr: Column, n: Column, d: int, fill) -> Column:
-    """arr shifted right by d positions (element i holds arr[i-d]), padded with fill."""
-    pad = F.array_repeat(F.lit(fill), F.least(F.lit(d), n))
-    return F.concat(pad, F.slice(arr, 1, F.greatest(n - d, F.lit(0))))
+def _first_contrast(low: Column, contrast_m: Column) -> Column:
+    """Place of the first contrast word (from 1), 0 without one."""
+    return F.array_position(F.transform(low, lambda w: F.coalesce(F.try_element_at(contrast_m, w), F.lit(False))), True)
 
 
-def _score_stages(df: DataFrame, text_col: str, boost_m: Column, neg_m: Column,
-                  contrast_m: Column, out_col: str) -> DataFrame:
-    """Steps 2-6 on a frame that has ``_tok`` (tokens) and ``_base`` (base valences).
+def _score_hits(df: DataFrame, text_col: str, boost_m: Column, neg_m: Column,
+                contrast_m: Column, out_col: str) -> DataFrame:
+    """Steps 2-6 on a frame that has ``_tok`` / ``_low`` (tokens, lower-cased) and ``_hits``: the
+    places (from 0) and valences of lexicon words, in order.
 
-    Each intermediate array is its own projected column, so every array is
-    computed once per row (the optimizer does not share sub-expressions inside
-    higher-order functions, and keeps a projection that is read several times).
-    Neighbour lookups use shifted copies zipped together: linear in text length.
-    """
-    tok, n = F.col("_tok"), F.size("_tok")
-    st = df if "_low" in df.columns else df.withColumn("_low", F.transform(tok, lambda w: F.lower(w)))
-    low = F.col("_low")
-    st = st.withColumns({
-        "_caps": F.transform(tok, lambda w: w.rlike("^[A-Z]+$")),
-        "_boost": F.transform(low, lambda w: F.coalesce(F.try_element_at(boost_m, w), F.lit(0.0))),
-        "_neg": F.transform(low, lambda w: F.coalesce(F.try_element_at(neg_m, w), F.lit(False))),
-        "_fc": F.array_position(F.transform(
-            low, lambda w: F.coalesce(F.try_element_at(contrast_m, w), F.lit(False))), True),
-    })
-    st = st.withColumn("_mx", F.exists("_caps", lambda c: c) & F.exists("_caps", lambda c: ~c))
-    boost, neg = F.col("_boost"), F.col("_neg")
-    st = st.withColumn("_z", F.arrays_zip(
-        F.col("_base").alias("v0"), F.col("_caps").alias("cap"),
-        _shift(boost, n, 1, 0.0).alias("b1"), _shift(boost, n, 2, 0.0).alias("b2"),
-        _shift(boost, n, 3, 0.0).alias("b3"),
-        _shift(neg, n, 1, False).alias("n1"), _shift(neg, n, 2, False).alias("n2"),
-        _shift(neg, n, 3, False).alias("n3")))
-    fc, mx = F.col("_fc"), F.col("_mx")
-
-    def one(e, i):
-        v0 = e["v0"]
+    Only the three words before a hit are looked up as boosters and negations, and only a hit of
+    capitals asks whether the text has other tokens; nothing else is computed per token."""
+    low, n = F.col("_low"), F.size("_tok")
+
+    def one(h, text):
+        i, v0 = h["i"], h["v"]
         sign = F.signum(v0)
-        v1 = F.when(e["cap"] & mx, v0 + sign * C.SENT_CAPS_INCREMENT).otherwise(v0)
-        v2 = v1
-        for key, damp in zip(("b1", "b2", "b3"), C.SENT_BOOSTER_DAMPING):
-            v2 = v2 + sign * e[key] * damp
-        v3 = v2
-        for key in ("n1", "n2", "n3"):
-            v3 = F.when(e[key], v3 * C.SENT_NEGATION_SCALAR).otherwise(v3)
-        pos = i + 1
-        v4 = (F.when(fc == 0, v3)
-              .when(pos < fc, v3 * C.SENT_CONTRAST_BEFORE)
-              .when(pos > fc, v3 * C.SENT_CONTRAST_AFTER)
-              .otherwise(v3))
-        return F.when(v0 == 0, F.lit(0.0)).otherwise(v4)
-
-    st = st.withColumn("_s", F.aggregate(F.transform("_z", one), F.lit(0.0), lambda a, x: a + x))
+        v = F.when(F.get("_tok", i).rlike("^[A-Z]+$") & text["plain"], v0 + sign * C.SENT_CAPS_INCREMENT).otherwise(v0)
+        for d, damp in zip((1, 2, 3), C.SENT_BOOSTER_DAMPING):
+            v = v + sign * F.coalesce(F.try_element_at(boost_m, F.get(low, i - d)), F.lit(0.0)) * damp
+        for d in (1, 2, 3):
+            v = v * F.when(F.coalesce(F.try_element_at(neg_m, F.get(low, i - d)), F.lit(False)),
+                           F.lit(C.SENT_NEGATION_SCALAR)).otherwise(F.lit(1.0))
+        place, first = i + 1, text["first"]
+        return v * (F.when((first == 0) | (place == first), F.lit(1.0))
+                    .when(place < first, F.lit(C.SENT_CONTRAST_BEFORE)).otherwise(F.lit(C.SENT_CONTRAST_AFTER)))
+
+    text = F.struct(_first_contrast(low, contrast_m).alias("first"),
+                    F.exists("_tok", lambda w: ~w.rlike("^[A-Z]+$")).alias("plain"))
+    total = X.once(text, lambda t: F.aggregate(F.transform("_hits", lambda h: one(h, t)), F.lit(0.0), lambda a, x: a + x))
+    st = df.withColumn("_s", F.when(F.size("_hits") > 0, total).otherwise(F.lit(0.0)))
     t = F.coalesce(F.col(text_col), F.lit(""))
     n_excl = F.length(t) - F.length(F.replace(t, F.lit("!"), F.lit("")))
     n_q = F.length(t) - F.length(F.replace(t, F.lit("?"), F.lit("")))
@@ -175,7 +145,7 @@ def _score_stages(df: DataFrame, text_col: str, boost_m: Column, neg_m: Column,
     s2 = F.col("_s2")
     st = st.withColumn(out_col, F.when(n == 0, F.lit(0.0)).otherwise(
         F.round(s2 / F.sqrt(s2 * s2 + C.SENT_NORMALIZE_ALPHA), 4)))
-    return (st.drop("_tok", "_base", "_low", "_caps", "_boost", "_neg", "_fc", "_mx", "_z", "_s", "_s2")
+    return (st.drop("_tok", "_low", "_hits", "_s", "_s2")
             .withColumn(out_col + "_label", label(F.col(out_col))))
 
 
@@ -190,28 +160,38 @@ def score_texts(df: DataFrame, text_col: str, key_col: str, lex: Lexicon,
                 out_col: str = "compound", bound: int = C.MAX_INLINE_LEXICON) -> DataFrame:
     """Add ``out_col`` (compound) and ``<out_col>_label`` to ``df``.
 
-    Inline path when the lexicon is within its size bound; otherwise tokens are
-    exploded, joined to the lexicon (shuffle on token; the lexicon side is unique
-    per token), regrouped per row in position order and scored with the
-    same rules. ``key_col`` need not be unique: the rows are numbered and written once, so
+    Hits come first: where a text has lexicon words. Up to ``bound`` words the lexicon is a sorted
+    literal array: the distinct words of a text that it holds are found by a hash set and
+    valued by binary search, no row moves. Beyond it the tokens are exploded and joined to the
+    lexicon (broadcast if its size is proven small), and only the hits are regrouped per row.
+    ``key_col`` need not be unique: the rows are numbered and written once, so
     their numbers hold on both sides of the join back.
     """
-    val_of = lex.valence_lookup(bound)
-    boost_m, neg_m, contrast_m = lex.rule_maps()
-    if val_of is not None:
+    inline = lex.inline(bound)
+    maps = lex.rule_maps()
+    if inline is not None:
+        words, valence = inline
+        low = F.col("_low")
+
+        def hits(own, values):
+            at = F.filter(F.transform(low, lambda w, i: F.struct(i.alias("i"), F.array_position(own, w).cast("int").alias("p"))),
+                          lambda h: h["p"] > 0)
+            return F.transform(at, lambda h: F.struct(h["i"].alias("i"), F.get(values, h["p"] - 1).alias("v")))
+
         staged = df.withColumn("_tok", tokens(F.col(text_col)))
         staged = staged.withColumn("_low", F.transform("_tok", lambda w: F.lower(w)))
-        staged = staged.withColumn("_base", F.transform("_low", val_of))
-        return _score_stages(staged, text_col, boost_m, neg_m, contrast_m, out_col)
+        staged = staged.withColumn("_hits", X.once(F.array_intersect(low, words), lambda own: F.when(
+            F.size(own) > 0, X.once(F.transform(own, valence), lambda values: hits(own, values)))
+            .otherwise(F.array().cast("array<struct<i:int,v:double>>"))))
+        return _score_hits(staged, text_col, *maps, out_col)
     from riskfeed.plans.daily import materialize
     df = materialize(df.withColumn("_row", F.monotonically_increasing_id()))
-    exploded = df.select("_row", F.posexplode(tokens(F.col(text_col))).alias("pos", "tok"))
-    val = one_per_token(lex.valences, "valence").select(F.col("k").alias("_lk"), F.col("v").alias("_v"))
-    joined = exploded.join(val, F.lower(exploded["tok"]) == val["_lk"], "left")
-    regrouped = joined.groupBy("_row").agg(
-        F.sort_array(F.collect_list(F.struct("pos", "tok", F.coalesce("_v", F.lit(0.0)).alias("v")))).alias("_t"))
-    staged = (df.join(regrouped, "_row", "left")
-              .withColumn("_tok", F.coalesce(F.transform("_t", lambda e: e["tok"]), F.array().cast("array<string>")))
-              .withColumn("_base", F.coalesce(F.transform("_t", lambda e: e["v"]), F.array().cast("array<double>")))
-              .drop("_t", "_row"))
-    return _score_stages(staged, text_col, boost_m, neg_m, contrast_m, out_col)
+    words = df.select("_row", F.posexplode(tokens(F.col(text_col))).alias("i", "w")).withColumn("k", F.lower("w"))
+    values = one_per_token(lex.valences, "valence").where("v <> 0")
+    met = words.join(maybe_broadcast(values, C.MAX_BROADCAST_BYTES), "k").select("_row", "i", "v")
+    hits = met.groupBy("_row").agg(F.array_sort(F.collect_list(F.struct("i", "v"))).alias("_hits"))
+    staged = df.join(hits, "_row", "left").drop("_row")
+    staged = staged.withColumn("_hits", F.coalesce("_hits", F.array().cast("array<struct<i:int,v:double>>")))
+    staged = staged.withColumn("_tok", tokens(F.col(text_col)))
+    staged = staged.withColumn("_low", F.transform("_tok", lambda w: F.lower(w)))
+    return _score_hits(staged, text_col, *maps, out_col)

@@ -198,21 +198,53 @@ def test_sentiment_join_path_equals_inline(spark):
     assert joined == inline and len(inline) == docs.count()
 
 
-def test_binary_search_lookup_equals_map(spark):
+def _scored_by_hand(text, valences, boosters, negations, contrasts):
+    """The rules word by word, in plain Python."""
+    import re
+
     from riskfeed import constants as C
+    text = text or ""
+    toks = [w for w in (re.sub(r"^[!-/:-@\\[-`{-~]+|[!-/:-@\\[-`{-~]+$", "", w) for w in text.split()) if w]
+    low, caps = [w.lower() for w in toks], [re.fullmatch("[A-Z]+", w) is not None for w in toks]
+    mixed, total = any(caps) and not all(caps), 0.0
+    first = next((i for i, w in enumerate(low) if w in contrasts), None)
+    for i, w in enumerate(low):
+        v = valences.get(w, 0.0)
+        if not v:
+            continue
+        sign = 1 if v > 0 else -1
+        v += sign * C.SENT_CAPS_INCREMENT if caps[i] and mixed else 0
+        before = [(low[i - d], damp) for d, damp in zip((1, 2, 3), C.SENT_BOOSTER_DAMPING) if i >= d]
+        for b, damp in before:
+            v += sign * boosters.get(b, 0.0) * damp
+        for b, _ in before:
+            v *= C.SENT_NEGATION_SCALAR if b in negations else 1
+        if first is not None and i != first:
+            v *= C.SENT_CONTRAST_BEFORE if i < first else C.SENT_CONTRAST_AFTER
+        total += v
+    asks = text.count("?")
+    loud = min(text.count("!"), C.SENT_EXCLAIM_MAX) * C.SENT_EXCLAIM_WEIGHT + (
+        C.SENT_QUESTION_MAX if asks > 3 else asks * C.SENT_QUESTION_WEIGHT if asks > 1 else 0.0)
+    total += loud if total > 0 else -loud if total < 0 else 0
+    return total / (total * total + C.SENT_NORMALIZE_ALPHA) ** 0.5 if toks else 0.0
+
+
+def test_scores_are_those_of_the_rules_word_by_word(spark):
+    import random
+
     from riskfeed.operators import sentiment as S
     from riskfeed.sources import binding as B
-    from tests.conftest import SF_SMALL
-    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet").select("doc_id", "text")
-    lex = B.lexicon(spark)
-    saved = C.LINEAR_LOOKUP_MAX
-    try:
-        C.LINEAR_LOOKUP_MAX = 0
-        bs = {r["doc_id"]: r["compound"] for r in S.score_texts(docs, "text", "doc_id", lex).collect()}
-    finally:
-        C.LINEAR_LOOKUP_MAX = saved
-    lin = {r["doc_id"]: r["compound"] for r in S.score_texts(docs, "text", "doc_id", lex).collect()}
-    assert bs == lin
+    rng = random.Random(5)
+    words = [w for w, _ in B.TEST_VALENCES] + ["was", "very", "no", "not", "for", "plain", "other", "?", "!!", "(x)"]
+    texts = [" ".join(w.upper() if rng.random() < 0.2 else w.title() + "," if rng.random() < 0.2 else w
+                      for w in rng.choices(words, k=rng.randrange(25))) for _ in range(200)] + [None, "", "THE AND"]
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, text string")
+    args = dict(B.TEST_VALENCES), dict(B.TEST_BOOSTERS), set(B.TEST_NEGATIONS), set(B.TEST_CONTRASTS)
+    for bound in (5000, 0):
+        got = S.score_texts(df, "text", "i", B.lexicon(spark), bound=bound).orderBy("i").collect()
+        assert [r["text"] for r in got] == texts
+        for r in got:
+            assert abs(r["compound"] - _scored_by_hand(r["text"], *args)) <= 5.1e-5, r["text"]
 
 
 def test_large_dictionary_gives_the_same_flags(spark):
