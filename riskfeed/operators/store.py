@@ -52,6 +52,10 @@ def _window_cutoff(as_of: str, days: int) -> Column:
     return F.expr(f"CAST('{as_of}' AS TIMESTAMP_NTZ) - make_interval(0, 0, 0, {int(days)})")
 
 
+def in_window(as_of: str, days: int = C.WINDOW_DAYS) -> Column:
+    return F.col("published_date").cast("timestamp_ntz") >= _window_cutoff(as_of, days)
+
+
 def window_split(df: DataFrame, as_of: str, days: int = C.WINDOW_DAYS):
     """FLT10: (current, old); current = published on / after as_of - days
     (timestamp compare, so midnight of the cutoff day is old unless the run is

@@ -9,7 +9,8 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from riskfeed import constants as C
@@ -38,6 +39,39 @@ class DailyParams:
         return self.as_of[:10]
 
 
+def observed(observation: Observation, otherwise) -> dict:
+    """An observation's metrics, or ``otherwise()`` where adaptive execution left the observed
+    part out of the plan (its rows turned out not to matter, for example beside an empty side)."""
+    try:
+        return dict(observation.get)
+    except Py4JJavaError:
+        return otherwise()
+
+
+class StoreAudit:
+    """Counts of the stored rows and of their distinct links, observed where a run reads them for its
+    seen-link gate: no pass over the store is made for them. Only a run without any item to test
+    never reads the links; then they are counted."""
+
+    def __init__(self, name: str = "store"):
+        self.rows, self.distinct, self.stored = Observation(f"{name}_rows"), Observation(f"{name}_links"), None
+
+    def links(self, stored: DataFrame) -> DataFrame:
+        self.stored = stored
+        counted = stored.observe(self.rows, F.count(F.lit(1)).alias("stored_rows"))
+        return G.existing_links(counted).observe(self.distinct, F.count(F.lit(1)).alias("existing_links"))
+
+    @property
+    def get(self) -> dict:
+        """After the run's first action; zeros where there was no store."""
+        if self.stored is None:
+            return {"stored_rows": 0, "existing_links": 0}
+        links = G.existing_links(self.stored).select(F.count(F.lit(1)).alias("existing_links"))
+        rows = self.stored.agg(F.count(F.lit(1)).alias("stored_rows"))
+        return (observed(self.rows, lambda: rows.first().asDict())
+                | observed(self.distinct, lambda: links.first().asDict()))
+
+
 def materialize(df: DataFrame) -> DataFrame:
     """Cut lineage of a small intermediate that is read more than once."""
     from riskfeed.session import ensure_checkpoint_dir
@@ -47,11 +81,13 @@ def materialize(df: DataFrame) -> DataFrame:
 
 def new_mentions(raw_items: DataFrame, dictionary: DataFrame, pages: DataFrame,
                  block: DataFrame, allow: DataFrame, lex: Lexicon,
-                 stored: DataFrame | None, p: DailyParams) -> DataFrame:
+                 stored: DataFrame | None, p: DailyParams, audit: "StoreAudit | None" = None) -> DataFrame:
     """Scored new mention rows of one run (before the union with the store)."""
     terms = G.valid_terms(dictionary, p.max_terms)
     items = G.restrict_to_terms(G.normalize_items(raw_items), terms)
-    seen = G.existing_links(stored) if stored is not None else None
+    seen = None
+    if stored is not None:
+        seen = audit.links(stored) if audit else G.existing_links(stored)
     items = G.link_gates(items, block, seen)
     if p.max_items_per_term is not None:
         items = G.top_k_per_term(items, p.max_items_per_term)
@@ -74,11 +110,11 @@ def new_mentions(raw_items: DataFrame, dictionary: DataFrame, pages: DataFrame,
 
 def new_rows(raw_items: DataFrame, dictionary: DataFrame, pages: DataFrame, block: DataFrame,
              allow: DataFrame, lex: Lexicon, stored: DataFrame | None, p: DailyParams,
-             observation=None) -> DataFrame:
+             observation=None, store_audit: "StoreAudit | None" = None) -> DataFrame:
     """The rows that one run adds to the store. With a ``pyspark.sql.Observation`` the run
     audit counts (new rows, their null dates, their mean quality score) are
     collected as a side effect of the first action, without an extra pass."""
-    new = new_mentions(raw_items, dictionary, pages, block, allow, lex, stored, p)
+    new = new_mentions(raw_items, dictionary, pages, block, allow, lex, stored, p, store_audit)
     # keep-first dedupe on (title, link, published_date), stored rows first.
     # The store is already duplicate-free, and every new row passed the recency
     # gate (date >= as_of_date - recency_days), so only that date slice of the
@@ -94,7 +130,8 @@ def new_rows(raw_items: DataFrame, dictionary: DataFrame, pages: DataFrame, bloc
     if observation is not None:
         new = new.observe(observation, F.count(F.lit(1)).alias("new_rows"),
                           F.count_if(F.col("published_date").isNull()).alias("new_null_dates"),
-                          F.avg("quality_score").alias("new_mean_score"))
+                          F.avg("quality_score").alias("new_mean_score"),
+                          F.count_if(ST.in_window(p.as_of, p.window_days)).alias("new_current_rows"))
     return new.select(*OUTPUT_COLUMNS)
 
 

@@ -10,7 +10,7 @@ from __future__ import annotations
 import argparse
 from dataclasses import dataclass
 
-from pyspark.sql import SparkSession
+from pyspark.sql import Observation, SparkSession
 from pyspark.sql import functions as F
 
 from riskfeed import constants as C
@@ -20,7 +20,7 @@ from riskfeed.operators import digest as DG
 from riskfeed.operators.common import clear_memo
 from riskfeed.plans import daily
 from riskfeed.sources import lists
-from riskfeed.sources.feed import landed_files, read_feed, read_pages, unreadable_files
+from riskfeed.sources.feed import count_files, landed_files, read_feed, read_pages, unreadable_files
 from riskfeed.sources.lexicon import default_lexicon, read_lexicon
 
 
@@ -68,7 +68,6 @@ def daily_job(spark: SparkSession, inp: DailyInputs, p: daily.DailyParams, expor
 
 def _daily_job(spark: SparkSession, inp: DailyInputs, p: daily.DailyParams, export_csv: str | None,
                append_only: bool) -> dict:
-    from pyspark.sql import Observation
     clear_memo()
     dictionary = lists.decode_dictionary(lists.read_terms(spark, inp.terms_csv, inp.risk_set))
     block = lists.read_source_list(spark, inp.block_csv) if inp.block_csv else lists.normalize_list(
@@ -81,31 +80,37 @@ def _daily_job(spark: SparkSession, inp: DailyInputs, p: daily.DailyParams, expo
     live = sinks.snapshot(spark, inp.store_root) if not append_only else None
     stored = (sinks.read_window(spark, inp.store_root, p.as_of, p.window_days, updates=False)[0] if append_only
               else sinks.read_version(spark, live))
-    obs = Observation("daily_run")
+    obs, landed, store_audit = Observation("daily_run"), Observation("landed_feed"), daily.StoreAudit()
     resolved = spark.read.parquet(inp.resolved) if inp.resolved else None
-    landed = Observation("landed_feed")
     new = daily.new_rows(read_feed(spark, inp.feed_root, resolved, landed), dictionary, read_pages(spark, inp.pages),
-                         block, allow, lex, stored, p, obs)
-    new = daily.materialize(new)   # once: the store, the audit and the archive read it
-    audit = dict(obs.get) | dict(landed.get)
+                         block, allow, lex, stored, p, obs, store_audit)
+    new = daily.materialize(new)   # once: the store and the archive read it
+    # every count below is observed while the rows are read or written for the run itself
+    nothing = {"new_rows": 0, "new_null_dates": 0, "new_mean_score": None, "new_current_rows": 0}
+    audit = (daily.observed(obs, lambda: nothing) | store_audit.get
+             | daily.observed(landed, lambda: count_files(landed_files(spark, inp.feed_root))))
+    audit["combined_rows"] = audit["stored_rows"] + audit["new_rows"]
+    in_window = audit.pop("new_current_rows")
     if audit["unreadable_files"] and inp.quarantine:
         sinks.write_quarantine(unreadable_files(landed_files(spark, inp.feed_root)), inp.quarantine, p.as_of)
-    before = stored.select(F.count(F.lit(1)), F.count_distinct("link")).first() if stored is not None else (0, 0)
-    audit.update(stored_rows=before[0], existing_links=before[1], combined_rows=before[0] + audit["new_rows"])
     if append_only:
         sinks.append_new(new, inp.store_root)
-        cur, _ = sinks.read_window(spark, inp.store_root, p.as_of, p.window_days)
+        audit["current_rows"] = audit["stored_rows"] + in_window  # what was read of the store is its window
     else:
         current, old = daily.with_store(stored, new, p)
-        archived = old.count()
-        if archived:  # before the publish: until then the aged rows are in the live version
-            sinks.write_archive(old, inp.archive, p.as_of)
-        audit.update(store_version=sinks.write_current(current, inp.store_root, live.number),
-                     archived_rows=archived)
-        cur = sinks.read_current(spark, inp.store_root)
-    if export_csv and cur is not None:
-        sinks.export_csv(cur, export_csv, inp.risk_set)
-    audit.update(current_rows=cur.count() if cur is not None else 0)
+        archived, kept = Observation("archived"), Observation("current")
+        audit["archived_rows"] = 0
+        if not old.isEmpty():  # before the publish: until then the aged rows are in the live version
+            sinks.write_archive(old.observe(archived, F.count(F.lit(1)).alias("n")), inp.archive, p.as_of)
+            audit["archived_rows"] = daily.observed(archived, lambda: {"n": 0})["n"]
+        audit["store_version"] = sinks.write_current(
+            current.observe(kept, F.count(F.lit(1)).alias("n")), inp.store_root, live.number)
+        audit["current_rows"] = daily.observed(kept, lambda: {"n": 0})["n"]
+    if export_csv:
+        cur = (sinks.read_window(spark, inp.store_root, p.as_of, p.window_days)[0] if append_only
+               else sinks.read_current(spark, inp.store_root))
+        if cur is not None:
+            sinks.export_csv(cur, export_csv, inp.risk_set)
     return audit
 
 

@@ -55,6 +55,14 @@ def _unreadable(x: str = "x") -> Column:
     return F.coalesce((F.trim("value") == "") | F.col(f"{x}._unreadable").isNotNull() | F.col(x).isNull(), F.lit(True))
 
 
+def _file_counts() -> list[Column]:
+    return [F.count(F.lit(1)).alias("landed_files"), F.count_if(_unreadable()).alias("unreadable_files")]
+
+
+def count_files(files: DataFrame) -> dict:
+    return files.select("value", _parsed().alias("x")).agg(*_file_counts()).first().asDict()
+
+
 def unreadable_files(files: DataFrame) -> DataFrame:
     """The landed files that give no items because they cannot be read: path, n_bytes, head."""
     return (files.select("path", "value", _parsed().alias("x")).where(_unreadable())
@@ -74,8 +82,7 @@ def feed_to_raw_items(files: DataFrame, resolved: DataFrame | None = None, obser
     reads the items also counts ``landed_files`` and ``unreadable_files``."""
     files = files.select("path", "value", _parsed().alias("x"))
     if observation is not None:
-        files = files.observe(observation, F.count(F.lit(1)).alias("landed_files"),
-                              F.count_if(_unreadable()).alias("unreadable_files"))
+        files = files.observe(observation, *_file_counts())
     feed = files.select(_folder(F.col("path"), "term").alias("term"),
                         F.expr("try_cast(regexp_extract(path, '/result_page=([^/]*)/', 1) AS int)").alias("result_page"),
                         "x")

@@ -82,6 +82,41 @@ def test_unreadable_feed_files_are_counted_and_listed(spark, tmp_path):
     assert whole["unreadable_files"] == 0 and whole["landed_files"] > 4
 
 
+def test_audit_counts_are_observed(spark, tmp_path, monkeypatch):
+    """Both kinds of store: the audit's counts are right, and no count is run over the store."""
+    import dataclasses
+
+    from pyspark.sql import functions as F
+    from riskfeed import sinks
+    inp = _inputs(spark, tmp_path)
+    frame = type(spark.range(1))
+    count = frame.count
+
+    def spy(self):
+        assert not any(str(tmp_path / "store") in f or str(tmp_path / "app") in f for f in self.inputFiles())
+        return count(self)
+
+    for append_only, root in ((True, "app"), (False, "store")):
+        run = dataclasses.replace(inp, store_root=str(tmp_path / root))
+        audits = []
+        for as_of in (B.EARLIER_AS_OF, B.AS_OF):
+            p = daily.DailyParams(as_of=as_of, window_days=B.TEST_WINDOW_DAYS)
+            with monkeypatch.context() as m:
+                m.setattr(frame, "count", spy)
+                audits.append(jobs.daily_job(spark, run, p, append_only=append_only))
+        now = (sinks.read_window(spark, run.store_root, B.AS_OF, B.TEST_WINDOW_DAYS)[0] if append_only
+               else sinks.read_current(spark, run.store_root))
+        assert audits[0]["stored_rows"] == audits[0]["existing_links"] == 0 < audits[0]["new_rows"]
+        assert audits[1]["current_rows"] == now.count()
+        before = now.where(F.col("last_run_timestamp") == F.lit(B.EARLIER_AS_OF).cast("timestamp_ntz"))
+        if append_only:
+            assert audits[1]["stored_rows"] == before.count()
+            assert audits[1]["existing_links"] == before.select("link").distinct().count()
+        else:
+            assert audits[1]["stored_rows"] == audits[0]["current_rows"]
+        assert audits[1]["combined_rows"] == audits[1]["stored_rows"] + audits[1]["new_rows"]
+
+
 def test_failed_archive_loses_no_row(spark, tmp_path, monkeypatch):
     """Aged rows are archived before the publish: a run that fails there can be repeated."""
     import dataclasses
