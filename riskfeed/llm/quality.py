@@ -1,12 +1,13 @@
 """Operator 3: quality classifier from weak labels.
 
 Overlapping heuristic labellers each vote bad, good or nothing on every document; where
-annotators have labelled documents, their label is one vote more and is trusted
-(``TRUST``). The votes of a document form a pattern; the counts of the patterns over the whole corpus (3^m patterns at most)
+annotators have labelled documents, they are one labeller more, whose accuracy is estimated like
+that of the others (their labels are only where the estimation starts). The votes of a document
+form a pattern; the counts of the patterns over the whole corpus (3^m patterns at most)
 are all that expectation-maximisation needs to estimate how often each labeller is right
 on good and on bad documents, and the posterior of every pattern. The posterior labels of a
-hash sample of about ``MAX_TRAIN`` documents (annotated ones, if there are any) train a
-linear scorer over hashed features (words, word beginnings, word shapes, repetition), and
+hash sample of about ``MAX_TRAIN`` of all documents, annotated or not, train (except those on
+which nobody voted) a linear scorer over hashed features (words, word beginnings, word shapes, repetition), and
 the scorer judges every document. Two aspects are learned this way: writing quality and
 toxicity.
 
@@ -30,16 +31,17 @@ from riskfeed.llm.common import mix64, plain_words, stage, word_hashes
 
 BUCKETS = 1 << 18
 MAX_TRAIN = 12_000
-MIN_TRAIN = 1_000       # with fewer annotated documents, others join them
 MIN_DOCS = 4            # a hashed feature must occur in so many training documents
 EM_ROUNDS = 60
+ANNOTATORS = 0.98       # expected accuracy of the annotators, and the weight of this expectation
+ANNOTATOR_WEIGHT = 3.0  # beside their votes
 CHANCE = 4.0            # and its documents' labels must lie so many standard errors off the average
 EPOCHS = 300
 RIDGE = 1e-4
 CUT = 0.5
-TRUST = 0.98            # how far annotators are trusted
 
-# fixed values: abusive words of the toxicity labellers, in overlapping groups
+# abusive words, an own choice in overlapping groups: each group is one toxicity labeller, right as
+# often as the estimation finds
 INSULTS = (
     ("idiot", "moron", "stupid", "imbecile", "dumb", "fool", "idiota", "dumm", "idiote", "loser", "clown"),
     ("trash", "scum", "filth", "garbage", "vermin", "worthless", "pathetic", "loser", "basura", "abschaum"),
@@ -104,29 +106,31 @@ def quality_votes(raw: bytes) -> list[int]:
     ]
 
 
-_INSULT_HASHES = [np.unique(word_hashes(" ".join(g).encode())[0]) for g in INSULTS]
+_INSULT_HASHES = np.unique(word_hashes(" ".join(w for g in INSULTS for w in g).encode())[0])
+_INSULT_GROUPS = np.array([sum(1 << i for i, g in enumerate(INSULTS) if h in word_hashes(" ".join(g).encode())[0])
+                           for h in _INSULT_HASHES])
 
 
 def toxicity_votes(plain: bytes) -> list[int]:
-    words = np.unique(word_hashes(plain)[0])
-    return [BAD if np.isin(g, words, assume_unique=True).any() else GOOD for g in _INSULT_HASHES]
+    words = word_hashes(plain)[0]
+    at = np.minimum(np.searchsorted(_INSULT_HASHES, words), len(_INSULT_HASHES) - 1)
+    groups = int(np.bitwise_or.reduce(_INSULT_GROUPS[at[_INSULT_HASHES[at] == words]], initial=0))
+    return [BAD if groups >> i & 1 else NONE for i in range(len(INSULTS))]
 
 
 # ------------------------------------------------------------------ label model
 
 @dataclass
 class LabelModel:
-    """Two classes; per labeller the rates of its good vote, given that it votes. A vote after
-    those of the labellers is the annotators'."""
+    """Two classes; per labeller the rates of its good vote, given that it votes. A labeller that only
+    ever votes bad (a word list, silent on most bad documents too) is judged by how often it
+    speaks on either class; its silence says nothing."""
     prior: float
     good_if_good: list[float]
     good_if_bad: list[float]
 
     def posterior(self, votes: str) -> float:
         """Probability that the document is good."""
-        gold = int(votes[-1]) if len(votes) > len(self.good_if_good) else NONE
-        if gold != NONE:
-            return TRUST if gold == GOOD else 1 - TRUST
         g, b = np.log(self.prior), np.log(1 - self.prior)
         for v, pg, pb in zip(votes, self.good_if_good, self.good_if_bad):
             v = int(v)
@@ -138,26 +142,44 @@ class LabelModel:
 
 
 def fit_labels(patterns: dict[str, int], annotated: bool = False, rounds: int = EM_ROUNDS) -> LabelModel:
-    """Expectation-maximisation over vote patterns and their counts; starts from the documents
+    """Expectation-maximisation over vote patterns and their counts. It starts from the documents
     on which nobody votes bad, so that the class called bad is the one the labellers call bad.
-    With ``annotated`` the last vote of a pattern is the annotators': it fixes the class."""
+    With ``annotated`` the last vote of a pattern is the annotators': where there is one, the start
+    is their label; from then on they are a labeller among the others."""
     keys = sorted(patterns)
-    m = len(keys[0]) - annotated
     v = np.array([[int(c) for c in k] for k in keys])
     n = np.array([patterns[k] for k in keys], dtype=float)
     voted = v != NONE
+    one_sided = [i for i in range(v.shape[1] - annotated) if voted[:, i].any() and not (v[:, i] == GOOD).any()]
     post = np.where((v == BAD).any(1), 0.1, 0.9)
+    if annotated:
+        post = np.where(v[:, -1] == GOOD, 0.95, np.where(v[:, -1] == BAD, 0.05, post))
     model = None
     for _ in range(rounds):
         wg, wb = n * post, n * (1 - post)
         prior = float(np.clip((wg.sum() + 1) / (n.sum() + 2), 0.01, 0.99))
-        pg = [(wg[v[:, i] == GOOD].sum() + 4) / (wg[voted[:, i]].sum() + 5) for i in range(m)]
-        pb = [(wb[v[:, i] == GOOD].sum() + 1) / (wb[voted[:, i]].sum() + 2) for i in range(m)]
+        pg = [(wg[v[:, i] == GOOD].sum() + 4) / (wg[voted[:, i]].sum() + 5) for i in range(v.shape[1])]
+        pb = [(wb[v[:, i] == GOOD].sum() + 1) / (wb[voted[:, i]].sum() + 2) for i in range(v.shape[1])]
+        for i in one_sided:  # 1 - how often it speaks on documents of the class
+            pg[i] = 1 - (wg[voted[:, i]].sum() + 1) / (wg.sum() + 2)
+            pb[i] = 1 - (wb[voted[:, i]].sum() + 1) / (wb.sum() + 2)
+        if annotated:
+            more = ANNOTATOR_WEIGHT * n[voted[:, -1]].sum()
+            pg[-1] = (wg[v[:, -1] == GOOD].sum() + more * ANNOTATORS) / (wg[voted[:, -1]].sum() + more)
+            pb[-1] = (wb[v[:, -1] == GOOD].sum() + more * (1 - ANNOTATORS)) / (wb[voted[:, -1]].sum() + more)
         model = LabelModel(prior, [min(p, 0.999) for p in pg], [min(max(p, 1e-3), 0.999) for p in pb])
         post = np.array([model.posterior(k) for k in keys])
     return model
 
 
+def informed(patterns: dict[str, int]) -> set[str]:
+    """The patterns whose documents can teach: somebody voted. Where nobody votes good
+    anywhere, silence is the only sign of good documents and all teach."""
+    if not any(str(GOOD) in k for k in patterns):
+        return set(patterns)
+    return {k for k in patterns if k != str(NONE) * len(k)}
+
+
 # ------------------------------------------------------------------ hashed features
 
 BEGINNINGS = (5, 6)  # bytes
@@ -307,14 +329,11 @@ def fit(docs: DataFrame, labels: DataFrame | None = None, id_col: str = "doc_id"
     rows = sum(patterns["quality"].values())
     if not rows:
         return QualityModel()
-    annotated = gold.count()
+    # a hash share of all documents, with the annotations of that share (about max_train short rows
+    # at most, which are broadcast)
     slot = F.pmod(F.xxhash64(F.coalesce(F.col("id").cast("string"), F.lit(""))), F.lit(1_000_000))
-    share = int(1_000_000 * min(1.0, max_train / (annotated or rows)))
-    # annotated documents (about max_train short rows are broadcast); where they are fewer than
-    # MIN_TRAIN, others fill up
-    fill = int(1_000_000 * min(1.0, max(0, (MIN_TRAIN if annotated else max_train) - annotated) / rows))
-    chosen = F.col("gold_q").isNotNull() | (slot < fill)
-    d = d.join(F.broadcast(gold.where(slot < share)), "id", "left").where(chosen) \
+    share = int(1_000_000 * min(1.0, max_train / rows))
+    d = d.where(slot < share).join(F.broadcast(gold.where(slot < share)), "id", "left") \
          .withColumns({"gold_q": F.coalesce("gold_q", none), "gold_x": F.coalesce("gold_x", none)})
     model = QualityModel({a: fit_labels(patterns[a], annotated=True) for a in ASPECTS})
     sample = d.select("text", "gold_q", "gold_x").mapInArrow(_train_rows, "quality string, toxicity string, ids binary, vals binary") \
@@ -324,9 +343,12 @@ def fit(docs: DataFrame, labels: DataFrame | None = None, id_col: str = "doc_id"
     values = np.concatenate([np.frombuffer(r["vals"], dtype="<f4") for r in sample]) if sample else np.zeros(0)
     ids = np.concatenate(ids) if ids else np.zeros(0, dtype=np.int64)
     for a in ASPECTS:
-        known = {k: model.labels[a].posterior(k) for k in patterns[a]}
-        target = np.array([known.get(r[a], model.labels[a].prior) for r in sample])
-        model.scorers[a] = fit_scorer(ids, values, row, target)
+        teach = informed(patterns[a])
+        known = {k: model.labels[a].posterior(k) for k in teach}
+        used = np.array([r[a] in teach for r in sample], dtype=bool)
+        target = np.array([known[r[a]] for r in sample if r[a] in teach])
+        at = used[row] if len(row) else np.zeros(0, dtype=bool)
+        model.scorers[a] = fit_scorer(ids[at], values[at], (np.cumsum(used) - 1)[row[at]], target)
     return model
 
 

@@ -117,3 +117,85 @@ def test_label_model_separates():
     m = QC.fit_labels(patterns)
     assert abs(m.prior - 0.8) < 0.1
     assert m.posterior("1111") > 0.9 > 0.1 > m.posterior("0000")
+
+
+def _em_by_documents(docs, rounds):
+    """The same estimation, one document after the other in plain Python: votes, annotators last."""
+    m = len(docs[0])
+    post = [0.95 if d[-1] == "1" else 0.05 if d[-1] == "0" else 0.1 if "0" in d else 0.9 for d in docs]
+    loud = [not any(d[i] == "1" for d in docs) and any(d[i] == "0" for d in docs) for i in range(m - 1)] + [False]
+    for _ in range(rounds):
+        good = []
+        for share, (a, b) in ((post, (4, 5)), ([1 - p for p in post], (1, 2))):
+            total, rates = sum(share), []
+            for i in range(m):
+                voted = sum(s for s, d in zip(share, docs) if d[i] != "2")
+                yes = sum(s for s, d in zip(share, docs) if d[i] == "1")
+                if loud[i]:
+                    rates.append(1 - (voted + 1) / (total + 2))
+                elif i == m - 1:
+                    more = QC.ANNOTATOR_WEIGHT * sum(d[i] != "2" for d in docs)
+                    want = QC.ANNOTATORS if share is post else 1 - QC.ANNOTATORS
+                    rates.append((yes + more * want) / (voted + more))
+                else:
+                    rates.append((yes + a) / (voted + b))
+            good.append([min(max(r, 1e-3), 0.999) for r in rates])
+        prior = min(max((sum(post) + 1) / (len(docs) + 2), 0.01), 0.99)
+        post = []
+        for d in docs:
+            g, b = prior, 1 - prior
+            for v, pg, pb in zip(d, *good):
+                g, b = (g * pg, b * pb) if v == "1" else (g * (1 - pg), b * (1 - pb)) if v == "0" else (g, b)
+            post.append(g / (g + b))
+    return post
+
+
+def _voted(n, seed, rates):
+    rng, docs = random.Random(seed), []
+    for _ in range(n):
+        good = rng.random() < 0.8
+        v = "".join("2" if rng.random() < 0.2 else str(int(rng.random() < (g if good else b))) for g, b in rates)
+        loud = "0" if not good and rng.random() < 0.6 else "2"
+        gold = "2" if rng.random() < 0.5 else str(int(good ^ (rng.random() < 0.03)))
+        docs.append(v + loud + gold)
+    return docs
+
+
+def _counted(docs):
+    out = {}
+    for d in docs:
+        out[d] = out.get(d, 0) + 1
+    return out
+
+
+def test_estimation_is_brute_force():
+    docs = _voted(300, 4, [(0.95, 0.3), (0.9, 0.2), (0.8, 0.4)])
+    model = QC.fit_labels(_counted(docs), annotated=True, rounds=15)
+    for d, want in zip(docs, _em_by_documents(docs, 15)):
+        assert abs(model.posterior(d) - want) < 1e-9
+
+
+def test_targets_follow_the_labellers_with_many_annotations():
+    """With over a thousand annotations, another labeller gives other targets, to annotated documents
+    too; the annotators can be overruled."""
+    docs = _voted(4000, 5, [(0.95, 0.3), (0.97, 0.1), (0.96, 0.1)])
+    assert sum(d[-1] != "2" for d in docs) > 1000
+    flip = [{"0": "1", "1": "0", "2": "2"}[d[1]].join((d[0], d[2:])) for d in docs]
+    one, other = (QC.fit_labels(_counted(x), annotated=True) for x in (docs, flip))
+    assert abs(one.posterior("11121") - other.posterior("11121")) > 1e-4
+    assert abs(one.posterior("10121") - other.posterior("10121")) > 0.005
+    assert one.posterior("00001") < 0.5 < one.posterior("11120")
+
+
+def test_silent_documents_teach_only_where_nobody_votes_good():
+    assert QC.informed({"222": 5, "022": 1, "221": 2}) == {"022", "221"}
+    assert QC.informed({"222": 5, "022": 1}) == {"222", "022"}
+
+
+def test_ties_at_the_cut(docs_of):
+    """Quality exactly at the cut is kept, toxicity exactly at it is not."""
+    zero = {a: QC.Scorer(QC.np.zeros(QC.BUCKETS, dtype="f4"), 0.0) for a in QC.ASPECTS}
+    row = QC.classify(docs_of([(1, "some words")]), QC.QualityModel({}, zero)).first()
+    assert (row["quality"], row["toxicity"], row["kept"]) == (0.5, 0.5, False)
+    zero["toxicity"] = QC.Scorer(QC.np.zeros(QC.BUCKETS, dtype="f4"), 1.0)
+    assert QC.classify(docs_of([(1, "some words")]), QC.QualityModel({}, zero)).first()["kept"]
