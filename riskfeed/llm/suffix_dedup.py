@@ -40,6 +40,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskfeed.llm.common import mix64, stage, text_or_empty
+from riskfeed.operators.common import maybe_broadcast
 
 LENGTH = 400
 WINDOW = 256
@@ -47,6 +48,7 @@ GRAM = 16
 SURE = LENGTH - WINDOW + 1     # bytes after an anchor that equal strings share at least
 PIECE = 1 << 20                # starts worked on at once
 HOT = 20_000
+HOT_BYTES = 32 << 20           # strings of hot groups that are broadcast at most
 BUCKET_ROWS = 20_000
 RUN_BYTES = 16 << 20
 _PLACE_BITS = 24
@@ -393,8 +395,10 @@ def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     found = runs.groupBy("bucket").applyInPandas(_merge, "sid long, first long, stop long")
     hot = both.where(F.size("hot") > 0).select("sid", "text", "hot").mapInArrow(
         _hot_windows, "x long, y long, sid long, first long")
-    twice = hot.groupBy("x", "y").agg(F.count(F.lit(1)).alias("c")).where("c > 1")
-    hot = hot.join(twice, ["x", "y"], "left_semi").select("sid", "first", (F.col("first") + LENGTH).alias("stop"))
+    # strings that occur twice: counted map-side first; where they are few (checked) the rows of a
+    # passage that many texts share stay where they are, else that join is split by adaptive execution
+    twice = stage(hot.groupBy("x", "y").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("x", "y"), "op10-twice")
+    hot = hot.join(maybe_broadcast(twice, HOT_BYTES), ["x", "y"], "left_semi").select("sid", "first", (F.col("first") + LENGTH).alias("stop"))
     spans = stage(found.union(hot), "op10-spans")
 
     per_text = spans.groupBy("sid").agg(F.collect_list(F.struct("first", "stop")).alias("spans"))
