@@ -223,24 +223,41 @@ class Scorer:
         return float(1 / (1 + np.exp(-max(-50.0, min(50.0, z)))))
 
 
+ENTRIES = 1 << 20  # worked on at once, so that the driver holds little beside the sample itself
+
+
 def fit_scorer(ids: np.ndarray, values: np.ndarray, row: np.ndarray, target: np.ndarray) -> Scorer:
     """Logistic regression on posterior labels by full-batch Adam, over the hashed features that
-    are not rare and whose documents' labels differ from the average beyond chance."""
-    n, mean = max(1, len(target)), float(target.mean()) if len(target) else 1.0
-    docs = np.bincount(ids, minlength=BUCKETS)
-    mass = np.bincount(ids, weights=values, minlength=BUCKETS)
-    pull = np.bincount(ids, weights=values * (target[row] - mean), minlength=BUCKETS)
-    noise = np.sqrt(np.bincount(ids, weights=values.astype(float) ** 2, minlength=BUCKETS) * max(1e-4, mean * (1 - mean)))
+    are not rare and whose documents' labels differ from the average beyond chance. A document
+    whose target is nan takes no part."""
+    told = ~np.isnan(target)
+    target = np.where(told, target, 0.0)
+    n = max(1, int(told.sum()))
+    mean = float(target.sum() / n) if told.any() else 1.0
+    docs, mass, pull, square = np.zeros((4, BUCKETS))
+    pieces = [slice(a, a + ENTRIES) for a in range(0, len(ids), ENTRIES)]
+    for p in pieces:
+        of = row[p]
+        here = told[of]
+        i, x, y = ids[p][here], values[p][here].astype(float), target[of[here]] - mean
+        for total, w in ((docs, None), (mass, x), (pull, x * y), (square, x * x)):
+            total += np.bincount(i, weights=w, minlength=BUCKETS)
+    noise = np.sqrt(square * max(1e-4, mean * (1 - mean)))
     used = np.flatnonzero((docs >= MIN_DOCS) & (mass > 0) & (np.abs(pull) >= CHANCE * noise))
     weights = np.zeros(BUCKETS, dtype=np.float32)
-    slot = np.full(BUCKETS, -1)
+    slot = np.full(BUCKETS, -1, dtype=np.int32)
     slot[used] = np.arange(len(used))
-    keep = slot[ids] >= 0
-    col, values, row = slot[ids[keep]], values[keep], row[keep]
+    kept = [[np.zeros(0, dtype=np.int32)], [np.zeros(0, dtype=np.float32)], [np.zeros(0, dtype=np.int32)]]
+    for p in pieces:
+        col, of = slot[ids[p]], row[p]
+        here = (col >= 0) & told[of]
+        for out, x in zip(kept, (col, values[p], of)):
+            out.append(x[here])
+    col, values, row = map(np.concatenate, kept)
     theta, m1, m2 = np.zeros(len(used) + 1), np.zeros(len(used) + 1), np.zeros(len(used) + 1)
     for t in range(1, EPOCHS + 1):
         z = np.bincount(row, weights=theta[:-1][col] * values, minlength=len(target)) + theta[-1]
-        err = 1 / (1 + np.exp(-np.clip(z, -50, 50))) - target
+        err = np.where(told, 1 / (1 + np.exp(-np.clip(z, -50, 50))) - target, 0.0)
         g = np.append(np.bincount(col, weights=err[row] * values, minlength=len(used)) / n + RIDGE * theta[:-1],
                       err.sum() / n)
         m1, m2 = 0.9 * m1 + 0.1 * g, 0.99 * m2 + 0.01 * g * g
@@ -338,17 +355,14 @@ def fit(docs: DataFrame, labels: DataFrame | None = None, id_col: str = "doc_id"
     model = QualityModel({a: fit_labels(patterns[a], annotated=True) for a in ASPECTS})
     sample = d.select("text", "gold_q", "gold_x").mapInArrow(_train_rows, "quality string, toxicity string, ids binary, vals binary") \
               .collect()
-    ids = [np.frombuffer(r["ids"], dtype="<i4") for r in sample]
-    row = np.repeat(np.arange(len(sample)), [len(i) for i in ids])
-    values = np.concatenate([np.frombuffer(r["vals"], dtype="<f4") for r in sample]) if sample else np.zeros(0)
-    ids = np.concatenate(ids) if ids else np.zeros(0, dtype=np.int64)
+    votes = {a: [r[a] for r in sample] for a in ASPECTS}
+    row = np.repeat(np.arange(len(sample), dtype=np.int32), [len(r["ids"]) // 4 for r in sample])
+    values = np.frombuffer(b"".join(r["vals"] for r in sample), dtype="<f4")
+    ids = np.frombuffer(b"".join(r["ids"] for r in sample), dtype="<i4")
+    del sample
     for a in ASPECTS:
-        teach = informed(patterns[a])
-        known = {k: model.labels[a].posterior(k) for k in teach}
-        used = np.array([r[a] in teach for r in sample], dtype=bool)
-        target = np.array([known[r[a]] for r in sample if r[a] in teach])
-        at = used[row] if len(row) else np.zeros(0, dtype=bool)
-        model.scorers[a] = fit_scorer(ids[at], values[at], (np.cumsum(used) - 1)[row[at]], target)
+        known = {k: model.labels[a].posterior(k) for k in informed(patterns[a])}
+        model.scorers[a] = fit_scorer(ids, values, row, np.array([known.get(k, np.nan) for k in votes[a]], dtype=float))
     return model
 
 
