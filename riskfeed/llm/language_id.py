@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from riskfeed.llm.common import mix64, stage
+from riskfeed.llm.common import bound_batches, mix64, stage
 
 ORDERS = (3, 4)
 POSITIONS = 1 << 21
@@ -154,6 +154,7 @@ def fit(train: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_c
 
 def predict(docs: DataFrame, model: LanguageModel, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, lang_pred, score. The model (a few MB, bounded) is broadcast; nothing is shuffled."""
+    bound_batches(docs.sparkSession)
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

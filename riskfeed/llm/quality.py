@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskfeed.llm.common import mix64, plain_words, stage, word_hashes
+from riskfeed.llm.common import bound_batches, mix64, plain_words, stage, word_hashes
 
 BUCKETS = 1 << 18
 MAX_TRAIN = 12_000
@@ -369,6 +369,7 @@ def fit(docs: DataFrame, labels: DataFrame | None = None, id_col: str = "doc_id"
 def classify(docs: DataFrame, model: QualityModel, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, quality, toxicity, kept for every row; the model (two vectors of ``BUCKETS``
     weights) is broadcast, nothing is shuffled."""
+    bound_batches(docs.sparkSession)
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -386,6 +387,7 @@ def classify(docs: DataFrame, model: QualityModel, id_col: str = "doc_id", text_
 
 def keep_good(docs: DataFrame, model: QualityModel, text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` that the classifier keeps, with all their columns."""
+    bound_batches(docs.sparkSession)
     sent = docs.sparkSession.sparkContext.broadcast(model)
     at = docs.columns.index(text_col)
 
