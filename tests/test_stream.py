@@ -97,3 +97,18 @@ def test_future_late_and_repeated_items(spark, tmp_path):
     day = lambda y, d: dt.date(y, 9, d)
     assert got == [("t1", day(2025, 10), "a b", "neutral"), ("t2", day(2099, 10), "a b", "neutral"),
                    ("t3", day(2025, 11), "a b", "neutral"), ("t4", day(2025, 9), "a b", "neutral")]
+
+
+def test_the_drops_do_not_scan_the_events_again(spark, monkeypatch):
+    """Dates are parsed once, by all tasks: neither drop reads the tables or parses a date."""
+    from riskfeed.sources import feed
+    plans, write = [], feed.write_feed
+
+    def seen(raw, *a, **k):
+        plans.append(raw._jdf.queryExecution().optimizedPlan().toString())
+        write(raw, *a, **k)
+    monkeypatch.setattr(feed, "write_feed", seen)
+    assert Qs.stream_ingest(spark, SF_SMALL).count() > 0
+    assert len(plans) == 2
+    for p in plans:
+        assert "Relation" not in p and "regexp" not in p.lower() and "_day" in p
