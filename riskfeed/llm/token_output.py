@@ -144,6 +144,19 @@ def byte_symbols() -> list[str]:
     return [chr(b) if b in own else chr(next(rest)) for b in range(256)]
 
 
+class Cache(dict):
+    """Values of ``make``, each made once while held; ``CACHE_WORDS`` at most."""
+
+    def __init__(self, make):
+        self.make = make
+
+    def __missing__(self, key):
+        if len(self) >= CACHE_WORDS:
+            self.clear()
+        got = self[key] = self.make(key)
+        return got
+
+
 class Encoder:
     """Ids of a text with the tokenizers library. Where the tokenizer lower-cases, drops white
     space and splits it from everything else, a text's ids are those of its words in
@@ -159,47 +172,33 @@ class Encoder:
         norm = [x.get("type") for x in (conf.get("normalizer") or {}).get("normalizers", [])]
         split = [x.get("pattern", {}).get("Regex") for x in (conf.get("pre_tokenizer") or {}).get("pretokenizers", [])]
         self.by_word = norm == ["NFC", "Replace", "Lowercase"] and split[:1] == [_WORD_SPLIT]
-        self.symbols = byte_symbols()
-        self.added = [x["content"] for x in conf.get("added_tokens", [])]
-        self.words: dict[bytes, bytes] = {}
-        self.pieces: dict[str, bytes] = {}
+        self.symbols = dict(enumerate(byte_symbols()))
+        added = [re.escape(x["content"]) for x in conf.get("added_tokens", [])]
+        self.added = re.compile("|".join(added)) if added else None
+        self.words, self.pieces = Cache(self._word), Cache(self._piece)
 
     def _library(self, text: str) -> bytes:
         return np.array(self.tok.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
 
     def _piece(self, piece: str) -> bytes:
-        got = self.pieces.get(piece)
-        if got is None:
-            if len(self.pieces) >= CACHE_WORDS:
-                self.pieces.clear()
-            symbols = "".join(self.symbols[b] for b in piece.encode())
-            got = np.array([t.id for t in self.tok.model.tokenize(symbols)], dtype="<u4").tobytes()
-            self.pieces[piece] = got
-        return got
+        ids = [t.id for t in self.tok.model.tokenize(piece.encode().decode("latin-1").translate(self.symbols))]
+        return struct.pack(f"<{len(ids)}I", *ids)
 
     def _word(self, word: bytes) -> bytes:
+        if word.isalpha():  # ASCII letters only: one piece
+            text = word.decode()
+            if self.added is None or not self.added.search(text):
+                return self.pieces[text.lower()]
         text = word.decode("utf-8", "replace")
-        if not _PLAIN.fullmatch(text) or any(a in text for a in self.added):
+        if not _PLAIN.fullmatch(text) or self.added is not None and self.added.search(text):
             return self._library(text)
-        return b"".join([self._piece(p) for p in _PIECES.findall(text.lower())])
+        return b"".join(map(self.pieces.__getitem__, _PIECES.findall(text.lower())))
 
     def encode(self, raw: bytes) -> bytes:
         """Ids as little-endian unsigned 32-bit integers."""
         if not self.by_word:
             return self._library(raw.decode("utf-8", "replace"))
-        words, known = raw.split(), self.words
-        got = list(map(known.get, words))
-        if None in got:
-            for i, g in enumerate(got):
-                if g is None:
-                    w = words[i]
-                    g = known.get(w)
-                    if g is None:
-                        if len(known) >= CACHE_WORDS:
-                            known.clear()
-                        g = known[w] = self._word(w)
-                    got[i] = g
-        return b"".join(got)
+        return b"".join(map(self.words.__getitem__, raw.split()))
 
 
 _ENCODERS: dict[str, Encoder] = {}

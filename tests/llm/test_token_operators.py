@@ -69,6 +69,20 @@ def test_token_output_whole_table(spark):
     assert sorted(got, key=lambda r: r[1]) == _expected_tokens(rows)
 
 
+@pytest.mark.parametrize("held", [7, 10_000])
+def test_word_cache_is_bounded_and_exact(monkeypatch, held):
+    monkeypatch.setattr(TO, "CACHE_WORDS", held)
+    enc = TO.Encoder(BPE)
+    made, make = [], enc.words.make
+    enc.words.make = lambda w: made.append(w) or make(w)
+    text = " ".join(f"often it's Rare{'abcdefghij'[i % 10]}{i}" for i in range(300))
+    ids = np.array(enc.tok.encode(text, add_special_tokens=False).ids, dtype="<u4")
+    assert enc.encode(text.encode()) == ids.tobytes()
+    assert len(enc.words) <= held and len(enc.pieces) <= held
+    if held > 302:  # each distinct word once
+        assert len(made) == len(set(made)) == 302
+
+
 def test_empty_tables(docs_of):
     assert TO.token_output(docs_of([]), BPE).count() == 0
     assert TC.token_counts(docs_of([]), [("<unk>", 0.0)]).count() == 0
