@@ -20,7 +20,7 @@ from riskfeed.operators import digest as DG
 from riskfeed.operators.common import clear_memo
 from riskfeed.plans import daily
 from riskfeed.sources import lists
-from riskfeed.sources.feed import count_files, landed_files, read_feed, read_pages, unreadable_files
+from riskfeed.sources.feed import Feed, count_files, read_feed, read_pages, unreadable_files
 from riskfeed.sources.lexicon import default_lexicon, read_lexicon
 
 
@@ -82,17 +82,18 @@ def _daily_job(spark: SparkSession, inp: DailyInputs, p: daily.DailyParams, expo
               else sinks.read_version(spark, live))
     obs, landed, store_audit = Observation("daily_run"), Observation("landed_feed"), daily.StoreAudit()
     resolved = spark.read.parquet(inp.resolved) if inp.resolved else None
-    new = daily.new_rows(read_feed(spark, inp.feed_root, resolved, landed), dictionary, read_pages(spark, inp.pages),
+    feed = Feed(spark, inp.feed_root)  # parsed once, for the items and for the files that cannot be read
+    new = daily.new_rows(read_feed(spark, feed, resolved, landed), dictionary, read_pages(spark, inp.pages),
                          block, allow, lex, stored, p, obs, store_audit)
     new = daily.materialize(new)   # once: the store and the archive read it
     # every count below is observed while the rows are read or written for the run itself
     nothing = {"new_rows": 0, "new_null_dates": 0, "new_mean_score": None, "new_current_rows": 0}
     audit = (daily.observed(obs, lambda: nothing) | store_audit.get
-             | daily.observed(landed, lambda: count_files(landed_files(spark, inp.feed_root))))
+             | daily.observed(landed, lambda: count_files(feed)))
     audit["combined_rows"] = audit["stored_rows"] + audit["new_rows"]
     in_window = audit.pop("new_current_rows")
     if audit["unreadable_files"] and inp.quarantine:
-        sinks.write_quarantine(unreadable_files(landed_files(spark, inp.feed_root)), inp.quarantine, p.as_of)
+        sinks.write_quarantine(unreadable_files(feed), inp.quarantine, p.as_of)
     if append_only:
         sinks.append_new(new, inp.store_root)
         audit["current_rows"] = audit["stored_rows"] + in_window  # what was read of the store is its window
